@@ -84,7 +84,7 @@ def table_profile(spark, sf):
     cells = H.table_profiles(*_input(spark, sf)).select("table_id", F.inline("cells"))
 
     def total(place):
-        return F.sum(F.col("stats")[place]).cast("bigint")
+        return F.floor(F.sum(F.col("stats")[place])).cast("bigint")
 
     return cells.groupBy("table_id", "col_idx").agg(
         total(H.ROWS).alias("n_rows"), total(H.FILLED).alias("filled"), total(H.NUMBER).alias("number"),

@@ -30,7 +30,7 @@ cells AS MATERIALIZED (SELECT table_id, row_idx, CAST(i - 1 AS INT) AS col_idx,
   FROM (SELECT table_id, row_idx, vals, unnest(range(1, len(vals) + 1)) AS i FROM raw)),
 facts0 AS MATERIALIZED (SELECT *, regexp_matches(v, {_NUMBER}) AS is_num, {money('v')} AS mny FROM cells),
 profile AS (SELECT table_id, col_idx, count(*) AS n_rows, count(v) AS filled, CAST(count_if(is_num) AS BIGINT) AS number, count(mny) AS money,
-  CAST(coalesce(sum(mny), 0) AS BIGINT) AS money_sum, CAST(count_if({_LAY}) AS BIGINT) AS layered FROM facts0 GROUP BY ALL)"""
+  CAST(floor(coalesce(sum(mny), 0)) AS BIGINT) AS money_sum, CAST(count_if({_LAY}) AS BIGINT) AS layered FROM facts0 GROUP BY ALL)"""
 
 
 def _chain(text: str, targets=HEADER_METRICS) -> tuple[str, str]:
