@@ -93,23 +93,24 @@ def _value_rules(rules: RuleSet) -> list[str]:
 
 def table_profiles(headers: DataFrame, rows: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
     """table_id, header, cells: array of (zone, col_idx, text, stats); zone 0 and 1 are rows 0 and 1, 2 the rest."""
-    cleaned = F.transform("values", drop_marks)
-    pairs = F.transform(cleaned, lambda v, i: F.struct(v.alias("v"), F.get(cleaned, i + 1).alias("next")))
+    pairs = F.transform("values", lambda v, i: F.struct(v.alias("v"), F.get("values", i + 1).isNotNull().alias("next")))
     cell = rows.select("table_id", F.least("row_idx", F.lit(2)).alias("zone"),
-                       F.posexplode(pairs).alias("col_idx", "cell")).select(
-        "table_id", "zone", "col_idx", "cell.v", "cell.next")
+                       F.posexplode(pairs).alias("col_idx", "cell"))
     v = F.col("v")
+    cell = cell.select("table_id", "zone", "col_idx", drop_marks(F.col("cell.v")).alias("v"), "cell.next")
+    cell = cell.withColumns({"number": is_number(v), "money": parse_money(v)})
+    word = F.col("money").isNull()  # a share class never parses as money
 
     def number_of(test: Column) -> Column:
         return F.count_if(test).cast("double")
 
-    counted = cell.withColumn("money", parse_money(v)).groupBy("table_id", "zone", "col_idx").agg(
+    counted = cell.groupBy("table_id", "zone", "col_idx").agg(
         F.max(F.when(F.col("zone") < 2, v)).alias("text"),
         F.array(
-            F.count("*").cast("double"), F.count(v).cast("double"), number_of(is_number(v)),
+            F.count("*").cast("double"), F.count(v).cast("double"), number_of(F.col("number")),
             F.count("money").cast("double"), F.coalesce(F.sum("money"), F.lit(0.0)),
-            number_of(is_layered(v)), number_of(is_layered(v, wide=True)),
-            number_of(v.isNotNull() & F.col("next").isNotNull()),
+            number_of(word & is_layered(v)), number_of(word & is_layered(v, wide=True)),
+            number_of(v.isNotNull() & F.col("next")),
             *[number_of(v.rlike(p)) for p in _value_rules(rules)],
         ).alias("stats"),
     )

@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablefolio.operators.headers import INVALID_TABLE, LAYER_WIDE, FILLED, MIN_COLUMNS, MONEY, MONEY_SUM, NUMBER
-from tablefolio.operators.headers import VALUE_RULES
+from tablefolio.operators.headers import (
+    FILLED, INVALID_TABLE, LAYER_WIDE, MIN_COLUMNS, MONEY, MONEY_SUM, NUMBER, VALUE_RULES, drop_marks,
+)
 from tablefolio.operators.ordered import settled
 from tablefolio.rules import DEFAULT_RULES, ColumnRule, RuleSet
 
@@ -154,15 +155,22 @@ def lineage(assigned: DataFrame) -> DataFrame:
     return picked.select("table_id", F.col("p.metric").alias("target"), "p.src", "p.rule")
 
 
-def metric_texts(assigned: DataFrame, rules: RuleSet = DEFAULT_RULES) -> list[Column]:
-    """For rows joined with their table's decision: the text of each metric, null where it has no column."""
+def metric_places(assigned: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
+    """The admitted tables with the source position of each metric in a column of its own (`at_<metric>`)."""
     by_metric = F.map_from_entries(F.transform("picks", lambda p: F.struct(p["metric"], p["col_idx"])))
+    admitted = assigned.where("code IS NULL").withColumn("places", by_metric)
+    places = [F.try_element_at("places", F.lit(m)).alias(f"at_{m}") for m in rules.names()]
+    return settled(admitted.select("table_id", "n_rows", "skip", "first_col", "merged", "has_security",
+                                   "hidden_security", "has_ownership", *places))
 
+
+def metric_texts(rules: RuleSet = DEFAULT_RULES) -> list[Column]:
+    """For rows joined with `metric_places`: the text of each metric, null where it has no column."""
     def text(metric: str) -> Column:
-        at = F.try_element_at(by_metric, F.lit(metric))
+        at = F.col(f"at_{metric}")
         own = F.get("values", at)
         folded = F.col("merged") & (at == F.col("first_col"))
-        return F.when(folded, F.coalesce(F.get("values", at + 1), own)).otherwise(own).alias(metric)
+        return drop_marks(F.when(folded, F.coalesce(F.get("values", at + 1), own)).otherwise(own)).alias(metric)
 
     return [text(m) for m in rules.names()]
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tablefolio.functions.numbers import is_amount_text
 from tablefolio.functions.texts import contains_any
-from tablefolio.operators.ordered import SEGMENT_ROWS, RowOrder
+from tablefolio.operators.ordered import SEGMENT_ROWS, RowOrder, settled
 from tablefolio.rules import CARRY_METRICS, DEFAULT_RULES, HEADER_METRICS, RuleSet
 
 # Title phrases of the two table kinds, words of watermarks and of valuation stamps, documents kept
@@ -114,15 +114,14 @@ def aligned_count(a: Column, b: Column) -> Column:
 def page_features(pages: DataFrame, rules: RuleSet = DEFAULT_RULES, sit: tuple[str, ...] = SIT_PHRASES,
                   pst: tuple[str, ...] = PST_PHRASES, terms: tuple[str, ...] = WATERMARK_TERMS) -> DataFrame:
     """Per page: own table type, long enough, and the first and last kept spans. No shuffle."""
-    out = pages.withColumns({
-        "norm_text": normal_text(F.col("text")),
-        "kept": kept_spans(F.col("spans"), terms),
-        "top_hits": top_metric_hits(top_text(F.col("spans"), F.col("height"), terms), rules),
-    })
+    out = settled(pages.select(
+        "doc_id", "page", normal_text(F.col("text")).alias("norm_text"), kept_spans(F.col("spans"), terms).alias("kept"),
+        top_text(F.col("spans"), F.col("height"), terms).alias("top")))
+    named = keyword_type(F.col("norm_text"), sit, pst)
+    top_hits = top_metric_hits(F.col("top"), rules)
     return out.select(
         "doc_id", "page",
-        F.coalesce(keyword_type(F.col("norm_text"), sit, pst),
-                   F.when(F.col("top_hits") >= MIN_TOP_METRICS, "PST")).alias("own_type"),
+        F.when(named.isNotNull(), named).when(top_hits >= MIN_TOP_METRICS, "PST").alias("own_type"),
         (F.length("norm_text") >= MIN_PAGE_CHARS).alias("long_enough"),
         F.slice("kept", 1, EDGE_SPANS).alias("top_spans"),
         F.reverse(F.slice(F.reverse("kept"), 1, EDGE_SPANS)).alias("tail_spans"),

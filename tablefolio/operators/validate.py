@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablefolio.operators.ordered import settled
+
 SUM_METRICS = ("total", "realized_value", "unrealized_value")
 MULTIPLE_METRICS = ("total", "total_cost", "gross_moic")
 
@@ -62,7 +64,8 @@ def validate_metrics(df: DataFrame, tolerance: float = 0.0) -> DataFrame:
 
 def filled_lineage(validated: DataFrame, *keys: str) -> DataFrame:
     """One row per filled value: keys, target, rule `VA`."""
-    return validated.select(*keys, F.explode("filled_metrics").alias("target"), F.lit("VA").alias("rule"))
+    filled = settled(validated.select(*keys, "filled_metrics"))
+    return filled.select(*keys, F.explode("filled_metrics").alias("target"), F.lit("VA").alias("rule"))
 
 
 def failed_rows(validated: DataFrame, *keys: str) -> DataFrame:

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tablefolio.sources.records import spread
+
 
 @dataclass(frozen=True)
 class Query:
@@ -29,6 +31,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def heavy(spark: SparkSession, sf_dir: str, name: str, *keys: str) -> DataFrame:
+    """A table for work that is heavy per row: on all cores even when the file is a single split."""
+    return spread(table(spark, sf_dir, name), *keys)
+
+
 def load() -> Catalogue:
     from tablefolio.plans.catalogue import companies, pages, scalars, tables, usage
 

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tablefolio.operators import grid as G
 from tablefolio.operators import pages as PG
-from tablefolio.plans.catalogue import Catalogue, table
+from tablefolio.operators.ordered import settled
+from tablefolio.plans.catalogue import Catalogue, heavy, table
 from tablefolio.rules import CARRY_METRICS, DEFAULT_RULES, HEADER_METRICS
 from tablefolio.sources.csv_tables import fields, fit_width, missing_to_null
 from tablefolio.sources.records import pages_of_spans, table_file_id
@@ -38,14 +39,14 @@ _DIR = "CASE WHEN {p} % 50 = 49 THEN 0.5 WHEN {p} % 3 = 0 THEN -1.0 ELSE 1.0 END
 
 
 def _pages(spark, sf):
-    table(spark, sf, "documents").createOrReplaceTempView("tablefolio_documents")
+    heavy(spark, sf, "documents", "doc_id").createOrReplaceTempView("tablefolio_documents")
     raw = spark.sql(PAGE_TEXT.format(T="tablefolio_documents"))
     span = (f"named_struct('text', {_word('w', 'l', 'p', 'page_key')}, 'size', double({_SIZE.format(l='l')}), "
             f"'dir_x', double({_DIR.format(p='p')}), 'block_y0', 12.0D * l, 'x0', double({_X0.format(k='page_key', p='p')}), "
             f"'y0', 12.0D * l, 'x1', double({_X0.format(k='page_key', p='p')}) + 5.0D * length(w), 'y1', 12.0D * l + 10.0D)")
     spans = (f"flatten(transform(split(text, '\\n'), (line, l) -> transform(split(line, ' '), (w, p) -> {span})))")
-    return raw.select("doc_id", "page", "text", F.expr("12.0D * size(split(text, '\\n'))").alias("height"),
-                      F.expr(spans).alias("spans"))
+    return settled(raw.select("doc_id", "page", "text", F.expr("12.0D * size(split(text, '\\n'))").alias("height"),
+                              F.expr(spans).alias("spans")))
 
 
 _T = PAGE_TEXT.replace("\\n", "' || chr(10) || '").format(T="documents")
@@ -113,7 +114,8 @@ def _first(text: str, several: bool) -> str:
 
 @QUERIES.add(f"""WITH {SQL_FEATURES} SELECT doc_id, page, top_hits, {_first('top', True)} AS first_long, {_first('top', False)} AS first_any FROM feat""")
 def top_region_hits(spark, sf):
-    top = _pages(spark, sf).select("doc_id", "page", PG.top_text(F.col("spans"), F.col("height")).alias("top"))
+    top = settled(_pages(spark, sf).select(
+        "doc_id", "page", PG.top_text(F.col("spans"), F.col("height")).alias("top")))
 
     def first(several):
         hit = PG.first_phrase_hit(F.col("top"), DEFAULT_RULES, CARRY_METRICS, several)

@@ -8,7 +8,7 @@ from tablefolio.functions import dates, names, numbers, texts
 from tablefolio.operators import errors, inventory
 from tablefolio.operators.analytics import numeric_profile, share_of_total, value_counts
 from tablefolio.operators.validate import failed_rows, filled_lineage, validate_metrics
-from tablefolio.plans.catalogue import Catalogue, table
+from tablefolio.plans.catalogue import Catalogue, heavy, table
 
 QUERIES = Catalogue()
 
@@ -37,7 +37,7 @@ SELECT l_returnflag, raw_tail, count(*) AS n, count(v) AS n_numbers, round(sum(v
   FROM (SELECT *, {MONEY_TEXT.format(s='VARCHAR')} AS t FROM lineitem))
 GROUP BY l_returnflag, raw_tail""")
 def parse_money(spark, sf):
-    text = table(spark, sf, "lineitem").select("l_returnflag", F.expr(MONEY_TEXT.format(s="STRING")).alias("t"))
+    text = heavy(spark, sf, "lineitem", "l_orderkey").select("l_returnflag", F.expr(MONEY_TEXT.format(s="STRING")).alias("t"))
     parsed = text.select("l_returnflag", F.expr("right(trim(t), 1)").alias("raw_tail"),
                          numbers.parse_money(F.col("t")).alias("v"))
     return parsed.groupBy("l_returnflag", "raw_tail").agg(
@@ -49,7 +49,7 @@ SELECT l_orderkey, l_partkey, l_linenumber, t AS percent_text, round(v, 6) AS fr
   SELECT *, {SQL_PERCENT.format(t='t')} AS v FROM (
     SELECT l_orderkey, l_partkey, l_linenumber, {PERCENT_TEXT.format(s='VARCHAR')} AS t FROM lineitem))""")
 def parse_percent(spark, sf):
-    text = table(spark, sf, "lineitem").select(
+    text = heavy(spark, sf, "lineitem", "l_orderkey").select(
         "l_orderkey", "l_partkey", "l_linenumber", F.expr(PERCENT_TEXT.format(s="STRING")).alias("percent_text"))
     return text.withColumn("fraction", F.round(numbers.parse_percent(F.col("percent_text")), 6))
 
@@ -102,7 +102,7 @@ VALUES = ("total", "realized_value", "unrealized_value", "total_cost", "gross_mo
 
 
 def _metrics(spark, sf):
-    table(spark, sf, "lineitem").createOrReplaceTempView("tablefolio_lineitem")
+    heavy(spark, sf, "lineitem", "l_orderkey").createOrReplaceTempView("tablefolio_lineitem")
     raw = spark.sql(METRICS.replace("FROM lineitem", "FROM tablefolio_lineitem"))
     return raw.select(*KEYS, *[F.col(c).cast("double").alias(c) for c in VALUES])
 

@@ -14,7 +14,7 @@ from tablefolio.operators import rows as R
 from tablefolio.operators.analytics import metric_sums
 from tablefolio.operators.ordered import RowOrder
 from tablefolio.plans import portfolio as P
-from tablefolio.plans.catalogue import Catalogue, table
+from tablefolio.plans.catalogue import Catalogue, heavy, table
 from tablefolio.plans.catalogue.tables_sql import (
     DECIDED, FACTS, LINEAGE, METRIC_ROWS, PROFILE, ROW_STEPS, fill_sql, header_metrics_sql, hidden_sql,
     rule_tests_sql, subtotal_sql,
@@ -73,7 +73,7 @@ SQL_INPUT = f"hdr AS ({HEADER_ROWS.format(**_DUCK)}), raw AS ({BODY_ROWS.format(
 
 
 def _input(spark, sf):
-    table(spark, sf, "orders").createOrReplaceTempView("tablefolio_orders")
+    heavy(spark, sf, "orders", "o_orderkey").createOrReplaceTempView("tablefolio_orders")
     words = {"S": "STRING", "A": "array", "T": "tablefolio_orders"}
     rows = spark.sql(BODY_ROWS.format(**words)).withColumnRenamed("vals", "values")
     return spark.sql(HEADER_ROWS.format(**words)), rows

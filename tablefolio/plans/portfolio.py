@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from tablefolio import schemas
 from tablefolio.operators import rows as R
 from tablefolio.operators.errors import describe
-from tablefolio.operators.headers import drop_marks, repair_headers, table_profiles
-from tablefolio.operators.matching import assign_columns, lineage, metric_texts
+from tablefolio.operators.headers import repair_headers, table_profiles
+from tablefolio.operators.matching import assign_columns, lineage, metric_places, metric_texts
 from tablefolio.operators.ordered import SEGMENT_ROWS, RowOrder
 from tablefolio.operators.validate import filled_lineage, validate_metrics
 from tablefolio.rules import DEFAULT_RULES, RuleSet
@@ -36,12 +36,10 @@ def metric_rows(rows: DataFrame, decided: DataFrame, rules: RuleSet = DEFAULT_RU
 
     One decision row per table: the join needs no salt, AQE splits a hot table's partition.
     """
-    admitted = decided.where("code IS NULL").drop("code")
-    joined = rows.join(admitted, "table_id").where(F.col("row_idx") >= F.col("skip"))
-    joined = joined.withColumn("values", F.transform("values", drop_marks))
+    joined = rows.join(metric_places(decided, rules), "table_id").where(F.col("row_idx") >= F.col("skip"))
     return joined.select(
         "table_id", (F.col("row_idx") - F.col("skip")).alias("row_idx"), "n_rows", "has_security", "hidden_security",
-        "has_ownership", *metric_texts(decided, rules))
+        "has_ownership", *metric_texts(rules))
 
 
 def normalise(df: DataFrame, order: RowOrder, rules: RuleSet = DEFAULT_RULES, drop_empty: bool = True,

@@ -17,6 +17,15 @@ INVENTORY = ("Path string, Name string, GP string, Stage string, Year string, Ge
              "`Modified By` string, `Doc Type` string")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Give heavy row work at least one partition per core where the input has fewer, as with one small file.
+
+    Large inputs have more splits than cores and stay as they are: no shuffle is added.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+
+
 def manifest_elements(manifests: DataFrame) -> DataFrame:
     """Table files named in element manifests (`name`, `extended_metadata`, `elements`).
 
