@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tablefolio.operators.errors import error_row
 from tablefolio.operators.headers import unique_names
 
 # Cell texts that common CSV readers take as missing.
@@ -80,11 +81,11 @@ def missing_to_null(values: Column) -> Column:
 
 
 def read_tables(spark: SparkSession, path: str, has_index_col: bool = True, keep_surplus: bool = True,
-                cut: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(headers, rows, errors) of all CSV files under `path`; `table_id` is the file path.
+                cut: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(headers, rows) of all CSV files under `path`; `table_id` is the file path.
 
     `has_index_col` drops the ordinal first column that table extraction writes. Rows wider than the header keep
-    their cells under blank names, or lose them with `keep_surplus=False`. Files without a record are errors.
+    their cells under blank names, or lose them with `keep_surplus=False`.
     Pass `cut=durable` to parse the files once when several results are used.
     """
     parsed = records(spark, path).select(
@@ -100,11 +101,12 @@ def read_tables(spark: SparkSession, path: str, has_index_col: bool = True, keep
     headers = fitted.where("record_idx = 0").select("table_id", names.alias("header"))
     rows = fitted.where("record_idx > 0").select(
         "table_id", (F.col("record_idx") - 1).cast("int").alias("row_idx"), missing_to_null(F.col("f")).alias("values"))
-    files = spark.read.format("binaryFile").load(path).select(file_path().alias("table_id"))
-    errors = files.join(headers, "table_id", "left_anti").select(
-        "table_id", F.lit("ERR-ID1001").alias("code"), F.lit("Error").alias("level"),
-        F.lit("The csv file is invalid").alias("description"))
-    return headers, rows, errors
+    return headers, rows
+
+
+def unreadable(expected: DataFrame, headers: DataFrame) -> DataFrame:
+    """Error rows of the expected tables (`table_id`) that gave no header: missing, empty or unreadable files."""
+    return expected.select("table_id").join(headers, "table_id", "left_anti").select("table_id", *error_row("ERR-ID1001"))
 
 
 def from_grid(headers: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
