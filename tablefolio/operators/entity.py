@@ -7,12 +7,15 @@ candidates per list go on. A very common identifier gives many lists, each a joi
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablefolio.functions.fuzzy import SCORERS
 from tablefolio.functions.names import block_identifier, clean_company_name, comparable, has_letter
 from tablefolio.operators.ordered import settled
+from tablefolio.session import durable
 
 # Score a candidate must exceed, number of candidates kept, and the tables of the two run modes.
 ACCEPT_ABOVE = 85
@@ -40,15 +43,16 @@ def clean_master(master: DataFrame) -> DataFrame:
     return cleaned.withColumn("identifier", block_identifier(F.col("company_name_master")))
 
 
-def master_entries(master: DataFrame, list_size: int = LIST_SIZE) -> tuple[DataFrame, DataFrame]:
+def master_entries(master: DataFrame, list_size: int = LIST_SIZE,
+                   cut: Callable[[DataFrame], DataFrame] = durable) -> tuple[DataFrame, DataFrame]:
     """(entries, blocks) of the cleaned master names.
 
     entries: one row per cleaned name with its copies, smallest id and list number. blocks: one row per
     identifier with its candidates, number of lists and smallest id. The list of an entry is its hash modulo the
-    number of lists its identifier needs.
+    number of lists its identifier needs. The cleaned names are used several times, so they are cut off first.
     """
-    names = master.groupBy("identifier", "company_name_master").agg(
-        F.count("*").alias("copies"), F.min("company_id").alias("company_id"))
+    names = cut(master.groupBy("identifier", "company_name_master").agg(
+        F.count("*").alias("copies"), F.min("company_id").alias("company_id")))
     blocks = names.groupBy("identifier").agg(
         F.sum("copies").alias("n_candidates"), F.ceil(F.count("*") / list_size).alias("lists"),
         F.min("company_id").alias("only_id"))
@@ -110,18 +114,18 @@ def decide(best: DataFrame, accept_above: int = ACCEPT_ABOVE) -> DataFrame:
 
 
 def name_ids(names: DataFrame, master: DataFrame, scorer: str = "ratio", accept_above: int = ACCEPT_ABOVE,
-             list_size: int = LIST_SIZE) -> DataFrame:
+             list_size: int = LIST_SIZE, cut: Callable[[DataFrame], DataFrame] = durable) -> DataFrame:
     """company_name, company_id of the distinct names that match.
 
     Most names are settled by equi joins: a single candidate is taken, and an equal name scores 100, which no
     other candidate reaches as long as names are short of 100 characters, so one equal entry is taken and two
     tie. Only the remaining names are scored against lists.
     """
-    entries, blocks = master_entries(master, list_size)
+    entries, blocks = master_entries(master, list_size, cut)
     blocked = named_blocks(names, blocks)
     equal = entries.groupBy("identifier", "scored").agg(
         F.sum("copies").alias("equal_copies"), F.min("company_id").alias("equal_id"))
-    seen = blocked.join(equal, ["identifier", "scored"], "left")
+    seen = cut(blocked.join(equal, ["identifier", "scored"], "left"))
     alone = F.col("n_candidates") == 1
     settled = alone | (F.col("equal_copies").isNotNull() & (F.length("scored") < SURE_BELOW) & (accept_above < 100))
     easy = seen.where(settled).select("company_name", F.when(alone, F.col("only_id")).when(

@@ -8,6 +8,8 @@ per table; the rows are not touched again until the columns are known.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -133,84 +135,88 @@ def _column_stats(skip: Column, n_stats: int) -> Column:
     return F.transform(F.sequence(F.lit(0), F.size("header") - 1), one)
 
 
-def repair_headers(profiles: DataFrame, rules: RuleSet = DEFAULT_RULES, trim: bool = True) -> DataFrame:
-    """Decide per table which rows are header, the final column names, and which columns stay.
-
-    Adds: `code` (null when admitted), `skip` (rows that belong to the header), `first_col`, `merged` (the second
-    kept column was folded into the first) and `columns`: array of (col_idx, name, stats).
-    """
+@lru_cache(maxsize=16)
+def _repair_steps(rules: RuleSet, trim: bool) -> tuple[list[dict[str, Column]], list[Column]]:
+    """The decisions as column definitions, each step on top of the one before; built once per rule set."""
     n_stats = VALUE_RULES + len(_value_rules(rules))
-    t = profiles.withColumns({
+    col, get = F.col, F.get
+
+    def is_company(i: Column) -> Column:
+        return F.contains(F.lower(get("names", i)), F.lit("company"))
+
+    def strips(i: int) -> Column:
+        s = get("stats", F.lit(i))
+        missing = col("n_data") - s[FILLED]
+        mostly_empty = (missing / col("n_data") > 0.5) & (missing > 3)
+        return F.coalesce(
+            (s[NUMBER] > 2) | (~col("layered") & mostly_empty & ~is_company(F.lit(i))), F.lit(False))
+
+    def column(i: Column, place: Column) -> Column:
+        name = get("names", i)
+        own, after = get("stats", i), get("stats", i + 1)
+        folded = (place == 0) & col("merged")
+        return F.struct(
+            i.alias("col_idx"),
+            F.when(name == "", F.concat(F.lit("Unnamed: "), place.cast("string"))).otherwise(name).alias("name"),
+            F.when(folded, F.zip_with(own, after, lambda a, b: a + b)).otherwise(own).alias("stats"))
+
+    steps = [{
         "blank": F.transform("header", blank_header),
         "whole": _column_stats(F.lit(0), n_stats),
         "row0": _zone_texts(0), "row1": _zone_texts(1),
-    })
-    t = t.withColumns({
-        "n_rows": F.coalesce(F.get("whole", F.lit(0))[ROWS], F.lit(0.0)),
+    }, {
+        "n_rows": F.coalesce(get("whole", F.lit(0))[ROWS], F.lit(0.0)),
         "promoted": F.forall("blank", lambda b: b),
         "digit_name": F.exists("header", lambda h: h.rlike(r"^\p{Nd}+$")),
-    })
-    t = t.withColumns({
-        "names": F.when(F.col("promoted"), F.transform("row0", lambda v: F.coalesce(v, F.lit("")))).otherwise(
+    }, {
+        "names": F.when(col("promoted"), F.transform("row0", lambda v: F.coalesce(v, F.lit("")))).otherwise(
             F.transform("header", lambda h: F.when(blank_header(h), F.lit("")).otherwise(h))),
         "first_texts": F.transform(
-            F.when(F.col("promoted"), F.col("row1")).otherwise(F.col("row0")),
-            lambda v, i: F.when(F.get("whole", i)[NUMBER] < F.get("whole", i)[FILLED], v)),
-    })
-    t = t.withColumn("misplaced",
-                     header_metric_count(F.array_join("first_texts", " "), rules) >= MIN_HEADER_METRICS)
-    t = t.withColumns({
-        "skip": F.col("promoted").cast("int") + F.col("misplaced").cast("int"),
-        "names": F.when(F.col("misplaced"), F.transform("names", lambda h, i: F.trim(
-            F.concat(h, F.coalesce(F.concat(F.lit(" "), F.get("first_texts", i)), F.lit("")))))
-        ).otherwise(F.col("names")),
-    })
-    t = t.withColumns({
+            F.when(col("promoted"), col("row1")).otherwise(col("row0")),
+            lambda v, i: F.when(get("whole", i)[NUMBER] < get("whole", i)[FILLED], v)),
+    }, {
+        "misplaced": header_metric_count(F.array_join("first_texts", " "), rules) >= MIN_HEADER_METRICS,
+    }, {
+        "skip": col("promoted").cast("int") + col("misplaced").cast("int"),
+        "names": F.when(col("misplaced"), F.transform("names", lambda h, i: F.trim(
+            F.concat(h, F.coalesce(F.concat(F.lit(" "), get("first_texts", i)), F.lit("")))))
+        ).otherwise(col("names")),
+    }, {
         "repeated": F.size("names") - F.size(F.array_distinct("names")),
         "names": F.transform("names", lambda h: clean_header(h, trim)),
-        "stats": _column_stats(F.col("skip"), n_stats),
-    })
-    t = t.withColumns({
-        "n_data": F.col("n_rows") - F.col("skip"),
+        "stats": _column_stats(col("skip"), n_stats),
+        "n_data": col("n_rows") - col("skip"),
+    }, {
         "layered": F.exists("stats", lambda s: s[LAYER] > 0),
-    })
+    }, {
+        "first_col": F.when(strips(0) & strips(1), 2).when(strips(0), 1).otherwise(0),
+    }, {
+        "too_narrow": F.size("header") - col("first_col") < MIN_COLUMNS,
+        "merged": F.coalesce(
+            (get("stats", col("first_col"))[PAIRED] == 0)
+            & ~F.coalesce(is_company(F.least("first_col", F.lit(1))), F.lit(False)), F.lit(False)),
+    }, {
+        "kept": F.concat(F.array("first_col"), F.filter(
+            F.sequence(F.lit(0), F.size("header") - 1), lambda i: i > col("first_col") + col("merged").cast("int"))),
+    }, {
+        "columns": F.transform("kept", column),
+    }]
+    summary = F.contains(F.lower(get("columns", F.lit(0))["name"]), F.lit("summary of"))
+    invalid = ((col("n_rows") < MIN_ROWS) | col("digit_name") | (col("repeated") > 1) | col("too_narrow") | summary)
+    result = [
+        col("table_id"), F.when(F.coalesce(invalid, F.lit(True)), F.lit(INVALID_TABLE)).alias("code"),
+        col("n_rows").cast("long").alias("n_rows"),
+        *[col(c) for c in ("promoted", "misplaced", "skip", "first_col", "merged", "layered", "columns")]]
+    return steps, result
 
-    def is_company(i: Column | int) -> Column:
-        return F.contains(F.lower(F.get("names", F.lit(i) if isinstance(i, int) else i)), F.lit("company"))
-
-    def strips(i: int) -> Column:
-        s = F.get("stats", F.lit(i))
-        missing = F.col("n_data") - s[FILLED]
-        mostly_empty = (missing / F.col("n_data") > 0.5) & (missing > 3)
-        return F.coalesce((s[NUMBER] > 2) | (~F.col("layered") & mostly_empty & ~is_company(i)), F.lit(False))
-
-    t = t.withColumn("first_col", F.when(strips(0) & strips(1), 2).when(strips(0), 1).otherwise(0))
-    t = t.withColumns({
-        "too_narrow": F.size("header") - F.col("first_col") < MIN_COLUMNS,
-        "company_seen": F.coalesce(is_company(F.least("first_col", F.lit(1))), F.lit(False)),
-    })
-    t = t.withColumn("merged", F.coalesce(
-        (F.get("stats", F.col("first_col"))[PAIRED] == 0) & ~F.col("company_seen"), F.lit(False)))
-    kept = F.concat(
-        F.array("first_col"),
-        F.filter(F.sequence(F.lit(0), F.size("header") - 1),
-                 lambda i: i > F.col("first_col") + F.col("merged").cast("int")))
-    t = t.withColumn("kept", kept)
 
-    def column(i: Column, place: Column) -> Column:
-        name = F.get("names", i)
-        own, after = F.get("stats", i), F.get("stats", i + 1)
-        folded = (place == 0) & F.col("merged")
-        return F.struct(
-            i.alias("col_idx"),
-            F.when(name == "", F.concat(F.lit("Unnamed: "), place.cast("string"))).otherwise(name).alias("name"),
-            F.when(folded, F.zip_with(own, after, lambda a, b: a + b)).otherwise(own).alias("stats"))
+def repair_headers(profiles: DataFrame, rules: RuleSet = DEFAULT_RULES, trim: bool = True) -> DataFrame:
+    """Decide per table which rows are header, the final column names, and which columns stay.
 
-    t = t.withColumn("columns", F.transform("kept", column))
-    summary = F.contains(F.lower(F.get("columns", F.lit(0))["name"]), F.lit("summary of"))
-    invalid = ((F.col("n_rows") < MIN_ROWS) | F.col("digit_name") | (F.col("repeated") > 1) | F.col("too_narrow")
-               | summary)
-    return settled(t.select(
-        "table_id", F.when(F.coalesce(invalid, F.lit(True)), F.lit(INVALID_TABLE)).alias("code"),
-        F.col("n_rows").cast("long").alias("n_rows"), "promoted", "misplaced", "skip", "first_col", "merged",
-        "layered", "columns"))
+    Adds: `code` (null when admitted), `skip` (rows that belong to the header), `first_col`, `merged` (the second
+    kept column was folded into the first) and `columns`: array of (col_idx, name, stats).
+    """
+    steps, result = _repair_steps(rules, trim)
+    for step in steps:
+        profiles = profiles.withColumns(step)
+    return settled(profiles.select(*result))

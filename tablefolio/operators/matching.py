@@ -6,6 +6,8 @@ fold over the metrics inside one row per table, on the columns' names and counts
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -83,8 +85,9 @@ def _metric_list(rules: RuleSet) -> Column:
     return F.array(*listed)
 
 
-def assign_columns(tables: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
-    """Add `picks` (metric, col_idx, src, rule, stats) and the final `code` and `detail` to repaired headers."""
+@lru_cache(maxsize=16)
+def _fold(rules: RuleSet) -> Column:
+    """The fold over the metrics as one expression on `columns` and `code`; built once per rule set."""
     value_place = 0
     tests = []
     for r in _flat_rules(rules):
@@ -130,7 +133,12 @@ def assign_columns(tables: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFra
 
         return F.when(acc["code"].isNotNull(), acc).otherwise(_let(choice, take))
 
-    folded = tables.withColumn("fold", F.when(F.col("code").isNull(), F.aggregate(_metric_list(rules), start, step)))
+    return F.when(F.col("code").isNull(), F.aggregate(_metric_list(rules), start, step))
+
+
+def assign_columns(tables: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
+    """Add `picks` (metric, col_idx, src, rule) and the final `code` and `detail` to repaired headers."""
+    folded = tables.withColumn("fold", _fold(rules))
     company = F.get(F.filter("fold.picks", lambda p: p["metric"] == "company_name"), F.lit(0))["stats"]
     has_security = F.exists("fold.picks", lambda p: p["metric"] == "security_type")
     wide = F.exists("fold.picks", lambda p: p["stats"][LAYER_WIDE] > 0)
@@ -164,6 +172,7 @@ def metric_places(assigned: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFr
                                    "hidden_security", "has_ownership", *places))
 
 
+@lru_cache(maxsize=16)
 def metric_texts(rules: RuleSet = DEFAULT_RULES) -> list[Column]:
     """For rows joined with `metric_places`: the text of each metric, null where it has no column."""
     def text(metric: str) -> Column:

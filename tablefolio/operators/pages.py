@@ -7,6 +7,8 @@ ever shuffled; only the page chain of a document needs ordered neighbours.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from tablefolio.functions.numbers import is_amount_text
 from tablefolio.functions.texts import contains_any
 from tablefolio.operators.ordered import SEGMENT_ROWS, RowOrder, settled
 from tablefolio.rules import CARRY_METRICS, DEFAULT_RULES, HEADER_METRICS, RuleSet
+from tablefolio.session import durable
 
 # Title phrases of the two table kinds, words of watermarks and of valuation stamps, documents kept
 # in their own layout, and the numeric limits of page selection.
@@ -129,13 +132,16 @@ def page_features(pages: DataFrame, rules: RuleSet = DEFAULT_RULES, sit: tuple[s
 
 
 def chain_pages(features: DataFrame, keep_layout: Column | None = None,
-                segment_rows: int | None = SEGMENT_ROWS) -> DataFrame:
+                segment_rows: int | None = SEGMENT_ROWS,
+                cut: Callable[[DataFrame], DataFrame] = durable) -> DataFrame:
     """Pages that hold a table: found by themselves or continuing the kept page before them.
 
+    The features are read more than once and cost the whole page text, so they are cut off first.
     A page is kept when, going back over linked pages, a page found by itself is reached before the chain breaks:
     the last such page must not lie before the last break. Both are running maxima.
     """
     order = RowOrder(("doc_id",), "page", segment_rows)
+    features = cut(features)
     own = F.col("own_type").isNotNull() & F.col("long_enough")
     lookback = order.neighbours(features.withColumn("top_x", left_edges(F.col("top_spans"))), {
         "prev_tail_x": (left_edges(F.col("tail_spans")), -1),
@@ -208,7 +214,7 @@ def keeps_layout(path: Column, names: tuple[str, ...] = KEEP_LAYOUT_NAMES) -> Co
     return F.rlike(path, F.lit("(?i)" + "|".join(names)))
 
 
-def number_pages(docs: DataFrame, pages: DataFrame) -> DataFrame:
+def number_pages(docs: DataFrame, pages: DataFrame, cut: Callable[[DataFrame], DataFrame] = durable) -> DataFrame:
     """Registry of kept pages in document order, numbered over all documents; documents without any stay in.
 
     docs: doc_ord, report_path, page_count. pages: doc_ord, page, table_type. The global number is the page's
@@ -216,6 +222,7 @@ def number_pages(docs: DataFrame, pages: DataFrame) -> DataFrame:
     so no task ever sorts all pages.
     """
     order = RowOrder(("doc_ord",), "page")
+    pages = cut(pages.select("doc_ord", "page", "table_type"))
     local = order.dense(pages, "place")
     counts = pages.groupBy("doc_ord").agg(F.count("*").alias("n"))
     offsets = _offsets(counts)

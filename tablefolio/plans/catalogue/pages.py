@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tablefolio.operators import grid as G
 from tablefolio.operators import pages as PG
-from tablefolio.operators.ordered import settled
+from tablefolio.operators.ordered import RowOrder, settled
 from tablefolio.plans.catalogue import Catalogue, heavy, table
 from tablefolio.rules import CARRY_METRICS, DEFAULT_RULES, HEADER_METRICS
 from tablefolio.sources.csv_tables import fields, fit_width, missing_to_null
@@ -137,9 +137,9 @@ aligned AS (SELECT doc_id, page, max(pairs) AS pairs FROM walk GROUP BY ALL)"""
 
 @QUERIES.add(f"""WITH RECURSIVE {SQL_SPANS}, {SQL_ALIGNED} SELECT doc_id, page, pairs FROM aligned""")
 def page_alignment(spark, sf):
-    pages = PG.page_features(_pages(spark, sf))
-    ends = pages.select("doc_id", (F.col("page") + 1).alias("page"), PG.left_edges(F.col("tail_spans")).alias("b"))
-    both = pages.select("doc_id", "page", PG.left_edges(F.col("top_spans")).alias("a")).join(ends, ["doc_id", "page"])
+    pages = PG.page_features(_pages(spark, sf)).select(
+        "doc_id", "page", PG.left_edges(F.col("top_spans")).alias("a"), PG.left_edges(F.col("tail_spans")).alias("ends"))
+    both = RowOrder(("doc_id",), "page").neighbours(pages, {"b": (F.col("ends"), -1)})
     return both.where((F.size("a") > 0) & (F.size("b") > 0)).select(
         "doc_id", "page", PG.aligned_count(F.col("a"), F.col("b")).alias("pairs"))
 
@@ -203,6 +203,19 @@ def page_registry(spark, sf):
     return done.drop("doc_ord").withColumns({c: F.col(c).cast("string") for c in ("page_ori", "page_new")})
 
 
+@QUERIES.add(f"""WITH RECURSIVE {SQL_CHAIN}, docs AS (SELECT doc_id, CAST(count(*) AS INT) AS page_count FROM pg GROUP BY 1),
+own_sit AS (SELECT doc_id, page FROM chained WHERE table_type = 'SIT')
+SELECT {_PATH.format(d='doc_id')} AS report_path, page_count, count(page) AS n_pages, count(page) > 0 AS is_processed
+FROM docs LEFT JOIN own_sit USING (doc_id) GROUP BY ALL""")
+def schedule_registry(spark, sf):
+    """Documents without a schedule page stay in the registry as one row without a page."""
+    docs = _pages(spark, sf).groupBy(F.col("doc_id").alias("doc_ord")).agg(F.count("*").cast("int").alias("page_count"))
+    docs = docs.withColumn("report_path", F.expr(_PATH.format(d="string(doc_ord)")))
+    schedules = _chain(spark, sf).where("table_type = 'SIT'").withColumnRenamed("doc_id", "doc_ord")
+    return PG.number_pages(docs, schedules).groupBy("report_path", "page_count").agg(
+        F.count("page_new").alias("n_pages"), F.max("is_processed").alias("is_processed"))
+
+
 @QUERIES.add(f"""WITH {SQL_SPANS} SELECT doc_id, page, count(*) AS n_spans, md5(string_agg(text, chr(10) ORDER BY ord)) AS text_hash FROM spans GROUP BY ALL""")
 def spans_to_pages(spark, sf):
     flat = _pages(spark, sf).select("doc_id", "page", F.col("height").alias("page_height"),

@@ -74,9 +74,10 @@ def build_portfolio(headers: DataFrame, rows: DataFrame, rules: RuleSet = DEFAUL
 
     Tables of up to `segment_rows` rows, nearly all of them, take plain windows and one shuffle by table. Where
     larger ones exist they take the segmented operators, so that no task gets a whole large table; their longer
-    lineage is cut at checkpoints.
+    lineage is cut at checkpoints. So are the decisions, one small record per table, which facts, lineage and errors
+    all need: the cells are counted once.
     """
-    decided = decide_tables(headers, rows, rules, trim)
+    decided = cut(decide_tables(headers, rows, rules, trim))
     texts = metric_rows(rows, decided, rules)
     fits = F.col("n_rows") <= segment_rows
     flagged = normalise(texts.where(fits), RowOrder(("table_id",), "row_idx", None), rules, drop_empty)

@@ -29,8 +29,8 @@ def durable(df: DataFrame) -> DataFrame:
     The folder is the cluster's own `spark.checkpoint.dir`; only where none is set (tests) a scratch
     folder is used.
     """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        configured = sc.getConf().get("spark.checkpoint.dir")
-        sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tablefolio-ckpt-"))
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        configured = spark.conf.get("spark.checkpoint.dir", "")
+        spark.sparkContext.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tablefolio-ckpt-"))
     return df.checkpoint()
