@@ -31,9 +31,14 @@ def table_for_mode(mode: str) -> str:
     return MODES[mode]
 
 
+def complete_rows(companies: DataFrame) -> DataFrame:
+    """Rows without any null whose name has a letter."""
+    return companies.dropna("any").where(has_letter(F.col("company_name")))
+
+
 def clean_extracted(companies: DataFrame) -> DataFrame:
-    """Complete rows whose name has a letter, with the cleaned name."""
-    complete = companies.dropna("any").where(has_letter(F.col("company_name")))
+    """Complete rows with the cleaned name."""
+    complete = complete_rows(companies)
     return settled(complete.withColumn("company_name", clean_company_name(F.col("company_name"))))
 
 
@@ -136,11 +141,19 @@ def name_ids(names: DataFrame, master: DataFrame, scorer: str = "ratio", accept_
 
 
 def match_companies(extracted: DataFrame, master: DataFrame, scorer: str = "ratio",
-                    accept_above: int = ACCEPT_ABOVE, list_size: int = LIST_SIZE) -> DataFrame:
-    """Cleaned extracted companies with the matched `company_id` (null without a match). One join, no fan-out."""
-    cleaned = clean_extracted(extracted.drop("company_id"))
-    ids = name_ids(cleaned, clean_master(master), scorer, accept_above, list_size)
-    return cleaned.join(ids, "company_name", "left")
+                    accept_above: int = ACCEPT_ABOVE, list_size: int = LIST_SIZE,
+                    cut: Callable[[DataFrame], DataFrame] = durable) -> DataFrame:
+    """Cleaned extracted companies with the matched `company_id` (null without a match).
+
+    Each distinct spelling is cleaned once and matched once; the rows only look up their spelling. No fan-out.
+    """
+    complete = complete_rows(extracted.drop("company_id"))
+    spellings = complete.select("company_name").distinct()
+    spellings = cut(spellings.withColumn("clean_name", clean_company_name(F.col("company_name"))))
+    ids = name_ids(spellings.select(F.col("clean_name").alias("company_name")), clean_master(master), scorer,
+                   accept_above, list_size, cut)
+    known = spellings.join(ids.withColumnRenamed("company_name", "clean_name"), "clean_name", "left")
+    return complete.join(known, "company_name").withColumn("company_name", F.col("clean_name")).drop("clean_name")
 
 
 def coverage(matched: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tablefolio.functions import names
 from tablefolio.functions.fuzzy import ratio_to_each, window_ratio_to_each
 from tablefolio.operators import analytics, entity, inventory
-from tablefolio.plans.catalogue import Catalogue, table
+from tablefolio.plans.catalogue import Catalogue, heavy, table
 from tablefolio.sources.sinks import not_yet_done
 
 QUERIES = Catalogue()
@@ -86,12 +86,12 @@ MASTER = """SELECT c_custkey AS company_id, CASE c_custkey % 6
 
 
 def _extracted(spark, sf):
-    table(spark, sf, "orders").createOrReplaceTempView("tablefolio_orders")
+    heavy(spark, sf, "orders", "o_orderkey").createOrReplaceTempView("tablefolio_orders")
     return spark.sql(EXTRACTED.format(s="STRING", t="tablefolio_orders"))
 
 
 def _master(spark, sf):
-    table(spark, sf, "customer").createOrReplaceTempView("tablefolio_customer")
+    heavy(spark, sf, "customer", "c_custkey").createOrReplaceTempView("tablefolio_customer")
     return spark.sql(MASTER.format(s="STRING", t="tablefolio_customer"))
 
 

@@ -37,6 +37,10 @@ def _activity(spark, sf):
     return A.with_user_name(_log(spark, sf), _users(spark, sf))
 
 
+def _date_text(df):
+    return df.withColumn("date", F.col("date").cast("string"))
+
+
 @QUERIES.add("""SELECT c_custkey AS id, CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE c_mktsegment END AS "firstName", c_name AS "lastName",
   CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE c_mktsegment || ' ' || c_name END AS "userName" FROM customer""")
 def users_from_nested(spark, sf):
@@ -52,14 +56,14 @@ def activity_log(spark, sf):
         "week", "year")
 
 
-@QUERIES.add(f"""WITH {SQL_LOG} SELECT week, max(date) AS date, count(DISTINCT userId) AS users FROM act GROUP BY week""")
+@QUERIES.add(f"""WITH {SQL_LOG} SELECT week, CAST(max(date) AS VARCHAR) AS date, count(DISTINCT userId) AS users FROM act GROUP BY week""")
 def weekly_active_users(spark, sf):
-    return A.weekly_active_users(_activity(spark, sf))
+    return _date_text(A.weekly_active_users(_activity(spark, sf)))
 
 
-@QUERIES.add(f"""WITH {SQL_LOG} SELECT date, count(*) AS queries FROM act WHERE actionType = 'QUERY_RUN' GROUP BY date""")
+@QUERIES.add(f"""WITH {SQL_LOG} SELECT CAST(date AS VARCHAR) AS date, count(*) AS queries FROM act WHERE actionType = 'QUERY_RUN' GROUP BY date""")
 def queries_per_day(spark, sf):
-    return A.queries_per_day(_activity(spark, sf))
+    return _date_text(A.queries_per_day(_activity(spark, sf)))
 
 
 @QUERIES.add(f"""WITH {SQL_LOG} SELECT event_id, userId AS "userId", userName AS "userName" FROM act WHERE pageName = 'view'""")

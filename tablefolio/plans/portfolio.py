@@ -31,15 +31,21 @@ def decide_tables(headers: DataFrame, rows: DataFrame, rules: RuleSet = DEFAULT_
     return assign_columns(repair_headers(table_profiles(headers, rows, rules), rules, trim), rules)
 
 
-def metric_rows(rows: DataFrame, decided: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
+def metric_rows(rows: DataFrame, decided: DataFrame, rules: RuleSet = DEFAULT_RULES,
+                segment_rows: int = SEGMENT_ROWS) -> DataFrame:
     """Rows of the admitted tables with one text column per metric; `row_idx` counts data rows from 0.
 
-    One decision row per table: the join needs no salt, AQE splits a hot table's partition.
+    The join key is the table and the segment (`part`) of the row, so the rows of a huge table go to many tasks; the
+    decision of a table is repeated once per segment, which for nearly all tables is once.
     """
-    joined = rows.join(metric_places(decided, rules), "table_id").where(F.col("row_idx") >= F.col("skip"))
+    places = metric_places(decided, rules)
+    last = F.floor((F.col("n_rows") - 1) / segment_rows)
+    repeated = places.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    keyed = rows.withColumn("part", F.floor(F.col("row_idx") / segment_rows))
+    joined = keyed.join(repeated, ["table_id", "part"]).where(F.col("row_idx") >= F.col("skip"))
     return joined.select(
-        "table_id", (F.col("row_idx") - F.col("skip")).alias("row_idx"), "n_rows", "has_security", "hidden_security",
-        "has_ownership", *metric_texts(rules))
+        "table_id", "part", (F.col("row_idx") - F.col("skip")).alias("row_idx"), "n_rows", "has_security",
+        "hidden_security", "has_ownership", *metric_texts(rules))
 
 
 def normalise(df: DataFrame, order: RowOrder, rules: RuleSet = DEFAULT_RULES, drop_empty: bool = True,
@@ -78,9 +84,10 @@ def build_portfolio(headers: DataFrame, rows: DataFrame, rules: RuleSet = DEFAUL
     all need: the cells are counted once.
     """
     decided = cut(decide_tables(headers, rows, rules, trim))
-    texts = metric_rows(rows, decided, rules)
+    texts = metric_rows(rows, decided, rules, segment_rows)
     fits = F.col("n_rows") <= segment_rows
-    flagged = normalise(texts.where(fits), RowOrder(("table_id",), "row_idx", None), rules, drop_empty)
+    # `part` is 0 in every table that fits: with it the windows reuse the partitioning of the join
+    flagged = normalise(texts.where(fits), RowOrder(("table_id", "part"), "row_idx", None), rules, drop_empty)
     if largest_table(rows) > segment_rows:
         order = RowOrder(("table_id",), "row_idx", segment_rows)
         large = normalise(texts.where(~fits), order, rules, drop_empty, cut)

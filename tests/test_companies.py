@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tablefolio.functions import names as N
 from tablefolio.functions.fuzzy import best_window_ratio, indel_ratio
 from tablefolio.operators import entity
+from tablefolio.plans.matching_run import run_matching
 
 
 def common(a, b):
@@ -96,6 +97,19 @@ def test_decision_rule(spark):
         "one": 0, "tie": None, "clear": 0, "limit": None}
 
 
+def test_matching_run_replaces_its_table(spark):
+    spark.sql("DROP TABLE IF EXISTS portfolio_company_validated")
+    spark.createDataFrame([(1, "Acme Works Inc."), (2, "Lone Star")], "row int, company_name string").write.saveAsTable(
+        "portfolio_company_validated")
+    spark.createDataFrame([(7, "ACME WORKS"), (8, "Other One")], "CompanyID int, CompanyName string"
+                          ).createOrReplaceTempView("master_list")
+    for _ in range(2):  # the second run reads the first run's result
+        run_matching(spark, "full", "master_list")
+        got = {r.company_name: r.company_id for r in spark.table("portfolio_company_validated").collect()}
+        assert got == {"Acme Works": 7, "Lone Star": None}
+    spark.sql("DROP TABLE portfolio_company_validated")
+
+
 def test_modes():
     assert entity.table_for_mode("full") == "portfolio_company_validated"
     with pytest.raises(ValueError):
