@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SEGMENT_ROWS = 1 << 16
-_SEG = "__segment"
+SEGMENT = _SEG = "__segment"
 
 
 @dataclass(frozen=True)
@@ -36,6 +36,7 @@ class RowOrder:
         """Add running sums and running maxima over all earlier rows, and the row itself if `inclusive`.
 
         A maximum over `struct(idx, value)` that is null where there is no value carries the last value forward.
+        Rows that kept their segment from `neighbours` are not shuffled again.
         """
         sums, maxima = sums or {}, maxima or {}
         last = Window.currentRow if inclusive else -1
@@ -44,7 +45,7 @@ class RowOrder:
             return df.withColumns({n: F.coalesce(F.sum(c).over(w), F.lit(0)) for n, c in sums.items()}
                                   | {n: F.max(c).over(w) for n, c in maxima.items()})
         by = [*self.keys, _SEG]
-        tagged = df.withColumn(_SEG, self._segment())
+        tagged = df if _SEG in df.columns else df.withColumn(_SEG, self._segment())
         records = tagged.groupBy(*by).agg(*[F.sum(c).alias(f"__in_{n}") for n, c in sums.items()],
                                           *[F.max(c).alias(f"__in_{n}") for n, c in maxima.items()])
         before = Window.partitionBy(*self.keys).orderBy(_SEG).rowsBetween(Window.unboundedPreceding, -1)
@@ -61,8 +62,12 @@ class RowOrder:
         )
         return out.drop(_SEG, *[f"__before_{n}" for n in (*sums, *maxima)])
 
-    def neighbours(self, df: DataFrame, wanted: dict[str, tuple[Column, int]]) -> DataFrame:
-        """Add values of rows at a fixed offset: negative looks back, positive looks ahead, outside -> null."""
+    def neighbours(self, df: DataFrame, wanted: dict[str, tuple[Column, int]],
+                   keep_segment: bool = False) -> DataFrame:
+        """Add values of rows at a fixed offset: negative looks back, positive looks ahead, outside -> null.
+
+        `keep_segment` leaves the segment column in place for a `running` that follows.
+        """
         if self.segment_rows is None:
             w = Window.partitionBy(*self.keys).orderBy(self.idx)
             return df.withColumns({n: F.lead(c, o).over(w) for n, (c, o) in wanted.items()})
@@ -79,7 +84,7 @@ class RowOrder:
         spread = df.select("*", F.inline(F.array_compact(F.array(*homes))))
         w = Window.partitionBy(*self.keys, _SEG).orderBy(self.idx)
         out = spread.withColumns({n: F.lead(c, o).over(w) for n, (c, o) in wanted.items()})
-        return out.where("__own").drop(_SEG, "__own")
+        return out.where("__own").drop("__own", *([] if keep_segment else [_SEG]))
 
     def dense(self, df: DataFrame, name: str) -> DataFrame:
         """Number the rows from 0 without gaps, keeping their order."""

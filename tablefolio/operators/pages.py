@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tablefolio.functions.numbers import is_amount_text
 from tablefolio.functions.texts import contains_any
-from tablefolio.operators.ordered import SEGMENT_ROWS, RowOrder, settled
+from tablefolio.operators.ordered import SEGMENT, SEGMENT_ROWS, RowOrder, settled
 from tablefolio.rules import CARRY_METRICS, DEFAULT_RULES, HEADER_METRICS, RuleSet
 from tablefolio.session import durable
 
@@ -146,12 +146,13 @@ def chain_pages(features: DataFrame, keep_layout: Column | None = None,
     lookback = order.neighbours(features.withColumn("top_x", left_edges(F.col("top_spans"))), {
         "prev_tail_x": (left_edges(F.col("tail_spans")), -1),
         "prev_top": (F.col("top_spans"), -1),
-    })
+    }, keep_segment=True)
     link = F.col("long_enough") & F.coalesce(
         aligned_count(F.col("top_x"), F.col("prev_tail_x")) >= MIN_ALIGNED, F.lit(False))
     if keep_layout is not None:
         link = link & ~keep_layout
-    marked = lookback.select("doc_id", "page", "own_type", "long_enough", "top_spans", "prev_top",
+    segment = [c for c in (SEGMENT,) if c in lookback.columns]
+    marked = lookback.select("doc_id", "page", *segment, "own_type", "long_enough", "top_spans", "prev_top",
                              own.alias("own"), link.alias("link"))
     chained = order.running(marked, maxima={
         "last_own": F.when(F.col("own"), F.col("page")),

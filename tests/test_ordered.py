@@ -48,3 +48,11 @@ def test_dense_and_last(rows):
         assert [r.p for r in mine] == list(range(len(mine)))
     ends = {(r.k, r.from_end): r.i for r in order.last_rows(rows, 2).collect()}
     assert ends[("hot", 1)] == 96 and ends[("hot", 2)] == 95 and ("a", 2) not in ends
+
+
+def test_running_after_neighbours(rows):
+    def run(order):
+        near = order.neighbours(rows, {"before": (F.col("n"), -1)}, keep_segment=True)
+        return order.running(near, {"s": F.col("before")})
+
+    same(run(RowOrder(("k",), "i", None)), run(RowOrder(("k",), "i", 7)))
