@@ -123,16 +123,16 @@ def best_candidates(spark, sf):
     return entity.best_candidates(_cleaned(spark, sf), entity.clean_master(_master(spark, sf)), "edit")
 
 
-@QUERIES.add(f"""WITH {SQL_MATCH} SELECT company_name, n_candidates, best_score, company_id FROM decided""")
+@QUERIES.add(f"""WITH {SQL_MATCH} SELECT company_name, n_candidates, best_score, CAST(company_id AS VARCHAR) AS company_id FROM decided""")
 def match_decision(spark, sf):
     best = entity.best_candidates(_cleaned(spark, sf), entity.clean_master(_master(spark, sf)), "edit")
-    return entity.decide(best)
+    return entity.decide(best).withColumn("company_id", F.col("company_id").cast("string"))
 
 
-@QUERIES.add(f"""WITH {SQL_MATCH} SELECT * FROM matched""")
+@QUERIES.add(f"""WITH {SQL_MATCH} SELECT o_orderkey, company_name, CAST(company_id AS VARCHAR) AS company_id FROM matched""")
 def entity_match(spark, sf):
     return entity.match_companies(_extracted(spark, sf), _master(spark, sf), "edit").select(
-        "o_orderkey", "company_name", "company_id")
+        "o_orderkey", "company_name", F.col("company_id").cast("string").alias("company_id"))
 
 
 @QUERIES.add()

@@ -136,7 +136,7 @@ def weekly_query_counts(spark, sf):
   FROM (SELECT doc_id, string_split(text, '. ') AS p FROM documents)),
 f AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS idx FROM e WHERE i % 4 <> 3)
 SELECT concat('doc', doc_id) AS name, CAST(n AS INT) AS page_count, concat('doc', doc_id, '/doc', doc_id, '_', idx, '.csv') AS csv_path,
-  CASE WHEN i % 3 = 0 THEN NULL ELSE CAST(len(string_split(s, ' ')) AS INT) END AS col_num, CAST(length(s) AS INT) AS row_num,
+  CASE WHEN i % 3 = 0 THEN NULL ELSE CAST(len(string_split(s, ' ')) AS VARCHAR) END AS col_num, CAST(length(s) AS INT) AS row_num,
   CAST(i + 1 AS INT) AS page FROM f WHERE i % 7 <> 6""")
 def manifest_tables(spark, sf):
     parts = F.split("text", r"\. ")
@@ -152,4 +152,4 @@ def manifest_tables(spark, sf):
         F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("name"),
         F.struct(F.size(parts).alias("page_count")).alias("extended_metadata"),
         F.transform(parts, element).alias("elements"))
-    return manifest_elements(made)
+    return manifest_elements(made).withColumn("col_num", F.col("col_num").cast("string"))
