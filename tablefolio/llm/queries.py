@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablefolio.llm import bpe, tokenfile
+from tablefolio.llm import bpe, secrets, tokenfile
 from tablefolio.llm.common import fresh_folder
 from tablefolio.plans.catalogue import Catalogue, table
 
@@ -31,3 +31,9 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents and the texts decoded from them."""
     return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@QUERIES.add()
+def op2_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of known form and strings of high entropy in all documents."""
+    return secrets.secret_report(table(spark, sf_dir, "documents"))
