@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablefolio.llm import bpe, secrets, tokenfile
+from tablefolio.llm import bpe, minhash, secret_scan, tokenfile
 from tablefolio.llm.common import fresh_folder
 from tablefolio.plans.catalogue import Catalogue, table
 
@@ -36,4 +36,10 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @QUERIES.add()
 def op2_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of known form and strings of high entropy in all documents."""
-    return secrets.secret_report(table(spark, sf_dir, "documents"))
+    return secret_scan.secret_report(table(spark, sf_dir, "documents"))
+
+
+@QUERIES.add()
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of near-duplicate documents."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
