@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablefolio.llm import bpe, minhash, secret_scan, tokenfile
+from tablefolio.llm import bpe, decontam, minhash, secret_scan, tokenfile
 from tablefolio.llm.common import fresh_folder
 from tablefolio.plans.catalogue import Catalogue, table
 
@@ -43,3 +43,9 @@ def op2_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of near-duplicate documents."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@QUERIES.add(decontam.LEAKS_SQL)
+def op7_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items in all documents."""
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
