@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tablefolio.llm import bpe, decontam, minhash, secret_scan, tokenfile
+from tablefolio.llm import bpe, decontam, line_dedup, minhash, secret_scan, tokenfile
 from tablefolio.llm.common import fresh_folder
 from tablefolio.plans.catalogue import Catalogue, table
 
@@ -49,3 +50,11 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items in all documents."""
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@QUERIES.add()
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines they share with earlier ones."""
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.when(F.col("deleted_lines").isNull(), 0).otherwise(F.size("deleted_lines")).alias("n_deleted"),
+                      F.coalesce("shared_with", F.array().cast("array<long>")).alias("shared_with"), "text")
