@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablefolio.llm import bpe, decontam, line_dedup, minhash, secret_scan, tokenfile
+from tablefolio.llm import bpe, decontam, line_dedup, minhash, quality, secret_scan, tokenfile
 from tablefolio.llm.common import fresh_folder
 from tablefolio.plans.catalogue import Catalogue, table
 
@@ -58,3 +58,9 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.when(F.col("deleted_lines").isNull(), 0).otherwise(F.size("deleted_lines")).alias("n_deleted"),
                       F.coalesce("shared_with", F.array().cast("array<long>")).alias("shared_with"), "text")
+
+
+@QUERIES.add()
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of all documents under a model of trusted text, and which of them are kept."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("h")
