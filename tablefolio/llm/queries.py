@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablefolio.llm import bpe, decontam, line_dedup, minhash, quality, secret_scan, tokenfile
+from tablefolio.llm import balltree, bpe, decontam, line_dedup, minhash, quality, secret_scan, tokenfile
 from tablefolio.llm.common import fresh_folder
 from tablefolio.plans.catalogue import Catalogue, table
 
@@ -64,3 +64,18 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Perplexity of all documents under a model of trusted text, and which of them are kept."""
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("h")
+
+
+@QUERIES.add("""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS k FROM s)
+SELECT query_id, CAST(k AS INTEGER) AS rank, vec_id, score FROM r WHERE k <= 5
+""")
+def op8_top_inner_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best inner products of every 50th vector among all others."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return balltree.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
