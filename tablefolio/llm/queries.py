@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablefolio.llm import balltree, bpe, decontam, line_dedup, minhash, quality, secret_scan, tokenfile
+from tablefolio.llm import balltree, bpe, decontam, line_dedup, minhash, preference, quality, secret_scan, tokenfile, warc
 from tablefolio.llm.common import fresh_folder
 from tablefolio.plans.catalogue import Catalogue, table
 
@@ -79,3 +79,28 @@ def op8_top_inner_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best inner products of every 50th vector among all others."""
     vectors = table(spark, sf_dir, "embeddings")
     return balltree.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
+@QUERIES.add(preference.PAIRS_SQL)
+def op9_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Preference pairs of all conversations that have a neighbour; spans as text."""
+    pairs = preference.preference_pairs(*preference.swapped_endings(table(spark, sf_dir, "conversations")))
+
+    def listed(name: str) -> Column:
+        return F.array_join(F.transform(name, lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    return pairs.withColumns({f"{side}_trained": listed(f"{side}_trained") for side in preference.SIDES})
+
+
+@QUERIES.add("""
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+l AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_bytes, payload_digest) END AS latest FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN latest <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN latest <> page_id THEN latest END AS refers_to FROM l
+""")
+def op1_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages to WARC files and back."""
+    folder = fresh_folder(spark, "warc")
+    warc.write_warc(table(spark, sf_dir, "pages"), folder)
+    return warc.read_warc(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
