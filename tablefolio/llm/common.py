@@ -52,3 +52,10 @@ def count_at_most(df: DataFrame, most: int) -> int | None:
     """The number of rows, or None if there are more than `most`; reads no more than it must."""
     n = df.limit(most + 1).count()
     return n if n <= most else None
+
+
+def bound_batches(spark: SparkSession, most: int = 64 << 20) -> None:
+    """Limit Arrow batches to `most` bytes, so that rows of any size reach Python a few at a time."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(str(spark.conf.get(name)).rstrip("b")) > most:
+        spark.conf.set(name, most)

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablefolio.llm.bpe import bounded
-from tablefolio.llm.common import NO_ID
+from tablefolio.llm.common import NO_ID, bound_batches
 
 MIN_WORDS = 10
 
@@ -133,6 +133,7 @@ def without_lines(text: str, gone: set[int]) -> str:
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """All rows and columns of `docs` with shared blocks deleted from `text_col`, and `deleted_lines` (their places among
     the lines that are not blank) and `shared_with` (ids of the earlier documents linked to), both null where none are."""
+    bound_batches(docs.sparkSession)
     key = [F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(text_col).alias("h")]
     texts = docs.where(F.col(text_col).isNotNull()).select(*key, F.col(text_col).alias("text"))
     lines = line_rows(texts)

@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablefolio.llm.bpe import bounded
+from tablefolio.llm.common import bound_batches
 from tablefolio.session import written
 
 SHINGLE, BANDS, ROWS, BITS = 5, 48, 8, 8
@@ -214,6 +215,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     size: int = SHINGLE) -> DataFrame:
     """Per row: `id_col`, `n_shingles`, `component_id`, `kept`."""
     spark = docs.sparkSession
+    bound_batches(spark)
     least = least_estimate(percent / 100)
     found = written(features(docs, id_col, text_col, size), "minhash-features")
     known = found.where("n > 0 AND id IS NOT NULL")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablefolio.llm.common import count_at_most
+from tablefolio.llm.common import bound_batches, count_at_most
 from tablefolio.session import written
 
 ORDER, SYMBOL_BITS = 5, 12
@@ -257,6 +257,7 @@ def limits(scores: DataFrame, fence: float = FENCE) -> DataFrame:
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
              fence: float = FENCE) -> DataFrame:
     """Per row: `id_col`, `lang_col`, `h` (hash of the text), `n_scored`, `perplexity`, `excess`, `limit`, `kept`."""
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("h"),
                        F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
     trusted = trusted_ids(labels, id_col)

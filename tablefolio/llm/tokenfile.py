@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablefolio.llm.bpe import bounded, codec
-from tablefolio.llm.common import at, committed
+from tablefolio.llm.common import at, bound_batches, committed
 
 MAGIC = b"TFIDS001"
 TAIL = "<QQ8s"
@@ -70,6 +70,7 @@ def write_ids(docs: DataFrame, folder: str, path: str, end_id: int, id_col: str
               parts: int | None = None) -> DataFrame:
     """Encode all texts, write them to `folder`, and give the manifest."""
     spark = docs.sparkSession
+    bound_batches(spark)
     size = max(codec(path).tok.get_vocab_size(with_added_tokens=True), end_id + 1)
     width = "<u2" if size <= 1 << 16 else "<u4"
     trained = train_dictionary(docs, path, id_col, text_col, width, end_id)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablefolio.llm.common import NO_ID, at, committed
+from tablefolio.llm.common import NO_ID, at, bound_batches, committed
 
 SHARD_BYTES, ROLL_BYTES, REVISIT_BYTES = 64 << 20, 32 << 20, 1000
 BUCKET, SPAN = 256, 4096
@@ -128,6 +128,7 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
                date: str = "1970-01-01T00:00:00Z", shard_bytes: int = SHARD_BYTES, roll_bytes: int = ROLL_BYTES) -> DataFrame:
     """Write all pages to `folder` and give the manifest."""
     spark = pages.sparkSession
+    bound_batches(spark)
     payload = F.encode(F.coalesce(F.col(html_col), F.lit("")), "UTF-8")
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("k"),
                         F.coalesce(F.col(url_col), F.lit("")).alias("url"), payload.alias("payload"),
