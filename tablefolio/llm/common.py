@@ -37,7 +37,7 @@ def committed(folder: str, name: str):
     context = TaskContext.get()
     attempt = context.taskAttemptId() if context else 0
     temporary = f"{base}/_temporary-{attempt}-{os.getpid()}-{name}"
-    with files.open_output_stream(temporary) as out:
+    with files.open_output_stream(temporary, compression=None) as out:
         yield out
     files.move(temporary, f"{base}/{name}")
 

@@ -87,10 +87,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
         "doc", "item_id", "p", "back", F.least(F.col("n"), F.lit(WINDOW)).alias("size"),
         F.least(F.col("n"), F.lit(SPAN)).alias("span"), equal.alias("equal"))
     first, last = F.greatest(F.lit(0), F.col("back") + F.col("span") - F.col("size")), F.least("back", F.size("equal") - F.col("size"))
-    windows = F.transform(F.sequence(first, last), lambda s: F.struct(
+    # none if the document ends too early
+    windows = F.when(first <= last, F.transform(F.sequence(first, last), lambda s: F.struct(
         F.aggregate(F.slice("equal", s + 1, F.col("size")), F.lit(0), lambda a, x: a + x).alias("n_equal"),
-        (F.col("back") - F.col("p") - s).alias("place"), F.col("size").alias("n_words")))
-    best = compared.where(first <= last).select("doc", "item_id", F.array_max(windows).alias("best"))
+        (F.col("back") - F.col("p") - s).alias("place"), F.col("size").alias("n_words"))))
+    best = compared.select("doc", "item_id", F.array_max(windows).alias("best"))
     good = best.where(F.col("best.n_equal") * 100 >= F.col("best.n_words") * PERCENT)
     return good.groupBy("doc", "item_id").agg(F.max("best").alias("best")).select(
         F.col("doc").alias(id_col), F.col("item_id").alias(item_col), (-F.col("best.place")).cast("long").alias("first_word"),

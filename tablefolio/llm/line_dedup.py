@@ -154,7 +154,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     per_doc = links.groupBy("id", "h").agg(F.collect_list("link").alias("links")).select(
         F.col("id").alias("__id"), F.col("h").alias("__h"), gone("links").alias("__gone"),
-        F.array_sort(F.array_distinct(F.transform("links", lambda x: F.when(x["oid"] != NO_ID, x["oid"])))).alias("__with"))
+        F.array_sort(F.array_distinct(F.filter(F.transform("links", lambda x: x["oid"]), lambda i: i != NO_ID))).alias("__with"))
     per_doc = per_doc.where(F.size("__gone") > 0)
     joined = docs.join(per_doc, (key[0] == F.col("__id")) & (key[1] == F.col("__h")), "left")
     new = rest(F.when(F.col("__gone").isNotNull(), F.col(text_col)), F.col("__gone"))

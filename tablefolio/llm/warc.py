@@ -182,7 +182,7 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
 def records(folder: str, name: str) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
     """(offset, length, fields, block) of each record of a file; one record is in memory at a time."""
     files, base = at(folder)
-    with files.open_input_stream(f"{base}/{name}") as source:
+    with files.open_input_stream(f"{base}/{name}", compression=None) as source:
         offset, pending = 0, b""
         while True:
             unpacker, parts, used = zlib.decompressobj(31), [], 0
