@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -28,11 +29,13 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablefolio.llm.common import bound_batches
+
 LEAF_CHARS = 32_768
-MEMO_UNITS = 400_000
+MEMO_UNITS = 800_000
+MEMO_PIECES = 100_000
 WINDOW = 16
 BATCH_CHARS = 2_000_000
-SPACE = re.compile(rb"[^ \t\n\r\x0b\x0c]+")
 
 
 class Piece:
@@ -69,6 +72,7 @@ class Codec:
     """The tokenizer of one file, with the results of recent units."""
 
     def __init__(self, path: str, memo_units: int = MEMO_UNITS):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks; threads of each would only wait for others
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
@@ -81,6 +85,7 @@ class Codec:
         self.reach = max(map(len, self.added), default=1)
         self.memo_units = memo_units
         self.memo: dict[bytes, bytes] = {}
+        self.pieces: dict[str, Piece] = {}
 
     def _learn(self, units: set[bytes]) -> None:
         if len(self.memo) + len(units) > self.memo_units:
@@ -104,25 +109,24 @@ class Codec:
 
     def piece(self, text: str) -> Piece:
         """Encode a piece with spans."""
-        e = self.tok.encode(text, add_special_tokens=False)
-        spans = np.array(e.offsets, np.int64).reshape(-1, 2)
-        return Piece(text, np.array(e.ids, np.int64), spans[:, 0], spans[:, 1])
+        return _spanned(text, self.tok.encode(text, add_special_tokens=False))
 
     def leaf(self, text: str) -> Piece:
         """As `piece`, unit by unit where the tokenizer allows it."""
         if not self.by_unit:
             return self.piece(text)
-        found: dict[str, Piece] = {}
-        parts = []
-        for m in re.finditer(r"[^ \t\n\r\x0b\x0c]+", text):
-            unit = m.group()
-            if unit not in found:
-                found[unit] = self.piece(unit)
-            parts.append((m.start(), found[unit]))
-        if not parts:
+        units = [(m.start(), m.group()) for m in re.finditer(r"[^ \t\n\r\x0b\x0c]+", text)]
+        if not units:
             return Piece(text, *(np.zeros(0, np.int64) for _ in range(3)))
-        return Piece(text, np.concatenate([p.ids for _, p in parts]), np.concatenate([p.starts + s for s, p in parts]),
-                     np.concatenate([p.ends + s for s, p in parts]))
+        if len(self.pieces) > MEMO_PIECES:
+            self.pieces = {}
+        new = list({u for _, u in units} - self.pieces.keys())
+        for u, e in zip(new, self.tok.encode_batch(new, add_special_tokens=False), strict=True):
+            self.pieces[u] = _spanned(u, e)
+        found = [self.pieces[u] for _, u in units]
+        shift = np.repeat([s for s, _ in units], [len(p.ids) for p in found])
+        return Piece(text, np.concatenate([p.ids for p in found]), np.concatenate([p.starts for p in found]) + shift,
+                     np.concatenate([p.ends for p in found]) + shift)
 
     def cut(self, text: str, near: int) -> int:
         """The first place from `near` on where the text may be cut: before a character that joins no other, and not
@@ -188,6 +192,11 @@ class Codec:
         return pieces[0]
 
 
+def _spanned(text: str, encoding) -> Piece:
+    spans = np.array(encoding.offsets, np.int64).reshape(-1, 2)
+    return Piece(text, np.array(encoding.ids, np.int64), spans[:, 0], spans[:, 1])
+
+
 def plain(ch: str) -> bool:
     """A character that never joins with the one before it: no mark, and no Korean vowel or final letter."""
     return ch < "̀" or (unicodedata.combining(ch) == 0 and unicodedata.category(ch)[0] != "M"
@@ -232,6 +241,7 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     Gives `id_col`, `n_tokens`, `ids_sha256`, `decoded_sha256`; with `keep` also `ids` (little-endian unsigned 32-bit
     integers) and `decoded`. `path` must be readable on every executor.
     """
+    bound_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType
     schema = f"{id_col} {kind.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     schema += ", ids binary, decoded string" if keep else ""
