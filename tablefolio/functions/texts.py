@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Period marks looked for in report names, and the path part that names the fund.
+# Period marks looked for in report names.
 YEAR_PATTERN = "(20[1-2][0-9])"
 QUARTER_PATTERN = "(Q[1-4])"
 HALF_YEAR_MARK = "06."
-FUND_IN_PATH = r"/P2/(.*?)/3\. Finance"
 
 
 def last_match(text: Column, pattern: str) -> Column:
@@ -27,7 +26,7 @@ def report_quarter(name: Column) -> Column:
     return F.coalesce(last_match(name, QUARTER_PATTERN), F.when(name.rlike(HALF_YEAR_MARK), F.lit("Q2")))
 
 
-def path_part(path: Column, pattern: str = FUND_IN_PATH) -> Column:
+def path_part(path: Column, pattern: str) -> Column:
     """First group of the pattern, or null."""
     return F.nullif(F.regexp_extract(path, pattern, 1), F.lit(""))
 

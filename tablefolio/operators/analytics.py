@@ -47,9 +47,14 @@ def user_week_days(activity: DataFrame) -> DataFrame:
         "week_label", week_label(F.col("year"), F.col("week")))
 
 
-def heatmap(days: DataFrame, labels: list[str]) -> DataFrame:
-    """User by week, missing weeks 0, week columns in text order."""
-    return days.groupBy("userName").pivot("week_label", sorted(labels)).agg(F.first("num_days")).fillna(0)
+def heatmap(days: DataFrame, labels: tuple[str, ...] = ()) -> DataFrame:
+    """User by week, missing weeks 0, week columns in text order.
+
+    Every week of the data is a column, and so are the weeks in `labels`. The weeks of the data are looked up first:
+    after `recent_weeks` there are at most `RECENT_WEEKS` + 1 a year.
+    """
+    there = [r[0] for r in days.select("week_label").distinct().collect()]
+    return days.groupBy("userName").pivot("week_label", sorted({*there, *labels})).agg(F.first("num_days")).fillna(0)
 
 
 def weekly_users_before_last(activity: DataFrame) -> DataFrame:

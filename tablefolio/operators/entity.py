@@ -17,18 +17,20 @@ from tablefolio.functions.names import block_identifier, clean_company_name, com
 from tablefolio.operators.ordered import settled
 from tablefolio.session import durable
 
-# Score a candidate must exceed, number of candidates kept, and the tables of the two run modes.
+# Score a candidate must exceed, number of candidates kept, and the names of the two run modes.
 ACCEPT_ABOVE = 85
 TOP_CANDIDATES = 5
-MODES = {"full": "portfolio_company_validated", "partial": "int_portfolio_company_validated"}
+MODES = ("full", "partial")
 LIST_SIZE = 256
 SURE_BELOW = 99
+EQUAL_WINS = ("ratio", "edit")  # scorers that give 100 to equal names alone
 
 
-def table_for_mode(mode: str) -> str:
+def table_for_mode(mode: str, tables: dict[str, str]) -> str:
+    """The table of a run mode; which tables these are is the caller's to say."""
     if mode not in MODES:
         raise ValueError("mode is either full or partial")
-    return MODES[mode]
+    return tables[mode]
 
 
 def complete_rows(companies: DataFrame) -> DataFrame:
@@ -122,9 +124,9 @@ def name_ids(names: DataFrame, master: DataFrame, scorer: str = "ratio", accept_
              list_size: int = LIST_SIZE, cut: Callable[[DataFrame], DataFrame] = durable) -> DataFrame:
     """company_name, company_id of the distinct names that match.
 
-    Most names are settled by equi joins: a single candidate is taken, and an equal name scores 100, which no
-    other candidate reaches as long as names are short of 100 characters, so one equal entry is taken and two
-    tie. Only the remaining names are scored against lists.
+    Most names are settled by equi joins: a single candidate is taken, and with a scorer of `EQUAL_WINS` an equal name
+    scores 100, which no other candidate reaches as long as names are short of 100 characters, so one equal entry is
+    taken and two tie. Only the remaining names are scored against lists.
     """
     entries, blocks = master_entries(master, list_size, cut)
     blocked = named_blocks(names, blocks)
@@ -132,7 +134,8 @@ def name_ids(names: DataFrame, master: DataFrame, scorer: str = "ratio", accept_
         F.sum("copies").alias("equal_copies"), F.min("company_id").alias("equal_id"))
     seen = cut(blocked.join(equal, ["identifier", "scored"], "left"))
     alone = F.col("n_candidates") == 1
-    settled = alone | (F.col("equal_copies").isNotNull() & (F.length("scored") < SURE_BELOW) & (accept_above < 100))
+    sure = F.lit(scorer in EQUAL_WINS and accept_above < 100) & (F.length("scored") < SURE_BELOW)
+    settled = alone | (F.col("equal_copies").isNotNull() & sure)
     easy = seen.where(settled).select("company_name", F.when(alone, F.col("only_id")).when(
         F.col("equal_copies") == 1, F.col("equal_id")).alias("company_id"))
     hard = _rank(seen.where(~settled).select(*blocked.columns), entries, scorer, 2)

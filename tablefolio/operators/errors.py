@@ -7,16 +7,9 @@ from pyspark.sql import functions as F
 
 # Code -> (level, description); `{}` takes the detail of the case.
 ERROR_CODES = {
-    "ERR-RP1001": ("Error", "Failed to download this report from SharePoint: {}."),
-    "ERR-RP1002": ("Error", "Failed to read the report: {}."),
     "ERR-EX1001": ("Error", "File size is larger than 50MB"),
     "ERR-EX1002": ("Error", "Page count is more than 200"),
-    "ERR-EX1003": ("Error", "Adobe PDF Extract API exception occurred: {}."),
     "WRN-EX1004": ("Warning", "No table extracted from the given pdf report"),
-    "ERR-EX1005": ("Error", "Failed to unzip the file from PDF Extract API: {}"),
-    "ERR-EX1006": ("Error", "Failed to create ADI service: {}"),
-    "ERR-EX1007": ("Error", "Failed to find the specified report: {}"),
-    "ERR-EX1008": ("Error", "Failed to analyze the document: {}"),
     "WRN-EX1009": ("Warning", "Cannot find page containing SIT or PST from the given report: {}"),
     "ERR-EX1010": ("Error", "Cannot process merged cell spanning more than 2 rows: {}"),
     "ERR-ID1001": ("Error", "The csv file is invalid"),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablefolio.operators.ordered import settled
+
 
 def cell_texts(cells: DataFrame) -> DataFrame:
     """One text per grid position: table_id, row_idx, col_idx, value.
@@ -38,14 +40,14 @@ def table_rows(cells: DataFrame) -> DataFrame:
         F.map_from_entries(F.collect_list(F.struct("col_idx", "value"))).alias("by_col"))
     columns = F.sequence(F.lit(0), F.col("width") - 1)
     values = F.transform(columns, lambda c: F.coalesce(F.try_element_at("by_col", c), F.lit("")))
-    return rows.join(width, "table_id").select("table_id", "row_idx", values.alias("values"))
+    return settled(rows.join(width, "table_id").select("table_id", "row_idx", values.alias("values")))
 
 
 def header_and_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Row 0 becomes the header; all-empty rows and tables left without rows go away."""
     filled = F.exists("values", lambda v: v != "")
     body = rows.where((F.col("row_idx") > 0) & filled)
-    heads = rows.where("row_idx = 0").select("table_id", F.col("values").alias("header"))
+    heads = settled(rows.where("row_idx = 0").select("table_id", F.col("values").alias("header")))
     return heads.join(body.select("table_id").distinct(), "table_id", "left_semi"), body
 
 

@@ -7,9 +7,7 @@ from pyspark.sql import functions as F
 
 from tablefolio.functions.texts import drop_link_line, path_part, report_quarter, report_year
 
-# Where fund folders and reports lie, the report ending, and the review limits.
-FUND_FOLDER = "sites/Investments/P2"
-REPORT_FOLDER = "3. Finance/Reports"
+# The report ending and the review limits. Where folders lie differs from site to site: parameters.
 REPORT_ENDING = ".pdf"
 REJECTED = "Rejected"
 MODIFIED_AFTER = "2022-01-01"
@@ -20,17 +18,18 @@ OUTPUT_NAMES = {
 }
 
 
-def funds(inventory: DataFrame) -> DataFrame:
-    """Fund folders: Name and the four attributes."""
-    return inventory.where(F.col("Path") == FUND_FOLDER).select("Name", *ATTRIBUTES)
+def funds(inventory: DataFrame, folder: str) -> DataFrame:
+    """Fund folders, which lie in `folder`: Name and the four attributes."""
+    return inventory.where(F.col("Path") == folder).select("Name", *ATTRIBUTES)
 
 
-def reports(inventory: DataFrame) -> DataFrame:
-    """Report files with their clean name and the fund folder named in their path."""
-    found = inventory.where(F.contains("Path", F.lit(REPORT_FOLDER)))
+def reports(inventory: DataFrame, folder: str, fund_in_path: str) -> DataFrame:
+    """Report files below any `folder` with their clean name and the fund, which the first group of `fund_in_path` finds
+    in their path."""
+    found = inventory.where(F.contains("Path", F.lit(folder)))
     found = found.withColumn("Name", F.col("Name").cast("string")).where(F.endswith("Name", F.lit(REPORT_ENDING)))
     return found.withColumns({"ReportName": drop_link_line(F.col("Name")),
-                              "FundName": path_part(F.col("Path"))}).drop("Name")
+                              "FundName": path_part(F.col("Path"), fund_in_path)}).drop("Name")
 
 
 def enrich(reports_df: DataFrame, funds_df: DataFrame) -> DataFrame:

@@ -29,7 +29,6 @@ PST_PHRASES = (
 )
 WATERMARK_TERMS = ("confidential",)
 STAMP_TEXTS = ("CURRENT FAIR VALUE", "CURRENT FAIR VALUE")
-KEEP_LAYOUT_NAMES = ("Redpoint Ventures",)
 MIN_PAGE_CHARS = 200
 MAX_SPAN_SIZE = 20
 EDGE_SPANS = 32
@@ -210,7 +209,7 @@ def output_spans(kept: Column) -> Column:
     return F.transform(kept, lambda s: output_span(s, s["y0"], s["y1"] - 8, 2))
 
 
-def keeps_layout(path: Column, names: tuple[str, ...] = KEEP_LAYOUT_NAMES) -> Column:
+def keeps_layout(path: Column, names: tuple[str, ...]) -> Column:
     """Documents of these funds keep their pages as they are."""
     return F.rlike(path, F.lit("(?i)" + "|".join(names)))
 

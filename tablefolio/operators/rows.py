@@ -73,30 +73,23 @@ def fill_company(df: DataFrame, order: RowOrder = TABLE_ROWS, apply: Column | No
                            "__sec": F.coalesce("security_type", F.lit(""))})
     joins = (F.col("__sec") != "") & (F.length("__name") < FRAGMENT_BELOW)
     here = order.running(here, sums={"__group": F.when(joins, 0).otherwise(1)})
+    # one record per name group: its joined name is made once, whatever the number of its rows
     piece = F.when(F.col("__name") != "", F.struct(idx.alias("at"), F.col("__name").alias("name")))
-
-    if order.segment_rows is None:
-        group = Window.partitionBy(*order.keys, "__group")
-        whole = Window.partitionBy(*order.keys)
-        here = here.withColumns({
-            "__pieces": F.collect_list(piece).over(group), "__from": F.min(idx).over(group),
-            "__to": F.max(idx).over(group), "__end": F.max(idx).over(whole)})
-    else:
-        groups = here.groupBy(*order.keys, "__group").agg(
-            F.collect_list(piece).alias("__pieces"), F.min(idx).alias("__from"), F.max(idx).alias("__to"))
-        ends = here.groupBy(*order.keys).agg(F.max(idx).alias("__end"))
-        here = here.join(groups.join(ends, list(order.keys)), [*order.keys, "__group"])
-
-    head = F.array_join(F.transform(F.array_sort(F.filter("__pieces", lambda p: p["at"] < F.col("__to"))),
-                                    lambda p: p["name"]), "")
-    tail = F.array_join(F.transform(F.filter("__pieces", lambda p: p["at"] == F.col("__to")),
-                                    lambda p: p["name"]), "")
-    lone_last = (F.col("__from") == F.col("__to")) & (F.col("__to") == F.col("__end"))
-    joined = F.when(lone_last, F.col("__name")).otherwise(strip(F.concat(head, F.lit(" "), tail)))
+    groups = here.groupBy(*order.keys, "__group").agg(
+        F.array_sort(F.collect_list(piece)).alias("__pieces"), F.min(idx).alias("__from"), F.max(idx).alias("__to"))
+    head = F.array_join(F.transform(F.filter("__pieces", lambda p: p["at"] < F.col("__to")), lambda p: p["name"]), "")
+    tail = F.array_join(F.transform(F.filter("__pieces", lambda p: p["at"] == F.col("__to")), lambda p: p["name"]), "")
+    groups = groups.select(*order.keys, "__group", "__from", "__to", strip(F.concat(head, F.lit(" "), tail)).alias("__joined"))
+    # the last group of a table: rows of a group lie together, so it is the one with the greatest number
+    last = groups.groupBy(*order.keys).agg(F.max("__group").alias("__last"))
+    named = groups.join(last, list(order.keys))
+    here = here.join(named, [*order.keys, "__group"])
+    lone_last = (F.col("__from") == F.col("__to")) & (F.col("__group") == F.col("__last"))
+    joined = F.when(lone_last, F.col("__name")).otherwise(F.col("__joined"))
     return here.withColumns({
         "company_name": F.when(F.col("__apply"), joined).otherwise(F.col("company_name")),
         "security_type": F.when(F.col("__apply"), F.col("__sec")).otherwise(F.col("security_type")),
-    }).drop("__apply", "__name", "__sec", "__group", "__pieces", "__from", "__to", "__end")
+    }).drop("__apply", "__name", "__sec", "__group", "__joined", "__from", "__to", "__last")
 
 
 def subtotal_flags(df: DataFrame, order: RowOrder = TABLE_ROWS, apply: Column | None = None) -> DataFrame:

@@ -155,8 +155,8 @@ def report_admission(spark, sf):
 
 # Report names and inventory rows from orders; the order year is moved so that it falls into 2010-2029.
 INVENTORY = """SELECT o_orderkey,
-    CASE WHEN o_custkey % 7 = 0 THEN 'sites/Investments/P2'
-         ELSE concat('sites/Investments/P2/Fund ', CAST(o_custkey % 100 AS {s}), '/3. Finance/Reports') END AS Path,
+    CASE WHEN o_custkey % 7 = 0 THEN 'team/Portfolio/Funds'
+         ELSE concat('team/Portfolio/Funds/Fund ', CAST(o_custkey % 100 AS {s}), '/Books/Quarterly') END AS Path,
     CASE WHEN o_custkey % 7 = 0 THEN concat('Fund ', CAST(o_custkey % 100 AS {s}))
          WHEN o_orderkey % 6 = 0 THEN concat('http://host/x', {nl}, 'Report ', CAST(year(o_orderdate) + 15 AS {s}), ' Q', CAST(quarter(o_orderdate) AS {s}), '.pdf')
          WHEN o_orderkey % 6 = 1 THEN concat('Letter 06.', CAST(year(o_orderdate) + 15 AS {s}), '.pdf')
@@ -173,10 +173,10 @@ _INV = INVENTORY.format(s="VARCHAR", t="orders", nl="chr(10)").replace("`", '"')
 # A fund folder may be listed several times; the smallest attributes stand for it, so that no report is doubled.
 SQL_INVENTORY = f"""inv AS ({_INV}),
 fund AS (SELECT Name, min(GP) AS GP, min(Stage) AS Stage, min(Year) AS Year, min(Geo) AS Geo FROM inv
-  WHERE Path = 'sites/Investments/P2' GROUP BY Name),
+  WHERE Path = 'team/Portfolio/Funds' GROUP BY Name),
 rep AS (SELECT o_orderkey, CASE WHEN starts_with(Name, 'http') THEN regexp_replace(Name, 'http.*\\n', '') ELSE Name END AS ReportName,
-  nullif(regexp_extract(Path, '/P2/(.*?)/3\\. Finance', 1), '') AS FundName, Path, GP, Stage, Year, Geo, Modified, "Modified By", "Doc Type"
-  FROM inv WHERE contains(Path, '3. Finance/Reports') AND ends_with(Name, '.pdf')),
+  nullif(regexp_extract(Path, '/Funds/(.*?)/Books', 1), '') AS FundName, Path, GP, Stage, Year, Geo, Modified, "Modified By", "Doc Type"
+  FROM inv WHERE contains(Path, 'Books/Quarterly') AND ends_with(Name, '.pdf')),
 enriched AS (SELECT o_orderkey, ReportName AS report_name, f.Name AS fund_name, coalesce(r.GP, f.GP) AS gp,
   coalesce(r.Stage, f.Stage) AS stage, coalesce(r.Year, f.Year) AS year, coalesce(r.Geo, f.Geo) AS geo,
   Modified AS modified, "Modified By" AS modified_by, "Doc Type" AS report_type, Path AS path
@@ -194,8 +194,8 @@ def _inventory(spark, sf):
 
 def _enriched(spark, sf):
     inv = _inventory(spark, sf)
-    funds = inventory.funds(inv).groupBy("Name").agg(*[F.min(a).alias(a) for a in inventory.ATTRIBUTES])
-    return inventory.enrich(inventory.reports(inv), funds)
+    funds = inventory.funds(inv, "team/Portfolio/Funds").groupBy("Name").agg(*[F.min(a).alias(a) for a in inventory.ATTRIBUTES])
+    return inventory.enrich(inventory.reports(inv, "Books/Quarterly", "/Funds/(.*?)/Books"), funds)
 
 
 @QUERIES.add(f"""WITH {SQL_INVENTORY} SELECT * EXCLUDE (o_orderkey) FROM enriched""")

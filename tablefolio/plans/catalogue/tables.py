@@ -1,13 +1,14 @@
 """Tables of many layouts made from orders, and every table, column and row operator over them.
 
 Forty orders make one table; the table number picks one of twelve layouts: security column, hidden share classes,
-split headers, blank headers, competing columns, and the ways in which a table is rejected.
+split headers, blank headers, competing columns, numbers that cannot be read, and the ways in which a table is rejected.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tablefolio.operators import grid as G
 from tablefolio.operators import headers as H
 from tablefolio.operators import matching as M
 from tablefolio.operators import rows as R
@@ -20,6 +21,8 @@ from tablefolio.plans.catalogue.tables_sql import (
     rule_tests_sql, subtotal_sql,
 )
 from tablefolio.rules import DEFAULT_RULES, HEADER_METRICS, NUMBER_METRICS
+from tablefolio.session import durable
+from tablefolio.sources.csv_tables import from_grid
 
 QUERIES = Catalogue()
 
@@ -59,7 +62,8 @@ BODY_ROWS = """SELECT concat('t', CAST(k AS {S})) AS table_id, r AS row_idx, CAS
   WHEN 4 THEN {A}(CASE WHEN r % 9 = 0 THEN 'Unrealized positions' ELSE co END, CASE WHEN k % 24 = 4 AND r % 3 = 0 THEN NULL ELSE m1 END, m2, m3, m4,
     CASE WHEN r % 6 = 0 THEN NULL ELSE m1 END, m2, pc)
   WHEN 7 THEN {A}(CASE WHEN r % 5 < 3 THEN co ELSE NULL END, CASE WHEN r % 5 < 3 THEN NULL ELSE co END, m1, m2, m3, m4, mx, pc)
-  WHEN 11 THEN {A}(CAST(r AS {S}), CASE WHEN r = 39 THEN 'TOTALS ' ELSE co END, m1, m2, CASE WHEN r % 7 = 0 THEN '-' ELSE m3 END, m4, pc, pc)
+  WHEN 11 THEN CASE WHEN k % 36 = 11 THEN {A}(CAST(r AS {S}), co, 'n/m', 'tbd', 'see', 'n/m', 'n/a%', 'n/m')
+    ELSE {A}(CAST(r AS {S}), CASE WHEN r = 39 THEN 'TOTALS ' ELSE co END, m1, m2, CASE WHEN r % 7 = 0 THEN '-' ELSE m3 END, m4, pc, pc) END
   ELSE {A}(co, m1, m2, m3, m4, m1, m2, m3) END AS vals
 FROM (SELECT CAST(floor(o_orderkey / 40) AS BIGINT) AS k, CAST(o_orderkey % 40 AS INT) AS r,
     concat('Firm ', CAST(o_custkey AS {S}), CASE WHEN o_custkey % 17 = 0 THEN ' :unselected:' ELSE '' END) AS co,
@@ -111,12 +115,13 @@ def column_match(spark, sf):
     return M.lineage(P.decide_tables(*_input(spark, sf)))
 
 
-@QUERIES.add(f"""WITH {SQL_INPUT}, {PROFILE}, {DECIDED}, {LINEAGE}
+@QUERIES.add(f"""WITH {SQL_INPUT}, {PROFILE}, {DECIDED}, {LINEAGE}, {METRIC_ROWS}, {ROW_STEPS}, {FACTS},
+coded AS (SELECT table_id, CASE WHEN code IS NULL AND table_id NOT IN (SELECT table_id FROM facts) THEN 'WRN-ID2002' ELSE code END AS code, detail FROM verdict)
 SELECT table_id, code, CASE WHEN starts_with(code, 'ERR') THEN 'Error' ELSE 'Warning' END AS level,
   CASE code WHEN 'ERR-ID1002' THEN 'P1 rule ' || detail || ' has multi-matches' WHEN 'WRN-ID2003' THEN 'P2 rule ' || detail || ' has multi-matches'
-  ELSE 'Less than 3 columns identified, table is invalid' END AS description FROM verdict WHERE code IS NOT NULL""")
+  ELSE 'Less than 3 columns identified, table is invalid' END AS description FROM coded WHERE code IS NOT NULL""")
 def table_errors(spark, sf):
-    return P.error_rows(P.decide_tables(*_input(spark, sf)))
+    return P.build_portfolio(*_input(spark, sf)).errors
 
 
 _TEXTS = ", ".join(DEFAULT_RULES.names())
@@ -149,7 +154,7 @@ def portfolio_facts(spark, sf):
 
 
 @QUERIES.add(f"""WITH {SQL_INPUT}, {PROFILE}, {DECIDED}, {LINEAGE}, {METRIC_ROWS}, {ROW_STEPS}, {FACTS}
-SELECT table_id, target, src, rule FROM lineage JOIN (SELECT table_id FROM verdict WHERE code IS NULL) USING (table_id)
+SELECT table_id, target, src, rule FROM lineage JOIN (SELECT DISTINCT table_id FROM facts) USING (table_id)
 UNION ALL SELECT DISTINCT table_id, unnest(string_split(filled, ',')) AS target, NULL, 'VA' FROM facts WHERE filled <> ''""")
 def portfolio_lineage(spark, sf):
     return P.build_portfolio(*_input(spark, sf)).lineage
@@ -162,6 +167,33 @@ def portfolio_sums(spark, sf):
     return sums.select("table_id", *[F.round(m, 4).alias(m) for m in HEADER_METRICS])
 
 
+# The same tables as recognised layout cells. A header cell of the two-row layout spans two columns, so its text comes to
+# the row below; every eighth row has no cells, and one row has a single blank one. Repeated names are told apart.
+SQL_SPANNED = SQL_INPUT.replace("'Unrealized', 'Unnamed: 3'", "'', 'Unnamed: 3'").replace(
+    "'Basis', 'Fair Value', 'Gain'", "'Basis', 'Unrealized Fair Value', 'Unrealized Gain'").replace(
+    "'Gain', 'Gain', 'Gain'", "'Gain', 'Gain.1', 'Gain.2'")
+
+
+def _as_cells(headers, rows):
+    head = headers.select("table_id", F.lit(0).alias("row_index"), F.posexplode("header").alias("column_index", "content"))
+    place = (F.col("row_idx") + F.floor(F.col("row_idx") / 7) + 1).cast("int")
+    body = rows.select("table_id", place.alias("row_index"), F.posexplode("values").alias("column_index", "content"))
+    blank = headers.select("table_id", F.lit(8).alias("row_index"), F.lit(0).alias("column_index"), F.lit("").alias("content"))
+    cells = head.where("content <> ''").unionByName(body.where("content IS NOT NULL")).unionByName(blank)
+    spans = (F.col("row_index") == 0) & (F.col("column_index") == 2) & (F.col("content") == "Unrealized")
+    return cells.select(
+        "table_id", (F.col("row_index") * 100 + F.col("column_index")).alias("cell_ord"), F.lit(1).alias("page"), "row_index",
+        "column_index", F.when(spans, 2).alias("column_span"), "content", F.lit(60).alias("row_count"),
+        F.lit(len(HEADERS[0])).alias("column_count"))
+
+
+@QUERIES.add(f"""WITH {SQL_SPANNED}, {PROFILE}, {DECIDED}, {LINEAGE}, {METRIC_ROWS}, {ROW_STEPS}, {FACTS}
+SELECT table_id, row_idx, company_name, security_type, investment_date, {_ROUNDED}, is_total FROM facts""")
+def cells_to_facts(spark, sf):
+    headers, rows = from_grid(*G.header_and_rows(G.table_rows(_as_cells(*_input(spark, sf)))), cut=durable)
+    return _rounded(P.build_portfolio(headers, rows).facts).select(*_FACT_COLUMNS)
+
+
 # Row operators over large tables: 5,000 orders each, cut into segments of 512 rows.
 SEGMENTED = RowOrder(("table_id",), "row_idx", 512)
 LAYERS = """SELECT CAST(floor(o_orderkey / 5000) AS BIGINT) AS table_id, CAST(o_orderkey % 5000 AS INT) AS row_idx,

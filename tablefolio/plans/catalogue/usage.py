@@ -92,7 +92,7 @@ SELECT userName AS "userName", {', '.join(f'coalesce(max(d) FILTER (week = {w} A
 FROM days GROUP BY userName""")
 def user_week_heatmap(spark, sf):
     days = A.user_week_days(A.recent_weeks(A.on_page(_activity(spark, sf), "view")))
-    return A.heatmap(days, [f"2024-W{w}" for w in (1, 2, 3, 4, 5)])
+    return A.heatmap(days, ("2024-W1",))  # the other weeks come from the data
 
 
 @QUERIES.add(f"""WITH {SQL_LOG} SELECT week, count(DISTINCT userId) AS users FROM act

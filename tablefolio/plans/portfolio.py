@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 
 from tablefolio import schemas
 from tablefolio.operators import rows as R
-from tablefolio.operators.errors import describe
-from tablefolio.operators.headers import repair_headers, table_profiles
+from tablefolio.operators.errors import describe, error_row
+from tablefolio.operators.headers import INVALID_TABLE, repair_headers, table_profiles
 from tablefolio.operators.matching import assign_columns, lineage, metric_places, metric_texts
 from tablefolio.operators.ordered import SEGMENT_ROWS, RowOrder
 from tablefolio.operators.validate import filled_lineage, validate_metrics
 from tablefolio.rules import DEFAULT_RULES, RuleSet
 from tablefolio.session import durable
+from tablefolio.sources.csv_tables import unreadable
 
 
 @dataclass(frozen=True)
@@ -68,35 +69,42 @@ def normalise(df: DataFrame, order: RowOrder, rules: RuleSet = DEFAULT_RULES, dr
     return R.drop_non_company(R.bottom_total(cut(df), order))
 
 
-def largest_table(rows: DataFrame) -> int:
-    """Rows of the largest table: one number, from the id column alone."""
-    return rows.groupBy("table_id").count().agg(F.max("count")).first()[0] or 0
+def largest_table(decided: DataFrame) -> int:
+    """Rows of the largest admitted table: one number from the small records that are already there."""
+    return decided.where("code IS NULL").agg(F.max("n_rows")).first()[0] or 0
 
 
 def build_portfolio(headers: DataFrame, rows: DataFrame, rules: RuleSet = DEFAULT_RULES, trim: bool = True,
                     drop_empty: bool = True, segment_rows: int = SEGMENT_ROWS,
-                    cut: Callable[[DataFrame], DataFrame] = durable) -> Portfolio:
+                    cut: Callable[[DataFrame], DataFrame] = durable, expected: DataFrame | None = None) -> Portfolio:
     """The whole path from table rows to validated facts.
 
     Tables of up to `segment_rows` rows, nearly all of them, take plain windows and one shuffle by table. Where
     larger ones exist they take the segmented operators, so that no task gets a whole large table; their longer
-    lineage is cut at checkpoints. So are the decisions, one small record per table, which facts, lineage and errors
-    all need: the cells are counted once.
+    lineage is cut at checkpoints. So are the decisions, one small record per table, and the facts: the cells are
+    counted once, the rows go through the operators once, and lineage and errors are read off the results. Whether
+    large tables exist is a single number from the decisions. An admitted table that is left without rows is an error
+    and has no lineage. `expected` (`table_id`) adds errors for tables that could not be read at all.
     """
     decided = cut(decide_tables(headers, rows, rules, trim))
     texts = metric_rows(rows, decided, rules, segment_rows)
     fits = F.col("n_rows") <= segment_rows
     # `part` is 0 in every table that fits: with it the windows reuse the partitioning of the join
     flagged = normalise(texts.where(fits), RowOrder(("table_id", "part"), "row_idx", None), rules, drop_empty)
-    if largest_table(rows) > segment_rows:
+    if largest_table(decided) > segment_rows:
         order = RowOrder(("table_id",), "row_idx", segment_rows)
         large = normalise(texts.where(~fits), order, rules, drop_empty, cut)
         flagged = flagged.unionByName(large.select(*flagged.columns))
     checked = validate_metrics(flagged.withColumn("total_exp", F.col("unrealized_value") + F.col("realized_value")))
-    facts = checked.select(*[c.split()[0] for c in schemas.PORTFOLIO.split(", ")])
+    facts = cut(checked.select(*[c.split()[0] for c in schemas.PORTFOLIO.split(", ")]))
     filled = filled_lineage(facts, "table_id").distinct().select(
         "table_id", "target", F.lit(None).cast("string").alias("src"), "rule")
-    return Portfolio(facts, lineage(decided).unionByName(filled), error_rows(decided))
+    with_rows = facts.select("table_id").distinct()
+    emptied = decided.where("code IS NULL").join(with_rows, "table_id", "left_anti").select("table_id", *error_row(INVALID_TABLE))
+    errors = error_rows(decided).unionByName(emptied)
+    if expected is not None:
+        errors = errors.unionByName(unreadable(expected, headers))
+    return Portfolio(facts, lineage(decided).join(with_rows, "table_id", "left_semi").unionByName(filled), errors)
 
 
 def error_rows(decided: DataFrame) -> DataFrame:

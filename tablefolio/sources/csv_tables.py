@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 
 from tablefolio.operators.errors import error_row
 from tablefolio.operators.headers import unique_names
+from tablefolio.operators.ordered import RowOrder, settled
 
 # Cell texts that common CSV readers take as missing.
 MISSING = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A",
            "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
-FIELD = r',("(?:[^"]|"")*"|[^,]*)'
+FIELD = r',("[^"]*+(?:""[^"]*+)*+"|[^,]*)'  # possessive: a cell of any length takes no stack
 
 
 def file_path() -> Column:
@@ -26,16 +27,21 @@ def file_path() -> Column:
     return F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
 
 
-def records(spark: SparkSession, path: str) -> DataFrame:
-    """file_path, record_idx (from 0 without gaps), record; blank lines between records go away.
+def file_lines(spark: SparkSession, path: str) -> DataFrame:
+    """file_path, split (where it begins in the file), seq (ascending inside a split), line."""
+    return spark.read.text(path).select(
+        file_path().alias("file_path"), F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("seq"), F.col("value").alias("line"))
+
+
+def records(raw: DataFrame) -> DataFrame:
+    """Lines to records: file_path, record_idx (from 0 without gaps), record; blank lines between records go away.
 
     A line starts a record when an even number of quote signs comes before it. Each split gives one small record
     with its quote count and its record starts for both cases, even and odd quotes before the split; the window
-    over these records tells every split which case holds and how many records lie before it.
+    over these records tells every split which case holds and how many records lie before it. A file whose number of
+    quote signs is odd cannot be split into records and gives none; that is known before any lines are gathered.
     """
-    raw = spark.read.text(path).select(
-        file_path().alias("file_path"), F.col("_metadata.file_block_start").alias("split"),
-        F.monotonically_increasing_id().alias("seq"), F.col("value").alias("line"))
     quotes = F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))
     by = Window.partitionBy("file_path", "split").orderBy("seq")
     odd = F.coalesce(F.sum(quotes).over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2
@@ -46,7 +52,9 @@ def records(spark: SparkSession, path: str) -> DataFrame:
         F.sum("quotes").alias("quotes"), F.count_if((F.col("odd") == 0) & filled).alias("starts0"),
         F.count_if((F.col("odd") == 1) & filled).alias("starts1"))
     before = Window.partitionBy("file_path").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    cases = splits.withColumn("case", F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2)
+    cases = splits.withColumns({
+        "case": F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2,
+        "open": F.sum("quotes").over(Window.partitionBy("file_path")) % 2}).where("open = 0")
     starts = F.when(F.col("case") == 0, F.col("starts0")).otherwise(F.col("starts1"))
     carried = cases.select("file_path", "split", "case", F.coalesce(F.sum(starts).over(before), F.lit(0)).alias("done"))
     here = lines.join(carried, ["file_path", "split"])
@@ -88,7 +96,7 @@ def read_tables(spark: SparkSession, path: str, has_index_col: bool = True, keep
     their cells under blank names, or lose them with `keep_surplus=False`.
     Pass `cut=durable` to parse the files once when several results are used.
     """
-    parsed = records(spark, path).select(
+    parsed = records(file_lines(spark, path)).select(
         F.col("file_path").alias("table_id"), "record_idx", fields(F.col("record")).alias("f"))
     if has_index_col:
         parsed = parsed.withColumn("f", F.slice("f", F.lit(2), F.greatest(F.size("f") - 1, F.lit(0))))
@@ -104,12 +112,26 @@ def read_tables(spark: SparkSession, path: str, has_index_col: bool = True, keep
     return headers, rows
 
 
+def table_files(spark: SparkSession, path: str) -> DataFrame:
+    """`table_id` of every file under `path`, empty ones included: the listing that Spark makes of it anyway."""
+    listed = spark.createDataFrame([(f,) for f in spark.read.text(path).inputFiles()], "uri string")
+    plain = F.url_decode(F.replace("uri", F.lit("+"), F.lit("%2B")))
+    return listed.select(F.regexp_replace(plain, "^file:///", "file:/").alias("table_id"))
+
+
 def unreadable(expected: DataFrame, headers: DataFrame) -> DataFrame:
-    """Error rows of the expected tables (`table_id`) that gave no header: missing, empty or unreadable files."""
+    """Error rows of the expected tables (`table_id`) that gave no header: missing or empty files, or a quote that is
+    never closed."""
     return expected.select("table_id").join(headers, "table_id", "left_anti").select("table_id", *error_row("ERR-ID1001"))
 
 
-def from_grid(headers: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rebuilt grids as they would come back from CSV: missing marks to null, repeated names told apart."""
-    return (headers.withColumn("header", unique_names(F.col("header"))),
-            rows.select("table_id", "row_idx", missing_to_null(F.col("values")).alias("values")))
+def from_grid(headers: DataFrame, rows: DataFrame,
+              cut: Callable[[DataFrame], DataFrame] = lambda d: d) -> tuple[DataFrame, DataFrame]:
+    """Rebuilt grids as they would come back from CSV: missing marks to null, repeated names told apart, and the rows
+    that are left numbered from 0 without gaps, as header repair and neighbours need them.
+
+    Pass `cut=durable` to rebuild the grids once when several results are used.
+    """
+    kept = settled(rows.select("table_id", "row_idx", missing_to_null(F.col("values")).alias("values")))
+    dense = RowOrder(("table_id",), "row_idx").dense(kept, "row_idx").select("table_id", "row_idx", "values")
+    return cut(settled(headers.select("table_id", unique_names(F.col("header")).alias("header")))), cut(dense)

@@ -16,14 +16,19 @@ ACTIVITY = "userId string, createdAt string, updatedAt string, pageName string,
 INVENTORY = ("Path string, Name string, GP string, Stage string, Year string, Geo string, Modified string, "
              "`Modified By` string, `Doc Type` string")
 
+SPREAD_BYTES = 64 << 20  # a larger file has several splits
+
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give heavy row work at least one partition per core where the input has fewer, as with one small file.
+    """Give heavy row work one partition per core where the input is one small file, which is a single split.
 
-    Large inputs have more splits than cores and stay as they are: no shuffle is added.
+    Any other input stays as it is: it has splits enough, and no shuffle is added.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+    if len(df.inputFiles()) != 1:
+        return df
+    size = df.select("_metadata.file_size").first()
+    small = size is not None and size[0] <= SPREAD_BYTES
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys) if small else df
 
 
 def manifest_elements(manifests: DataFrame) -> DataFrame:

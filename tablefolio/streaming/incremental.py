@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tablefolio import schemas
 from tablefolio.operators.grid import header_and_rows, table_rows
 from tablefolio.plans.portfolio import build_portfolio
+from tablefolio.session import durable
 from tablefolio.sources.csv_tables import from_grid
 
 
@@ -18,7 +19,7 @@ def process_new_cells(spark: SparkSession, cells_path: str, out_path: str, state
     """
 
     def one_batch(cells: DataFrame, number: int) -> None:
-        headers, rows = from_grid(*header_and_rows(table_rows(cells)))
+        headers, rows = from_grid(*header_and_rows(table_rows(cells)), cut=durable)
         built = build_portfolio(headers, rows)
         for name in ("facts", "lineage", "errors"):
             getattr(built, name).write.mode("overwrite").parquet(f"{out_path}/{name}/batch={number}")

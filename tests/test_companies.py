@@ -104,13 +104,24 @@ def test_matching_run_replaces_its_table(spark):
     spark.createDataFrame([(7, "ACME WORKS"), (8, "Other One")], "CompanyID int, CompanyName string"
                           ).createOrReplaceTempView("master_list")
     for _ in range(2):  # the second run reads the first run's result
-        run_matching(spark, "full", "master_list")
+        run_matching(spark, "full", {"full": "portfolio_company_validated"}, "master_list")
         got = {r.company_name: r.company_id for r in spark.table("portfolio_company_validated").collect()}
         assert got == {"Acme Works": 7, "Lone Star": None}
     spark.sql("DROP TABLE portfolio_company_validated")
 
 
 def test_modes():
-    assert entity.table_for_mode("full") == "portfolio_company_validated"
+    tables = {"full": "a_table", "partial": "another"}
+    assert entity.table_for_mode("full", tables) == "a_table"
     with pytest.raises(ValueError):
-        entity.table_for_mode("other")
+        entity.table_for_mode("other", tables)
+
+
+def test_window_ratio_keeps_the_rule(spark):
+    """A name that lies inside another master name ties with it at 100: the equal one must not win unseen."""
+    master = spark.createDataFrame([(1, "Harbor Point One"), (2, "Harbor Point Onex"), (3, "Northern Light House Two")],
+                                   "company_id int, company_name_master string")
+    names = spark.createDataFrame([(0, "Harbor Point One"), (1, "Northern Light House Two")], "row int, company_name string")
+    for scorer, want in (("window_ratio", None), ("ratio", 1)):
+        got = {r.row: r.company_id for r in entity.match_companies(names, master, scorer).collect()}
+        assert got == {0: want, 1: 3}

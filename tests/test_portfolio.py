@@ -1,13 +1,14 @@
 """The whole path: CSV files to facts, and large tables in segments."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from tablefolio.operators.analytics import metric_sums
 from tablefolio.plans.catalogue import tables
 from tablefolio.plans.portfolio import build_portfolio, decide_tables
 from tablefolio.rules import DEFAULT_RULES, RuleFileError, read_rules
-from tablefolio.session import durable
-from tablefolio.sources.csv_tables import read_tables, unreadable
+from tablefolio.session import durable, shared_folder
+from tablefolio.sources.csv_tables import fields, from_grid, read_tables, records, table_files, unreadable
 
 SF = "/root/testdata/sf0.001"
 
@@ -31,6 +32,7 @@ def files(tmp_path_factory):
     (folder / "clash.csv").write_text(CLASHING)
     (folder / "short.csv").write_text("a,b,c\n1,2,3\n")
     (folder / "empty.csv").write_text("")
+    (folder / "open.csv").write_text("Company,Cost,Fair Value\n" + "\n".join(f'c{i},1,{chr(34) * (i == 3)}2' for i in range(20)) + "\n")
     return str(folder)
 
 
@@ -40,14 +42,13 @@ def named(df):
 
 def test_csv_to_facts(spark, files):
     headers, rows = read_tables(spark, files, has_index_col=False, cut=durable)
-    expected = spark.createDataFrame([(f"file:{files}/{n}.csv",) for n in ("fund a+b 1", "clash", "short", "empty")],
-                                     "table_id string")
-    assert [(r.table_id.rsplit("/")[-1], r.code) for r in unreadable(expected, headers).collect()] == [
-        ("empty.csv", "ERR-ID1001")]
-    built = build_portfolio(headers, rows)
+    expected = table_files(spark, files)
+    assert sorted((r.table_id.rsplit("/")[-1], r.code) for r in unreadable(expected, headers).collect()) == [
+        ("empty.csv", "ERR-ID1001"), ("open.csv", "ERR-ID1001")]
+    built = build_portfolio(headers, rows, expected=expected)
     errors = {n: (r.code, r.description) for n, r in named(built.errors).items()}
     assert errors["clash.csv"] == ("ERR-ID1002", "P1 rule realized_value has multi-matches")
-    assert errors["short.csv"][0] == "WRN-ID2002"
+    assert errors["short.csv"][0] == "WRN-ID2002" and errors["open.csv"][0] == errors["empty.csv"][0] == "ERR-ID1001"
     facts = sorted(built.facts.collect(), key=lambda r: r.row_idx)
     assert [(r.company_name, r.total_cost, r.unrealized_value, r.is_total) for r in facts] == [
         ("North, Inc.  ", 1000, 2000, False), ("South (dba Pole)  ", 2000, 1500, False), ("East  ", 300, 300, False),
@@ -108,3 +109,46 @@ def test_rule_file(spark, tmp_path):
         with pytest.raises(RuleFileError):
             read_rules(str(good))
     assert len(DEFAULT_RULES.metrics) == 11
+
+
+def test_long_quoted_cells(spark):
+    """A cell of any length and with many doubled quotes is one field."""
+    long = "a" * 100_000 + '"' * 5_000
+    quoted = '"' + long.replace('"', '""') + '"'
+    df = spark.createDataFrame([(f"x,{quoted},,{quoted},y",)], "r string")
+    assert df.select(fields(F.col("r"))).first()[0] == ["x", long, "", long, "y"]
+    lines = [("f", 0, i, t) for i, t in enumerate(['h1,h2', '1,"two', '""lines"""', '', '2,b'])] + [("g", 0, 9, 'a,"b')]
+    got = records(spark.createDataFrame(lines, "file_path string, split long, seq long, line string")).collect()
+    assert sorted(map(tuple, got)) == [("f", 0, "h1,h2"), ("f", 1, '1,"two\n""lines"""'), ("f", 2, "2,b")]
+
+
+def test_two_row_header_from_a_grid(spark):
+    """The header row below the first one is found although empty rows lie between."""
+    headers = spark.createDataFrame([("t", ["Company", "Unrealized", "", "Realized"])], "table_id string, header array<string>")
+    body = [(1, ["", "Cost", "Fair Value", "Proceeds"]), *[(3 + 2 * i, [f"Firm {i}", "1", "2", "3"]) for i in range(5)]]
+    rows = spark.createDataFrame([("t", i, v) for i, v in body], "table_id string, row_idx int, values array<string>")
+    facts = sorted(build_portfolio(*from_grid(headers, rows)).facts.collect(), key=lambda r: r.row_idx)
+    assert [(r.row_idx, r.total_cost, r.unrealized_value, r.realized_value) for r in facts] == [(i, 1, 2, 3) for i in range(5)]
+
+
+def test_table_left_without_rows(spark):
+    headers = spark.createDataFrame([("t", ["Company", "Cost", "Fair Value", "Total"])], "table_id string, header array<string>")
+    rows = spark.createDataFrame([("t", i, [f"Firm {i}", "n/m", "tbd", "see"]) for i in range(6)],
+                                 "table_id string, row_idx int, values array<string>")
+    built = build_portfolio(headers, rows)
+    assert built.facts.count() == 0 and built.lineage.count() == 0
+    assert [(r.table_id, r.code) for r in built.errors.collect()] == [("t", "WRN-ID2002")]
+
+
+def test_a_shared_folder_is_needed_outside_local_mode(spark, monkeypatch):
+    class Elsewhere:
+        conf = spark.conf
+
+        class sparkContext:
+            master = "spark://host:7077"
+            applicationId = "app"
+
+    if not spark.conf.get("spark.checkpoint.dir", ""):
+        with pytest.raises(ValueError):
+            shared_folder(Elsewhere())
+    assert shared_folder(spark)

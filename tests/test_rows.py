@@ -78,3 +78,13 @@ def test_validation(spark):
     filled = {(r.k, r.target) for r in filled_lineage(validate_metrics(df), "k").collect()}
     assert filled == {(1, "total"), (2, "realized_value"), (3, "unrealized_value"), (6, "total"), (6, "gross_moic"),
                       (7, "gross_moic"), (8, "total")}
+
+
+def test_one_long_group_of_name_pieces(spark):
+    """Every row belongs to one group: its name is built once, not once a row."""
+    n = 20_000
+    df = spark.range(n).select(F.lit("t").alias("table_id"), F.col("id").cast("int").alias("row_idx"),
+                               F.when(F.col("id") == 0, "Acme").otherwise("-").alias("company_name"), F.lit("A").alias("security_type"))
+    for order in (RowOrder(("table_id",), "row_idx", None), RowOrder(("table_id",), "row_idx", 4096)):
+        names = R.fill_company(df, order).groupBy("company_name").count().collect()
+        assert [(r.company_name, r["count"]) for r in names] == [("Acme" + "-" * (n - 2) + " -", n)]
