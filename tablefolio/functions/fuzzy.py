@@ -8,23 +8,32 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def common_length(a: str, b: str) -> int:
-    """Length of the longest common subsequence, one machine word row at a time (bit-parallel)."""
+def places(a: str) -> dict[str, int]:
+    """For each character the places it has in `a`, as bits."""
     where: dict[str, int] = {}
     for i, ch in enumerate(a):
         where[ch] = where.get(ch, 0) | (1 << i)
-    full = (1 << len(a)) - 1
+    return where
+
+
+def common_length(where: dict[str, int], size: int, b: str) -> int:
+    """Length of the longest common subsequence of `b` and the text of `size` characters behind `where` (bit-parallel)."""
+    full = (1 << size) - 1
     row = full
     for ch in b:
         hit = row & where.get(ch, 0)
         row = ((row + hit) | (row - hit)) & full
-    return len(a) - row.bit_count()
+    return size - row.bit_count()
+
+
+def indel_ratios(a: str, others: list[str]) -> list[int]:
+    """Rounded 100 * 2 * common / (len a + len b) for each of the others; the bits of `a` are set up once."""
+    where = places(a)
+    return [round(200 * common_length(where, len(a), b) / (len(a) + len(b))) if a or b else 100 for b in others]
 
 
 def indel_ratio(a: str, b: str) -> int:
-    """Rounded 100 * 2 * common / (len a + len b)."""
-    total = len(a) + len(b)
-    return round(200 * common_length(a, b) / total) if total else 100
+    return indel_ratios(a, [b])[0]
 
 
 def best_window_ratio(a: str, b: str) -> int:
@@ -33,25 +42,29 @@ def best_window_ratio(a: str, b: str) -> int:
     m, n = len(short), len(long)
     if m == 0:
         return 100 if n == 0 else 0
-    return max(indel_ratio(short, long[max(0, s): s + m]) for s in range(1 - m, n))
+    return max(indel_ratios(short, [long[max(0, s): s + m] for s in range(1 - m, n)]))
+
+
+def best_window_ratios(a: str, others: list[str]) -> list[int]:
+    return [best_window_ratio(a, b) for b in others]
 
 
 def _score_list(scorer):
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def score(name: pd.Series, others: pd.Series) -> pd.Series:
-        return pd.Series([[scorer(a, b) for b in bs] for a, bs in zip(name, others)])
+        return pd.Series([scorer(a, list(bs)) for a, bs in zip(name, others, strict=True)])
 
     return score
 
 
 def ratio_to_each(name: Column, others: Column) -> Column:
     """Insert/delete ratio of one comparable name to each element of an array of comparable names."""
-    return _score_list(indel_ratio)(name, others)
+    return _score_list(indel_ratios)(name, others)
 
 
 def window_ratio_to_each(name: Column, others: Column) -> Column:
     """Best-window ratio of one comparable name to each element of an array."""
-    return _score_list(best_window_ratio)(name, others)
+    return _score_list(best_window_ratios)(name, others)
 
 
 def edit_to_each(name: Column, others: Column) -> Column:

@@ -13,6 +13,7 @@ RECENT_WEEKS = 10
 TOP_USERS = 5
 ACTIVE_ABOVE = 3
 INACTIVE_BELOW = 3
+SLICES = 1024
 
 
 def with_user_name(activity: DataFrame, users: DataFrame) -> DataFrame:
@@ -115,7 +116,7 @@ def numeric_profile(df: DataFrame, column: str, accuracy: int = 100_000) -> Data
     """count, mean, std, min, exact quartiles (linear between neighbours) and max of one column, as one row.
 
     A quantile sketch brackets each quartile, equal values are counted together, and only the narrow brackets
-    are ranked: no task sees all values, and the result is exact. The sketch errs by at most n / accuracy ranks.
+    are ranked, slice by slice: no task sees all values, and the result is exact. The sketch errs by at most n / accuracy ranks.
     """
     v = df.select(F.col(column).cast("double").alias("v")).where("v IS NOT NULL")
     points = [0.25, 0.5, 0.75]
@@ -133,11 +134,18 @@ def numeric_profile(df: DataFrame, column: str, accuracy: int = 100_000) -> Data
     below = counted.agg(*[
         F.coalesce(F.sum(F.when(F.col("v") < bound(2 * i), F.col("n"))), F.lit(0)).alias(f"below{i}")
         for i in range(len(points))])
-    w = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    # a bracket is ranked in slices of its value range: slice totals first, then inside each slice
+    inside = Window.partitionBy("slice").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)  # at most SLICES rows
     near = []
     for i, p in enumerate(points):
-        bracket = counted.where(F.col("v").between(bound(2 * i), bound(2 * i + 1)))
-        ranked = bracket.withColumn("upto", F.sum("n").over(w) + below.select(f"below{i}").scalar())
+        lo, hi = bound(2 * i), bound(2 * i + 1)
+        share = F.when(hi > lo, (F.col("v") - lo) / (hi - lo)).otherwise(0.0)
+        bracket = counted.where(F.col("v").between(lo, hi)).withColumn("slice", F.floor(share * (SLICES - 1)))
+        before = bracket.groupBy("slice").agg(F.sum("n").alias("n")).select(
+            "slice", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+        ranked = bracket.join(before, "slice").withColumn(
+            "upto", F.sum("n").over(inside) + F.col("before") + below.select(f"below{i}").scalar())
         rank = F.lit(p) * (whole.select("count").scalar() - 1)
         near.append(ranked.select(F.lit(i).alias("q"), "v", "upto", rank.alias("rank")))
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablefolio.functions.fuzzy import SCORERS
@@ -76,12 +76,24 @@ def named_blocks(names: DataFrame, blocks: DataFrame) -> DataFrame:
     return distinct.join(blocks, "identifier")
 
 
-def _rank(blocked: DataFrame, entries: DataFrame, scorer: str, top: int) -> DataFrame:
-    """The best `top` entries of each name: the best of every list first, then the best of those."""
+def _can_exceed(name: Column, other: Column, limit: int) -> Column:
+    """Whether the ratio of two texts of these lengths can exceed `limit`: all of the shorter one would be common."""
+    a, b = F.length(name), F.length(other)
+    return F.round(200.0 * F.least(a, b) / F.greatest(a + b, F.lit(1))) > limit
+
+
+def _rank(blocked: DataFrame, entries: DataFrame, scorer: str, top: int, above: int | None = None) -> DataFrame:
+    """The best `top` entries of each name: the best of every list first, then the best of those.
+
+    With `above` only scores above it count, and for `ratio` entries whose length rules that out are not scored.
+    """
     entry = F.struct("company_name_master", "copies", "company_id", "scored")
     lists = entries.groupBy("identifier", "list").agg(F.collect_list(entry).alias("entries"))
     turns = blocked.withColumn("list", F.explode(F.sequence(F.lit(0).cast("long"), F.col("lists") - 1)))
     met = turns.join(lists, ["identifier", "list"])
+    if above is not None and scorer == "ratio":
+        met = met.withColumn("entries", F.filter("entries", lambda e: _can_exceed(F.col("scored"), e["scored"], above)))
+        met = met.where(F.size("entries") > 0)
     scored = met.withColumn("scores", SCORERS[scorer](F.col("scored"), F.transform("entries", lambda e: e["scored"])))
     ranked = F.array_sort(F.zip_with("entries", "scores", lambda e, s: F.struct(
         (-s).alias("minus"), e["company_name_master"].alias("candidate"), e["company_id"].alias("company_id"),
@@ -138,7 +150,7 @@ def name_ids(names: DataFrame, master: DataFrame, scorer: str = "ratio", accept_
     settled = alone | (F.col("equal_copies").isNotNull() & sure)
     easy = seen.where(settled).select("company_name", F.when(alone, F.col("only_id")).when(
         F.col("equal_copies") == 1, F.col("equal_id")).alias("company_id"))
-    hard = _rank(seen.where(~settled).select(*blocked.columns), entries, scorer, 2)
+    hard = _rank(seen.where(~settled).select(*blocked.columns), entries, scorer, 2, accept_above)
     return easy.unionByName(decide(hard, accept_above).select("company_name", "company_id")).where(
         "company_id IS NOT NULL")
 

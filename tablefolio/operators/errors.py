@@ -54,6 +54,18 @@ def message(code: Column, level: Column, description: Column) -> Column:
     return F.format_string("[%s] %s: %s", code, level, description)
 
 
+def without_tables(manifests: DataFrame) -> DataFrame:
+    """Warnings for element manifests (`name`, `elements`) that name no table file."""
+    empty = ~F.coalesce(F.exists("elements", lambda e: e["filePaths"].isNotNull()), F.lit(False))
+    return manifests.where(empty).select("name", *error_row("WRN-EX1004"))
+
+
+def without_pages(registry: DataFrame) -> DataFrame:
+    """Warnings for documents of the page registry in which no table page was found."""
+    missing = registry.where(~F.col("is_processed")).select("report_path", F.lit("WRN-EX1009").alias("code"))
+    return missing.select("report_path", "code", *describe(F.col("code"), F.col("report_path")))
+
+
 def admit_reports(reports: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split reports (`report_path`, `file_bytes`, `page_count`) into admitted ones and error rows."""
     code = F.when(F.col("file_bytes") > MAX_FILE_BYTES, "ERR-EX1001").when(F.col("page_count") > MAX_PAGES, "ERR-EX1002")

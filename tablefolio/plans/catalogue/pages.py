@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tablefolio.operators import grid as G
 from tablefolio.operators import pages as PG
+from tablefolio.operators.errors import without_pages
 from tablefolio.operators.ordered import RowOrder, settled
 from tablefolio.plans.catalogue import Catalogue, heavy, table
 from tablefolio.rules import CARRY_METRICS, DEFAULT_RULES, HEADER_METRICS
@@ -38,6 +39,14 @@ _SIZE = "8.0 + {l} % 15"
 _DIR = "CASE WHEN {p} % 50 = 49 THEN 0.5 WHEN {p} % 3 = 0 THEN -1.0 ELSE 1.0 END"
 
 
+def _page_counts(spark, sf):
+    """Pages of each document, counted before any span is built: the scan reads the ids alone."""
+    table(spark, sf, "documents").createOrReplaceTempView("tablefolio_page_ids")
+    pages = spark.sql(PAGE_TEXT.format(T="tablefolio_page_ids"))
+    docs = pages.groupBy(F.col("doc_id").alias("doc_ord")).agg(F.count("*").cast("int").alias("page_count"))
+    return docs.withColumn("report_path", F.expr(_PATH.format(d="string(doc_ord)")))
+
+
 def _pages(spark, sf):
     heavy(spark, sf, "documents", "doc_id").createOrReplaceTempView("tablefolio_documents")
     raw = spark.sql(PAGE_TEXT.format(T="tablefolio_documents"))
@@ -197,22 +206,27 @@ SELECT {_PATH.format(d='doc_id')} AS report_path, concat('q', doc_id, '.pdf') AS
   CAST(CASE WHEN page IS NOT NULL THEN row_number() OVER (ORDER BY CASE WHEN page IS NULL THEN 1 ELSE 0 END, doc_id, page) END AS VARCHAR) AS page_new,
   table_type, page IS NOT NULL AS is_processed FROM docs LEFT JOIN chained USING (doc_id)""")
 def page_registry(spark, sf):
-    docs = _pages(spark, sf).groupBy(F.col("doc_id").alias("doc_ord")).agg(F.count("*").cast("int").alias("page_count"))
-    docs = docs.withColumn("report_path", F.expr(_PATH.format(d="string(doc_ord)")))
-    done = PG.number_pages(docs, _chain(spark, sf).withColumnRenamed("doc_id", "doc_ord"))
+    done = PG.number_pages(_page_counts(spark, sf), _chain(spark, sf).withColumnRenamed("doc_id", "doc_ord"))
     return done.drop("doc_ord").withColumns({c: F.col(c).cast("string") for c in ("page_ori", "page_new")})
 
 
+@QUERIES.add(f"""WITH RECURSIVE {SQL_CHAIN}
+SELECT {_PATH.format(d='doc_id')} AS report_path, 'WRN-EX1009' AS code, 'Warning' AS level,
+  'Cannot find page containing SIT or PST from the given report: ' || {_PATH.format(d='doc_id')} AS description
+FROM (SELECT DISTINCT doc_id FROM pg) WHERE doc_id NOT IN (SELECT doc_id FROM chained)""")
+def reports_without_pages(spark, sf):
+    found = PG.number_pages(_page_counts(spark, sf), _chain(spark, sf).withColumnRenamed("doc_id", "doc_ord"))
+    return without_pages(found)
+
+
 @QUERIES.add(f"""WITH RECURSIVE {SQL_CHAIN}, docs AS (SELECT doc_id, CAST(count(*) AS INT) AS page_count FROM pg GROUP BY 1),
 own_sit AS (SELECT doc_id, page FROM chained WHERE table_type = 'SIT')
 SELECT {_PATH.format(d='doc_id')} AS report_path, page_count, count(page) AS n_pages, count(page) > 0 AS is_processed
 FROM docs LEFT JOIN own_sit USING (doc_id) GROUP BY ALL""")
 def schedule_registry(spark, sf):
     """Documents without a schedule page stay in the registry as one row without a page."""
-    docs = _pages(spark, sf).groupBy(F.col("doc_id").alias("doc_ord")).agg(F.count("*").cast("int").alias("page_count"))
-    docs = docs.withColumn("report_path", F.expr(_PATH.format(d="string(doc_ord)")))
     schedules = _chain(spark, sf).where("table_type = 'SIT'").withColumnRenamed("doc_id", "doc_ord")
-    return PG.number_pages(docs, schedules).groupBy("report_path", "page_count").agg(
+    return PG.number_pages(_page_counts(spark, sf), schedules).groupBy("report_path", "page_count").agg(
         F.count("page_new").alias("n_pages"), F.max("is_processed").alias("is_processed"))
 
 

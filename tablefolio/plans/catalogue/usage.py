@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tablefolio.operators import analytics as A
 from tablefolio.plans.catalogue import Catalogue, table
+from tablefolio.operators.errors import without_tables
 from tablefolio.sources.records import manifest_elements, typed_activity, user_names
 
 QUERIES = Catalogue()
@@ -139,6 +140,21 @@ SELECT concat('doc', doc_id) AS name, CAST(n AS INT) AS page_count, concat('doc'
   CASE WHEN i % 3 = 0 THEN NULL ELSE CAST(len(string_split(s, ' ')) AS VARCHAR) END AS col_num, CAST(length(s) AS INT) AS row_num,
   CAST(i + 1 AS INT) AS page FROM f WHERE i % 7 <> 6""")
 def manifest_tables(spark, sf):
+    return manifest_elements(_manifests(spark, sf)).withColumn("col_num", F.col("col_num").cast("string"))
+
+
+@QUERIES.add("""SELECT concat('doc', doc_id) AS name, 'WRN-EX1004' AS code, 'Warning' AS level,
+  'No table extracted from the given pdf report' AS description FROM documents
+WHERE text IS NULL OR len(string_split(text, '. ')) = 0 OR (doc_id % 10 = 0)""")
+def manifests_without_tables(spark, sf):
+    """Every tenth manifest names no file."""
+    made = _manifests(spark, sf).withColumn("elements", F.when(
+        F.substring("name", -1, 1) == "0", F.transform("elements", lambda e: e.withField("filePaths", F.lit(None).cast("array<string>"))))
+        .otherwise(F.col("elements")))
+    return without_tables(made)
+
+
+def _manifests(spark, sf):
     parts = F.split("text", r"\. ")
 
     def element(s, i):
@@ -148,8 +164,7 @@ def manifest_tables(spark, sf):
             F.struct(F.when(i % 3 != 0, F.size(F.split(s, " "))).alias("NumCol"), F.length(s).alias("NumRow")
                      ).alias("attributes"))
 
-    made = table(spark, sf, "documents").select(
+    return table(spark, sf, "documents").select(
         F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("name"),
         F.struct(F.size(parts).alias("page_count")).alias("extended_metadata"),
         F.transform(parts, element).alias("elements"))
-    return manifest_elements(made).withColumn("col_num", F.col("col_num").cast("string"))

@@ -5,6 +5,7 @@ import json
 import pytest
 
 from tablefolio.sources import records, sinks
+from tablefolio.sources.csv_tables import read_tables
 from tablefolio.streaming.incremental import process_new_cells
 
 
@@ -38,7 +39,13 @@ def test_sinks(spark, tmp_path):
                                  "fund_name string, table_id string, row_idx int, values array<string>")
     sinks.write_tables(rows, str(tmp_path / "t"))
     assert {p.name for p in (tmp_path / "t").iterdir() if p.is_dir()} == {"fund_name=f1", "fund_name=f2"}
-    sinks.write_tables(rows, str(tmp_path / "c"), "csv")
+    heads = spark.createDataFrame([("f1", "t1", ["x", 'say "hi"']), ("f2", "t2", ["x", "y,z"])], "fund_name string, table_id string, header array<string>")
+    more = spark.createDataFrame([("f1", "t1", i, [f"a{i}", "two\nlines" if i == 4 else None]) for i in range(40)], rows.schema)
+    sinks.write_table_files(heads, rows.where("fund_name = 'f2'").union(more), str(tmp_path / "c"))
+    got_heads, got_rows = read_tables(spark, str(tmp_path / "c" / "*" / "*"), has_index_col=False)
+    assert sorted(r.header for r in got_heads.collect()) == [["x", 'say "hi"'], ["x", "y,z"]]
+    back = sorted((r.row_idx, r["values"]) for r in got_rows.where("table_id LIKE '%t1%'").collect())
+    assert back == [(i, [f"a{i}", "two\nlines" if i == 4 else None]) for i in range(40)]
     sinks.write_csv(rows.drop("values"), str(tmp_path / "x"))
     sinks.write_sheet(rows, str(tmp_path / "s"))
     done = sinks.read_done(spark, str(tmp_path / "s"), "table_id").where("table_id = 't1'")
