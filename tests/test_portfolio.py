@@ -152,3 +152,44 @@ def test_a_shared_folder_is_needed_outside_local_mode(spark, monkeypatch):
         with pytest.raises(ValueError):
             shared_folder(Elsewhere())
     assert shared_folder(spark)
+
+
+# Cost, value and ownership in percent of a published portfolio summary; names are invented.
+SUMMARY = """42,450,695 42,157,574 78.7
+17,290,800 17,290,800 86.5
+13,064,157 13,064,157 16.4
+11,350,325 11,350,325 19.8
+21,133,200 21,133,200 12.1
+28,818,000 28,818,000 18.7
+14,889,302 14,889,302 0.9
+12,295,679 12,295,679 16.8
+8,165,099 8,165,099 22.1
+24,014,998 24,014,998 8.8
+25,936,200 25,936,200 13.4
+15,177,480 15,177,480 17.9
+38,423,980 38,423,980 14.2
+15,849,900 15,849,900 14.6
+21,269,753 23,082,781 48.0
+136,375,828 132,806,156 84.1
+53,097,874 52,899,237 96.1
+26,896,785 26,896,785 13.4
+19,463,421 18,825,273 72.8
+35,500,892 34,867,339 37.2
+8,138,911 8,138,911 4.1
+25,696,024 25,696,024 -"""
+
+
+def test_golden_sums(spark, tmp_path):
+    """Sums without the two total rows, as published: cost, unrealized, total and the ownership shares."""
+    lines = ["Company  ,Business Description  ,Invested  ,Valuation  ,Realized  ,Total*  ,Gain/(Loss)  ,Investment Multiple  ,"
+             "Gross IRR  ,Current Ownership  ", "Unrealized  "]
+    for i, line in enumerate(SUMMARY.split("\n")):
+        cost, value, share = line.split()
+        lines.append(f'"Firm {i}, Inc.  ",text,"{cost}  ","{value}  ",0  ,"{value}  "," (1)  ",1.0  ,0.0%  ,{share + "%  " if share != "-" else ""}')
+    for label, sign in (("Sub Total", ""), ("Total", "$")):
+        lines.append(f',{label}  ,"{sign}615,299,303  ","{sign}611,779,200  ",{sign}0  ,"{sign}611,779,200  ","(3,520,103)  ",1.0  ,0.3%  ,')
+    (tmp_path / "summary.csv").write_text("\n".join(lines) + "\n")
+    built = build_portfolio(*read_tables(spark, str(tmp_path), has_index_col=False))
+    sums = metric_sums(built.facts, ["total_cost", "unrealized_value", "total", "ownership"]).first()
+    assert (sums.total_cost, sums.unrealized_value, sums.total) == (615299303, 611779200, 611779200)
+    assert round(sums.ownership, 3) == 6.966
