@@ -107,7 +107,7 @@ def packed(vectors: DataFrame, key: Column, name: str) -> DataFrame:
     def pack(table: pa.Table) -> pa.Table:
         ids, dim = table["id"].to_numpy(), table["dim"][0].as_py()
         flat = table["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-        if np.abs(flat).max(initial=0) >= LIMIT:
+        if flat.max(initial=0) >= LIMIT or flat.min(initial=0) <= -LIMIT:
             raise ValueError("a component is too large for exact scores")
         order = np.argsort(ids, kind="stable")
         return pa.table({"dim": pa.array([dim], pa.int32()), name: table[name].slice(0, 1),

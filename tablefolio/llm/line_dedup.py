@@ -119,15 +119,16 @@ def deletions(links: list, min_words: int) -> list[int]:
 
 
 def without_lines(text: str, gone: set[int]) -> str:
+    """The text without some of its lines, counted as in `line_rows`: blank is what holds ASCII white space only."""
     kept, p = [], 0
-    for line in text.split("\n"):
+    for line in text.encode().split(b"\n"):
         if line.strip():
             if p not in gone:
                 kept.append(line)
             p += 1
         else:
             kept.append(line)
-    return "\n".join(kept) if any(x.strip() for x in kept) else ""
+    return b"\n".join(kept).decode() if any(x.strip() for x in kept) else ""
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:

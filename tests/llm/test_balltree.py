@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from tablefolio.llm import balltree
 
@@ -50,6 +51,12 @@ def test_repeated_rows(spark):
     assert sorted(found(spark, rows)) == [(0, 1, 2, 256 * 768), (0, 2, 1, 256 * 512), (0, 3, 1, 256 * 512)]
 
 
+def test_too_large_components(spark):
+    for x in (1e30, -1e30, 1e7):
+        with pytest.raises(Exception, match="too large"):
+            found(spark, [(0, [x]), (1, [1.0])])
+
+
 def test_bounds_hold():
     rng = np.random.default_rng(0)
     points = rng.integers(-300, 300, (500, 8))

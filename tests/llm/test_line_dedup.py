@@ -84,6 +84,12 @@ def test_columns_repeats_nulls_and_empty_table(odd):
     assert NO_ID < 0
 
 
+def test_blank_is_ascii_white_space(odd):
+    line = "a line of ten words that two documents share here"
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(odd([line, "\u00a0\n \t\r\nown\n" + line + "\n\u2003"])).collect()}
+    assert got[1] == "\u00a0\n \t\r\nown\n\u2003"
+
+
 def test_long_document(odd):
     body = "\n".join(f"line number {k} has its own words and more than ten of them" for k in range(4000))
     got = {r.doc_id: r for r in line_dedup.dedup_lines(odd([body, "begin\n" + body + "\nend"])).collect()}
