@@ -5,9 +5,9 @@ so a 5-gram with its order is one long and its context and suffixes are shifts a
 and added up by shuffle; lower orders count distinct left neighbours; discounts come from counts of counts.
 
 Scoring never sends a row per document and n-gram. Each task packs its documents into chunks of about `CHUNK_BYTES`; a
-chunk asks once for each of its distinct 5-grams. Distinct 5-grams of all chunks are looked up in the model by one join
-(ten keys each: five n-grams, five contexts), answers go back to the chunks by a second join, and a chunk is scored where
-its answers meet its text. What moves grows with the distinct n-grams of the chunks, not with the text times the order.
+chunk asks each shard once for its distinct 5-grams there. The distinct 5-grams of a shard are looked up in the model by
+one join (ten keys each: five n-grams, five contexts), the shard answers its requests, and a chunk is scored where the
+answers meet its text. What moves grows with the distinct n-grams of the chunks, not with the text times the order.
 
 A document's excess is (bits a character - median of its language) * sqrt(characters), as short texts vary more. Its
 language's limit is Q3 + `FENCE` * (Q3 - Q1) of the excess of trusted documents that were held out of training
@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +35,7 @@ from tablefolio.session import written
 
 ORDER, SYMBOL_BITS = 5, 12
 START = (1 << SYMBOL_BITS) - 1
-CHUNK_BYTES, SLICE_CHARS = 16_000_000, 1_000_000
+CHUNK_BYTES, SLICE_CHARS = 8_000_000, 500_000
 FENCE, HELD_OUT, LEAST_HELD_OUT = 3.0, 0.2, 20
 BROADCAST_LABELS = 2_000_000
 
@@ -166,9 +167,9 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bytes, pa.
     def close(rows: list[pa.RecordBatch]) -> tuple[int, bytes, pa.Table]:
         table = pa.Table.from_batches(rows).combine_chunks()
         sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        with pa.ipc.new_stream(sink, table.schema) as out:
             out.write_table(table)
-        packed = sink.getvalue().to_pybytes()
+        packed = zstandard.compress(sink.getvalue(), 6)
         return int.from_bytes(hashlib.blake2b(packed, digest_size=8).digest(), "little", signed=True), packed, table
 
     rows, size = [], 0
@@ -186,8 +187,31 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bytes, pa.
         yield close(rows)
 
 
+def _pack(values: np.ndarray) -> bytes:
+    """64-bit values as bytes: first bytes of all, then second bytes, and so on, which compresses well."""
+    return zstandard.compress(np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes(), 3)
+
+
+def _unpack(blob: bytes, kind: type) -> np.ndarray:
+    raw = np.frombuffer(zstandard.decompress(blob), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(raw.T).reshape(-1).view(kind)
+
+
+def _prime(least: int) -> int:
+    """The first odd prime from `least` on: 5-grams modulo it depend on all their symbols."""
+    n = max(least, 3) | 1
+    while any(n % k == 0 for k in range(3, int(n ** 0.5) + 1, 2)):
+        n += 2
+    return n
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """(id, h, lang, n, bits): characters and mean bits a character of each row with text."""
+    """(id, h, lang, n, bits): characters and mean bits a character of each row with text.
+
+    The distinct 5-grams of a chunk go to the shards they belong to, packed: one row for each chunk and shard. A shard
+    finds its distinct 5-grams, the model answers those, and each request is answered where it is.
+    """
+    shards = _prime(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, _, table in _chunks(batches):
@@ -196,40 +220,78 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 for found in grams(text.as_py()):
                     c.add(found)
             c.settle()
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(c.keys), name)), pa.array(c.keys)], names=["chunk", "g"])
+            home = c.keys % shards
+            order = np.argsort(home, kind="stable")
+            keys, ends = c.keys[order], np.searchsorted(home[order], np.arange(shards + 1))
+            parts = [(s, _pack(np.diff(keys[a:b], prepend=0))) for s, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if b > a]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([s for s, _ in parts], pa.int32()), pa.array([name] * len(parts), pa.int64()),
+                 pa.array([x for _, x in parts], pa.binary())], names=["shard", "chunk", "grams"])
+
+    def requested(blob: pa.Scalar) -> np.ndarray:
+        return np.cumsum(_unpack(blob.as_py(), np.int64))
+
+    def distinct(requests: pa.Table) -> pa.Table:
+        keys = np.zeros(0, np.int64)
+        for blob in requests["grams"]:
+            keys = np.union1d(keys, requested(blob))
+        return pa.table({"g": pa.array(keys)})
+
+    def answer(types: pa.Table, requests: pa.Table) -> pa.Table:
+        order = np.argsort(types["g"].to_numpy())
+        keys, bits = types["g"].to_numpy()[order], -np.log2(types["p"].to_numpy()[order])
+        out = []
+        for blob in requests["grams"]:
+            wanted = requested(blob)
+            place = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+            _check(keys[place], wanted)
+            out.append(_pack(bits[place]))
+        return pa.table({"chunk": requests["chunk"], "grams": requests["grams"], "bits": pa.array(out, pa.binary())})
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, packed, _ in _chunks(batches):
             yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([packed], pa.binary())], names=["chunk", "packed"])
 
     def meet(chunks: pa.Table, answers: pa.Table) -> pa.Table:
-        order = np.argsort(answers["g"].to_numpy())
-        keys, bits = answers["g"].to_numpy()[order], -np.log2(answers["p"].to_numpy()[order])
+        none = [np.zeros(0, np.int64)]
+        keys = np.concatenate([requested(x) for x in answers["grams"]] or none)
+        bits = np.concatenate([_unpack(x.as_py(), np.float64) for x in answers["bits"]] or none)
+        order = np.argsort(keys)
+        keys, bits = keys[order], bits[order]
         out = []
         for packed in chunks["packed"]:
-            table = pa.ipc.open_stream(pa.py_buffer(packed.as_py())).read_all()
+            table = pa.ipc.open_stream(pa.py_buffer(zstandard.decompress(packed.as_py()))).read_all()
             n, total = [], []
             for text in table["text"]:
                 count, sum_bits = 0, 0.0
                 for found in grams(text.as_py()):
                     place = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
-                    if not (keys[place] == found).all():
-                        raise RuntimeError("the documents changed between two scans of them")
+                    _check(keys[place], found)
                     count, sum_bits = count + len(found), sum_bits + float(bits[place].sum())
                 n.append(count)
                 total.append(sum_bits / count)
             out.append(table.drop_columns("text").append_column("n", pa.array(n, pa.int64())).append_column("bits", pa.array(total)))
-        return pa.concat_tables(out).cast(pa.schema([("id", pa.int64()), ("h", pa.int64()), ("lang", pa.string()),
-                                                     ("n", pa.int64()), ("bits", pa.float64())]))
+        kinds = pa.schema([("id", pa.int64()), ("h", pa.int64()), ("lang", pa.string()), ("n", pa.int64()), ("bits", pa.float64())])
+        return pa.concat_tables(out).cast(kinds) if out else kinds.empty_table()
 
     texts = docs.select("id", "h", "lang", "text").where(F.length("text") > 0)
-    asked = texts.mapInArrow(ask, "chunk long, g long").distinct()
-    answers = asked.join(model.probabilities(asked.select("g").distinct()), "g")
+    asked = texts.mapInArrow(ask, "shard int, chunk long, grams binary").repartition("shard")
+    types = model.probabilities(asked.groupBy("shard").applyInArrow(distinct, "g long")).withColumn(
+        "shard", F.pmod("g", F.lit(shards)).cast("int"))
+    requests = asked.select(*[F.col(c).alias(c) for c in asked.columns])
+    answers = types.groupBy("shard").cogroup(requests.groupBy("shard")).applyInArrow(
+        answer, "chunk long, grams binary, bits binary")
     packed = texts.mapInArrow(pack, "chunk long, packed binary")
     return packed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
         meet, "id long, h long, lang string, n long, bits double")
 
 
+def _check(have: np.ndarray, wanted: np.ndarray) -> None:
+    """Chunks are made in two scans of the documents; a difference between these must not pass unseen."""
+    if not np.array_equal(have, wanted):
+        raise RuntimeError("the documents changed between two scans of them")
+
+
 def trusted_ids(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Documents that all their labels call good and not toxic, and whether each is held out."""
     good = (F.col("quality") == 1) & (F.col("toxic") == 0)
