@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from tablefolio.llm.common import bound_batches
 
 LEAF_CHARS = 32_768
-MEMO_UNITS = 800_000
-MEMO_PIECES = 100_000
+MEMO_UNITS = 500_000
+MEMO_PIECES = 30_000
 WINDOW = 16
 BATCH_CHARS = 2_000_000
 
@@ -85,12 +85,16 @@ class Codec:
         self.reach = max(map(len, self.added), default=1)
         self.memo_units = memo_units
         self.memo: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
         self.pieces: dict[str, Piece] = {}
 
     def _learn(self, units: set[bytes]) -> None:
-        if len(self.memo) + len(units) > self.memo_units:
-            self.memo = {u: self.memo[u] for u in units if u in self.memo}
-        new = [u for u in units if u not in self.memo]
+        """Have all `units` in `memo`. Units live for two generations, so frequent ones stay and rare ones go."""
+        if len(self.memo) + len(units) > self.memo_units // 2:
+            self.old, self.memo = self.memo, {}
+        missing = [u for u in units if u not in self.memo]
+        self.memo.update((u, self.old[u]) for u in missing if u in self.old)
+        new = [u for u in missing if u not in self.memo]
         for u, e in zip(new, self.tok.encode_batch_fast([u.decode() for u in new], add_special_tokens=False), strict=True):
             self.memo[u] = np.array(e.ids, "<u4").tobytes()
 
