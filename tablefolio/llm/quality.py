@@ -30,6 +30,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablefolio.llm.bpe import codec
 from tablefolio.llm.common import bound_batches, count_at_most
 from tablefolio.session import written
 
@@ -172,6 +173,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bytes, pa.
         packed = zstandard.compress(sink.getvalue(), 6)
         return int.from_bytes(hashlib.blake2b(packed, digest_size=8).digest(), "little", signed=True), packed, table
 
+    codec.cache_clear()  # a worker that has encoded texts before gives that memory back
     rows, size = [], 0
     for batch in batches:
         step = max(1, int(batch.num_rows * CHUNK_BYTES / max(batch.nbytes, 1)))
