@@ -9,11 +9,15 @@ chunk asks each shard once for its distinct 5-grams there. The distinct 5-grams
 one join (ten keys each: five n-grams, five contexts), the shard answers its requests, and a chunk is scored where the
 answers meet its text. What moves grows with the distinct n-grams of the chunks, not with the text times the order.
 
-A document's excess is (bits a character - median of its language) * sqrt(characters), as short texts vary more. Its
-language's limit is Q3 + `FENCE` * (Q3 - Q1) of the excess of trusted documents that were held out of training
-(`HELD_OUT` of them, by a hash of the id). Documents above it are rejected.
-
-Defined results: null and empty texts have no perplexity and are kept; a null language is a language of its own; a
+A document has two scores. Its excess is (bits a character - median of its language) * sqrt(characters), as short texts
+vary more. Its worst word is the largest (bits of the word - its letters * bits a character of the document) /
+sqrt(letters) of all runs of letters, so that a few words that trusted text does not have count however long the text
+is; runs of more than `WORD_CHARS` letters are scored in pieces. The largest of many words is larger, so the worst word
+is taken less slope * log2(characters), the slope (0 or more) being that of all held-out documents. Each score's limit
+is the quantile of its language at 1 - `CLEAN_LOSS` among trusted documents that were held out of training (`HELD_OUT`
+of them, by a hash of the id). Documents above one of the limits are rejected.
+
+Defined results: null and empty texts have no perplexity and are kept; texts without letters have no worst word; a null language is a language of its own; a
 language with fewer than `LEAST_HELD_OUT` held-out documents takes the limit of all languages together; without trusted
 text nothing is rejected; rows with equal ids are scored one by one; labels that name a document twice must agree that it
 is trusted; other columns are ignored; an empty table gives an empty table.
@@ -23,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +42,8 @@ from tablefolio.session import written
 ORDER, SYMBOL_BITS = 5, 12
 START = (1 << SYMBOL_BITS) - 1
 CHUNK_BYTES, SLICE_CHARS = 8_000_000, 500_000
-FENCE, HELD_OUT, LEAST_HELD_OUT = 3.0, 0.2, 20
+CLEAN_LOSS, HELD_OUT, LEAST_HELD_OUT = 0.01, 0.2, 20
+WORD_CHARS = 24
 BROADCAST_LABELS = 2_000_000
 
 
@@ -55,6 +61,51 @@ def grams(text: str) -> Iterator[np.ndarray]:
         yield out.astype(np.int64)
 
 
+@cache
+def _letters() -> np.ndarray:
+    """For each code point whether it is a letter."""
+    return np.fromiter((chr(p).isalpha() for p in range(0x110000)), bool, 0x110000)
+
+
+class Words:
+    """The largest sum of bits of the words of a text, for each length; texts come slice by slice."""
+
+    def __init__(self) -> None:
+        self.best = np.full(WORD_CHARS + 1, -np.inf)
+        self.length, self.sum = 0, 0.0  # of the word that the last slice left open
+
+    def add(self, text: str, bits: np.ndarray) -> None:
+        letter = _letters()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")]
+        places = np.arange(len(letter))
+        # letters since the word began, in an earlier slice perhaps
+        offset = places - np.maximum.accumulate(np.where(letter, -1, places)) - 1
+        offset += np.where(np.logical_and.accumulate(letter), self.length, 0)
+        starts = np.flatnonzero(letter & (offset % WORD_CHARS == 0))
+        starts = np.concatenate([[0], starts[starts > 0]])
+        lengths = np.add.reduceat(letter.astype(np.int64), starts)
+        sums = np.add.reduceat(np.where(letter, bits, 0.0), starts)
+        if letter[0] and self.length < WORD_CHARS:
+            lengths[0] += self.length
+            sums[0] += self.sum
+        else:
+            self.close()
+        self.length, self.sum = 0, 0.0
+        if letter[-1]:
+            self.length, self.sum = int(lengths[-1]), float(sums[-1])
+            lengths, sums = lengths[:-1], sums[:-1]
+        np.maximum.at(self.best, lengths[lengths > 0], sums[lengths > 0])
+
+    def close(self) -> None:
+        if self.length:
+            self.best[self.length] = max(self.best[self.length], self.sum)
+        self.length, self.sum = 0, 0.0
+
+    def worst(self, mean: float) -> float | None:
+        self.close()
+        sizes = np.flatnonzero(self.best > -np.inf)
+        return float(((self.best[sizes] - mean * sizes) / np.sqrt(sizes)).max()) if len(sizes) else None
+
+
 class Counter:
     """Distinct n-grams and their counts in bounded memory."""
 
@@ -208,7 +259,7 @@ def _prime(least: int) -> int:
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """(id, h, lang, n, bits): characters and mean bits a character of each row with text.
+    """(id, h, lang, n, bits, worst): characters, mean bits a character and worst word of each row with text.
 
     The distinct 5-grams of a chunk go to the shards they belong to, packed: one row for each chunk and shard. A shard
     finds its distinct 5-grams, the model answers those, and each request is answered where it is.
@@ -263,17 +314,21 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         out = []
         for packed in chunks["packed"]:
             table = pa.ipc.open_stream(pa.py_buffer(zstandard.decompress(packed.as_py()))).read_all()
-            n, total = [], []
-            for text in table["text"]:
-                count, sum_bits = 0, 0.0
-                for found in grams(text.as_py()):
+            n, total, worst = [], [], []
+            for scalar in table["text"]:
+                text, count, sum_bits, words = scalar.as_py(), 0, 0.0, Words()
+                for found in grams(text):
                     place = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
                     _check(keys[place], found)
+                    words.add(text[count:count + len(found)], bits[place])
                     count, sum_bits = count + len(found), sum_bits + float(bits[place].sum())
                 n.append(count)
                 total.append(sum_bits / count)
-            out.append(table.drop_columns("text").append_column("n", pa.array(n, pa.int64())).append_column("bits", pa.array(total)))
-        kinds = pa.schema([("id", pa.int64()), ("h", pa.int64()), ("lang", pa.string()), ("n", pa.int64()), ("bits", pa.float64())])
+                worst.append(words.worst(sum_bits / count))
+            out.append(table.drop_columns("text").append_column("n", pa.array(n, pa.int64())).append_column(
+                "bits", pa.array(total)).append_column("worst", pa.array(worst, pa.float64())))
+        kinds = pa.schema([("id", pa.int64()), ("h", pa.int64()), ("lang", pa.string()), ("n", pa.int64()), ("bits", pa.float64()),
+                           ("worst", pa.float64())])
         return pa.concat_tables(out).cast(kinds) if out else kinds.empty_table()
 
     texts = docs.select("id", "h", "lang", "text").where(F.length("text") > 0)
@@ -285,7 +340,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         answer, "chunk long, grams binary, bits binary")
     packed = texts.mapInArrow(pack, "chunk long, packed binary")
     return packed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
-        meet, "id long, h long, lang string, n long, bits double")
+        meet, "id long, h long, lang string, n long, bits double, worst double")
 
 
 def _check(have: np.ndarray, wanted: np.ndarray) -> None:
@@ -302,25 +357,28 @@ def trusted_ids(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
         "id", (F.pmod(F.xxhash64("id"), F.lit(1000)) < int(1000 * HELD_OUT)).alias("held_out"))
 
 
-def limits(scores: DataFrame, fence: float = FENCE) -> DataFrame:
-    """(lang, median, limit) from held-out trusted documents; the row with `every` set is for all other languages."""
-    known = scores.select(F.explode(F.array(F.struct(F.col("lang"), F.lit(False).alias("every")),
-                                            F.struct(F.lit(None).cast("string").alias("lang"), F.lit(True).alias("every")))).alias("of"),
-                          "n", "bits").select("of.*", "n", "bits")
+def limits(scores: DataFrame, loss: float = CLEAN_LOSS) -> DataFrame:
+    """(lang, median, limit, slope, word_limit) from held-out trusted documents; the row with `every` set is for all other
+    languages."""
+    slope = scores.agg(F.greatest(F.lit(0.0), F.round(F.regr_slope("worst", F.log2("n")), 3)).alias("slope"))
+    known = scores.crossJoin(F.broadcast(slope)).select(
+        F.explode(F.array(F.struct(F.col("lang"), F.lit(False).alias("every")),
+                          F.struct(F.lit(None).cast("string").alias("lang"), F.lit(True).alias("every")))).alias("of"),
+        "n", "bits", "slope", (F.col("worst") - F.col("slope") * F.log2("n")).alias("local")).select("of.*", "n", "bits", "slope", "local")
     # values on a grid, so that exact percentiles keep few of them
     middle = known.groupBy("lang", "every").agg(F.percentile(F.round("bits", 3), 0.5).alias("median"), F.count("*").alias("docs"))
     middle = middle.where(F.col("every") | (F.col("docs") >= LEAST_HELD_OUT))
     middle = middle.select(F.col("lang").alias("of"), F.col("every").alias("of_every"), "median")
     excess = known.join(middle, F.col("lang").eqNullSafe(F.col("of")) & (F.col("every") == F.col("of_every"))).select(
-        "lang", "every", "median", ((F.col("bits") - F.col("median")) * F.sqrt("n")).alias("excess"))
-    quarters = excess.groupBy("lang", "every", "median").agg(
-        F.percentile(F.round("excess", 2), F.array(F.lit(0.25), F.lit(0.75))).alias("q"))
-    return quarters.select("lang", "every", "median", (F.col("q")[1] + fence * (F.col("q")[1] - F.col("q")[0])).alias("limit"))
+        "lang", "every", "median", "slope", "local", ((F.col("bits") - F.col("median")) * F.sqrt("n")).alias("excess"))
+    return excess.groupBy("lang", "every", "median", "slope").agg(
+        F.percentile(F.round("excess", 2), 1 - loss).alias("limit"), F.percentile(F.round("local", 2), 1 - loss).alias("word_limit"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-             fence: float = FENCE) -> DataFrame:
-    """Per row: `id_col`, `lang_col`, `h` (hash of the text), `n_scored`, `perplexity`, `excess`, `limit`, `kept`."""
+             loss: float = CLEAN_LOSS) -> DataFrame:
+    """Per row: `id_col`, `lang_col`, `h` (hash of the text), `n_scored`, `perplexity`, `excess`, `limit`, `worst_word`,
+    `word_limit`, `kept`."""
     bound_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("h"),
                        F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
@@ -329,26 +387,26 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
         trusted = F.broadcast(trusted)
     model = Model.train(rows.join(trusted.where("NOT held_out"), "id", "left_semi"))
     names = [F.col("id").alias(id_col), F.col("lang").alias(lang_col), "h"]
+    unknown = [F.lit(None).cast("double").alias(c) for c in ("perplexity", "excess", "limit", "worst_word", "word_limit")]
     if model is None:
-        none = F.lit(None).cast("double")
-        return rows.select(*names, F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_scored"), none.alias("perplexity"),
-                           none.alias("excess"), none.alias("limit"), F.lit(True).alias("kept"))
+        return rows.select(*names, F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_scored"), *unknown, F.lit(True).alias("kept"))
     scores = written(score(rows, model), "quality-scores")
-    bounds = limits(scores.join(trusted.where("held_out"), "id", "left_semi"), fence)
+    bounds = limits(scores.join(trusted.where("held_out"), "id", "left_semi"), loss)
     bounds = written(bounds, "quality-limits")  # a row per language
     every = bounds.where("every").first()
-    own = bounds.where("NOT every").select(F.col("lang").alias("of"), "median", F.col("limit").alias("own"))
+    named = ("median", "limit", "slope", "word_limit")
+    own = bounds.where("NOT every").select(F.col("lang").alias("of"), *[F.col(c).alias(f"own_{c}") for c in named])
     judged = scores.join(own, F.col("lang").eqNullSafe(F.col("of")), "left")
-    fall_back = [F.lit(every[c] if every else None).cast("double") for c in ("median", "limit")]
-    median, limit = F.coalesce("median", fall_back[0]), F.coalesce("own", fall_back[1])
+    median, limit, slope, word_limit = [
+        F.coalesce(f"own_{c}", F.lit(every[c] if every else None).cast("double")) for c in named]
     excess = (F.col("bits") - median) * F.sqrt("n")
+    local = F.col("worst") - slope * F.log2("n")
     judged = judged.select(F.col("id").alias(id_col), F.col("lang").alias(lang_col), "h", F.col("n").alias("n_scored"),
                            F.pow(F.lit(2.0), "bits").alias("perplexity"), excess.alias("excess"), limit.alias("limit"),
-                           F.coalesce(excess <= limit, F.lit(True)).alias("kept"))
-    none = F.lit(None).cast("double")
+                           local.alias("worst_word"), word_limit.alias("word_limit"),
+                           (F.coalesce(excess <= limit, F.lit(True)) & F.coalesce(local <= word_limit, F.lit(True))).alias("kept"))
     empty = rows.where(F.coalesce(F.length("text"), F.lit(0)) == 0).select(
-        *names, F.lit(0).cast("long").alias("n_scored"), none.alias("perplexity"), none.alias("excess"), none.alias("limit"),
-        F.lit(True).alias("kept"))
+        *names, F.lit(0).cast("long").alias("n_scored"), *unknown, F.lit(True).alias("kept"))
     return judged.unionByName(empty)
 
 

@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 from collections import Counter, defaultdict
 
 import pytest
@@ -110,6 +111,40 @@ def test_without_trusted_text_and_without_rows(spark, odd):
     assert quality.classify(odd([]), spark.createDataFrame([(1, 1, 0, "x")], LABELS)).collect() == []
 
 
+def test_worst_word_slice_by_slice(monkeypatch):
+    monkeypatch.setattr(quality, "WORD_CHARS", 5)
+    rng = random.Random(4)
+    for _ in range(300):
+        text = "".join(rng.choices("abé 中-1", k=rng.randint(1, 40)))
+        cost = [rng.random() * 8 for _ in text]
+        words, step = quality.Words(), rng.randint(1, 12)
+        for i in range(0, len(text), step):
+            words.add(text[i:i + step], quality.np.array(cost[i:i + step]))
+        want = []
+        for run in re.finditer(r"[abé中]+", text):
+            for a in range(run.start(), run.end(), 5):
+                part = cost[a:min(a + 5, run.end())]
+                want.append((sum(part) - 2 * len(part)) / len(part) ** 0.5)
+        got = words.worst(2.0)
+        assert got is None if not want else got == pytest.approx(max(want))
+
+
+def test_strange_words_in_clean_prose(spark, odd, labelled):
+    texts, labels = labelled
+    rng = random.Random(9)
+    planted = []
+    for n in range(60, 180, 4):
+        words = prose(rng, n).split()
+        for word in ("idiot", "moron"):
+            words[rng.randrange(n)] = word
+        planted.append(" ".join(words))
+    got = {r.doc_id: r for r in quality.classify(odd(texts + planted), spark.createDataFrame(labels, LABELS)).collect()}
+    gone = [not got[i].kept for i in range(400, 400 + len(planted))]
+    assert sum(gone) >= 0.9 * len(gone)
+    clean = [i for i in range(400) if i % 10 != 9]
+    assert sum(got[i].kept for i in clean) >= 0.96 * len(clean)
+
+
 def test_labels_must_agree(spark):
     rows = [(1, 1, 0, "x"), (1, 1, 0, "x"), (2, 1, 0, "x"), (2, 0, 0, "x"), (3, 1, 1, "x"), (4, 1, None, "x")]
     assert [r.id for r in quality.trusted_ids(spark.createDataFrame(rows, LABELS)).collect()] == [1]
