@@ -26,7 +26,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def without_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the blocks they share with earlier ones; a document that has nothing else goes."""
-    out = line_dedup.dedup_lines(docs)
+    out = line_dedup.dedup_lines(docs, by_partner=True)
     left = F.col("deleted_lines").isNull() | (F.length("text") > 0)
     size = F.when(F.col("deleted_lines").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast("long")
     return out.where(left).withColumn("n_chars", size).select(*docs.columns)

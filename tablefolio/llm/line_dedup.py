@@ -10,6 +10,15 @@
 4. A run of neighbouring aligned lines with `MIN_WORDS` words or more is deleted from the later document. So short lines
    go only together with their neighbours.
 
+With `by_partner`, as the query and the pipeline have it, documents that share a block are aligned with each other:
+
+* Beside its lines, a document gives the shortest runs of two or more lines that begin, and that end, at each line and
+  have `MIN_WORDS` words. Each is linked to its first holder like a line, and goes as a whole. Every line of a block that
+  stands in one earlier document, and has `MIN_WORDS` words, is in such a run or has as many words itself.
+* The first holders of such runs and of lines of `MIN_WORDS` words are the document's partners. It is aligned on all
+  lines it has in common with a partner, whoever held them first.
+* Runs of neighbouring aligned lines are formed within one earlier document, never across several.
+
 Documents are ordered by id, then by a hash of the text. Defined results: null and empty texts stay as they are; rows
 without id come first; rows with equal id and text are one document and get the same result; blank lines stay; all other
 columns pass through, whatever their names; an empty table gives an empty table.
@@ -31,23 +40,46 @@ from pyspark.sql import types as T
 
 from tablefolio.llm.bpe import bounded
 from tablefolio.llm.common import NO_ID, bound_batches
+from tablefolio.session import written
 
 MIN_WORDS = 10
 
 
-def line_rows(docs: DataFrame) -> DataFrame:
-    """(id, h, pos, words, a, b) for each line that is not blank; `pos` counts these lines from 0."""
-    names = ["id", "h", "pos", "words", "a", "b"]
+def least_runs(words: list[int], min_words: int) -> set[tuple[int, int]]:
+    """(first, end) of the shortest runs of two or more lines that begin, and that end, at each line with `min_words`."""
+    found, begin, size = set(), 0, 0
+    for end, n in enumerate(words, 1):
+        size += n
+        while size - words[begin] >= min_words and begin < end - 1:
+            size -= words[begin]
+            begin += 1
+        if size >= min_words:
+            found.add((begin, end))
+    end, size = 0, 0
+    for begin, n in enumerate(words):
+        while end < len(words) and size < min_words:
+            size += words[end]
+            end += 1
+        if size >= min_words:
+            found.add((begin, end))
+        size -= n
+    return {(a, b) for a, b in found if b - a > 1}
+
+
+def line_rows(docs: DataFrame, run_words: int | None = None) -> DataFrame:
+    """(id, h, pos, words, size, a, b) for each line that is not blank; `pos` counts these lines from 0. With `run_words`
+    also the least runs of so many words, `size` lines each."""
+    names = ["id", "h", "pos", "words", "size", "a", "b"]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, hs = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             raw = batch.column(2).cast(pa.binary()).to_pylist()
             for part in bounded(raw, 8_000_000):
-                row, pos, words, digests = [], [], [], []
+                row, pos, words, sizes, digests = [], [], [], [], []
                 for i, text in enumerate(raw[part], part.start):
                     seen: dict[bytes, int] = defaultdict(int)
-                    p = 0
+                    p, lines = 0, []
                     for line in text.split(b"\n"):
                         line = line.strip()
                         if line:
@@ -55,14 +87,24 @@ def line_rows(docs: DataFrame) -> DataFrame:
                             row.append(i)
                             pos.append(p)
                             words.append(line.count(b" ") + 1)
+                            sizes.append(1)
+                            lines.append(line)
                             digests.append(hashlib.md5(line + b"\n%d" % seen[line]).digest())
                             p += 1
+                    if run_words is not None and p > 1:
+                        counts = words[-p:]
+                        for first, end in sorted(least_runs(counts, run_words)):
+                            row.append(i)
+                            pos.append(first)
+                            words.append(sum(counts[first:end]))
+                            sizes.append(end - first)
+                            digests.append(hashlib.md5(b"\n".join(lines[first:end]) + b"\n\n").digest())
                 key = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[row]), pa.array(hs[row]), pa.array(pos, pa.int32()), pa.array(words, pa.int32()),
-                     pa.array(key[:, 0].copy()), pa.array(key[:, 1].copy())], names=names)
+                     pa.array(sizes, pa.int32()), pa.array(key[:, 0].copy()), pa.array(key[:, 1].copy())], names=names)
 
-    return docs.mapInArrow(scan, "id long, h long, pos int, words int, a long, b long")
+    return docs.mapInArrow(scan, "id long, h long, pos int, words int, size int, a long, b long")
 
 
 def increasing(places: list[int]) -> list[int]:
@@ -106,10 +148,27 @@ def deletions(links: list, min_words: int) -> list[int]:
     keep: set[int] = set()
     for own in by_owner.values():
         keep |= aligned([x["pos"] for x in own], [x["opos"] for x in own], [x["words"] for x in own], min_words)
+    return long_runs([x for x in links if x["pos"] in keep], min_words)
+
+
+def partner_deletions(links: list, min_words: int) -> list[int]:
+    """Lines to delete of one document: whole runs it shares (`size` > 1), and runs of lines aligned to one earlier one."""
+    by_owner, out = defaultdict(list), set()
+    for x in sorted(links, key=lambda x: x["pos"]):
+        if x["size"] > 1:
+            out.update(range(x["pos"], x["pos"] + x["size"]))
+        else:
+            by_owner[x["oid"], x["oh"]].append(x)
+    for own in by_owner.values():
+        keep = aligned([x["pos"] for x in own], [x["opos"] for x in own], [x["words"] for x in own], min_words)
+        out.update(long_runs([x for x in own if x["pos"] in keep], min_words))
+    return sorted(out)
+
+
+def long_runs(links: list, min_words: int) -> list[int]:
+    """The lines of runs of neighbours with `min_words` words or more."""
     out, run, size = [], [], 0
     for x in links:
-        if x["pos"] not in keep:
-            continue
         if run and x["pos"] != run[-1] + 1:
             out += run if size >= min_words else []
             run, size = [], 0
@@ -131,23 +190,44 @@ def without_lines(text: str, gone: set[int]) -> str:
     return b"\n".join(kept).decode() if any(x.strip() for x in kept) else ""
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+def _with_partners(shared: DataFrame, later: DataFrame, min_words: int) -> DataFrame:
+    """Links to the lines that partners hold, but did not hold first."""
+    partners = later.where((F.col("size") > 1) | (F.col("words") >= min_words)).select(
+        "id", "h", F.col("oid").alias("pid"), F.col("oh").alias("ph")).distinct()
+    lines = shared.where("size = 1")
+    asked = lines.join(partners, ["id", "h"]).where((F.col("oid") != F.col("pid")) | (F.col("oh") != F.col("ph"))).drop(
+        "oid", "oh", "opos")
+    held = lines.select(F.col("id").alias("oid"), F.col("h").alias("oh"), F.col("pos").alias("opos"), F.col("a").alias("ha"),
+                        F.col("b").alias("hb"))
+    same = (F.col("pid") == F.col("oid")) & (F.col("ph") == F.col("oh")) & (F.col("a") == F.col("ha")) & (F.col("b") == F.col("hb"))
+    return asked.join(held, same)
+
+
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
+                by_partner: bool = False) -> DataFrame:
     """All rows and columns of `docs` with shared blocks deleted from `text_col`, and `deleted_lines` (their places among
     the lines that are not blank) and `shared_with` (ids of the earlier documents linked to), both null where none are."""
     bound_batches(docs.sparkSession)
     key = [F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(text_col).alias("h")]
     texts = docs.where(F.col(text_col).isNotNull()).select(*key, F.col(text_col).alias("text"))
-    lines = line_rows(texts)
+    lines = line_rows(texts, min_words if by_partner else None)
     first = lines.groupBy("a", "b").agg(
         F.min(F.struct("id", "h", "pos")).alias("o"), F.count("*").alias("n")).where("n > 1").select("a", "b", "o")
-    links = lines.join(first, ["a", "b"]).where(
-        (F.col("id") != F.col("o.id")) | (F.col("h") != F.col("o.h"))).select(
-        "id", "h", F.struct("pos", "words", F.col("o.id").alias("oid"), F.col("o.h").alias("oh"),
-                            F.col("o.pos").alias("opos")).alias("link")).distinct()
+    shared = lines.join(first, ["a", "b"]).select(
+        "id", "h", "pos", "words", "size", "a", "b", F.col("o.id").alias("oid"), F.col("o.h").alias("oh"), F.col("o.pos").alias("opos"))
+    if by_partner:
+        shared = written(shared, "line-links")
+    later = shared.where((F.col("id") != F.col("oid")) | (F.col("h") != F.col("oh")))
+    fields = ["id", "h", "pos", "words", "size", "oid", "oh", "opos"]
+    links = later.select(*fields)
+    if by_partner:
+        links = links.unionByName(_with_partners(shared, later, min_words).select(*fields))
+    links = links.select("id", "h", F.struct(*fields[2:]).alias("link")).distinct()
+    decide = partner_deletions if by_partner else deletions
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def gone(many: pd.Series) -> pd.Series:
-        return many.map(lambda x: deletions(list(x), min_words))
+        return many.map(lambda x: decide(list(x), min_words))
 
     @F.pandas_udf(T.StringType())
     def rest(text: pd.Series, lines: pd.Series) -> pd.Series:

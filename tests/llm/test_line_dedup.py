@@ -94,3 +94,52 @@ def test_long_document(odd):
     body = "\n".join(f"line number {k} has its own words and more than ten of them" for k in range(4000))
     got = {r.doc_id: r for r in line_dedup.dedup_lines(odd([body, "begin\n" + body + "\nend"])).collect()}
     assert got[0].text == body and got[1].text == "begin\nend" and got[1].shared_with == [0]
+
+
+def held_by_one(rows):
+    """Per document, by search over all earlier ones: the lines of blocks of ten words that stand in one of them as they
+    are, and the lines of stretches of ten words whose lines one of them has, in any order."""
+    have = [[line.strip() for line in text.split("\n") if line.strip()] for text in rows]
+    out = []
+    for k, mine in enumerate(have):
+        must, may = set(), set()
+        for a in range(len(mine)):
+            for b in range(a + 1, len(mine) + 1):
+                block = mine[a:b]
+                if sum(x.count(" ") + 1 for x in block) < 10:
+                    continue
+                for other in have[:k]:
+                    if set(block) <= set(other):
+                        may.update(range(a, b))
+                    if any(other[s:s + len(block)] == block for s in range(len(other))):
+                        must.update(range(a, b))
+        out.append((must, may))
+    return out
+
+
+def test_blocks_within_one_earlier_document(odd):
+    x, y, z = ("ax bx cx dx", "ay by cy dy", "az bz cz dz")
+    rng = random.Random(12)
+    pool = [" ".join(f"{w}{k}" for w in "abcdefgh"[:rng.randint(2, 8)]) for k in range(12)]
+    made = ["\n".join([y, x]), "\n".join([x, y, z]), "\n".join([x, y, z])]
+    made += ["\n".join(["p q r s", "own own one"]), "\n".join(["t u v w", "own own two"]), "\n".join(["k l m n", "own own three"]),
+             "\n".join(["p q r s", "t u v w", "k l m n", "own four"])]
+    made += ["\n".join(rng.sample(pool, rng.randint(1, 7))) for _ in range(120)]
+    got = {r.doc_id: set(r.deleted_lines or []) for r in line_dedup.dedup_lines(odd(made), by_partner=True).collect()}
+    assert got[2] == {0, 1, 2}  # a copy of 1, though 0 held two of its lines first
+    assert got[6] == set()  # neighbours, but of three documents
+    for k, (must, may) in enumerate(held_by_one(made)):
+        assert must <= got[k] <= may
+
+
+def test_least_runs_cover_blocks():
+    rng = random.Random(3)
+    for _ in range(300):
+        words = [rng.randint(1, 12) for _ in range(rng.randint(1, 9))]
+        runs = line_dedup.least_runs(words, 10)
+        assert all(sum(words[a:b]) >= 10 and b - a > 1 for a, b in runs)
+        for a in range(len(words)):
+            for b in range(a + 1, len(words) + 1):
+                if sum(words[a:b]) >= 10:
+                    inside = {p for s, e in runs if a <= s and e <= b for p in range(s, e)}
+                    assert set(range(a, b)) == inside | {p for p in range(a, b) if words[p] >= 10}
