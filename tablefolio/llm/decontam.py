@@ -6,13 +6,17 @@ Around a hit, words are compared position by position along the same diagonal: a
 item, if it is shorter) that contains the seed counts as a leak if `PERCENT` of its words are equal. With the masks below
 four random substitutions in twenty words leave a seed intact in all of 4,000 trials.
 
+With `every_length`, as the query and the pipeline have it, items of fewer than `WHOLE_UNDER` words follow the same rule
+whole: an item in which k words may differ is cut into k + 1 blocks, one of which every copy holds unchanged, and these
+blocks are its seeds. So items of any length are found, those of fewer than `LEAST_WORDS` words word by word.
+
 All of it is column expressions. Document positions are made by a generator and looked up in the benchmark's seeds at
 once; only hits leave the scan. The seeds are broadcast if there are at most `BROADCAST_SEEDS` of them, else the join
 shuffles both sides; the result is the same.
 
 Words are runs of letters and digits in lower case. Defined results: null and empty texts have no words and no leaks;
-items with equal words are one, under the smallest id; items shorter than the span of the masks are looked for as a whole
-without substitutions, items of fewer than `LEAST_WORDS` words never; rows with equal document ids are one document; a
+items with equal words are one, under the smallest id; without `every_length`, items shorter than the span of the
+masks are looked for as a whole without substitutions, items of fewer than `LEAST_WORDS` words never; rows with equal document ids are one document; a
 null document id is an id of its own; other columns are ignored; empty tables give an empty result.
 """
 
@@ -31,6 +35,8 @@ MASKS = (
 )
 SPAN = 10
 WINDOW, PERCENT, LEAST_WORDS = 20, 80, 5
+# items from here on lose no seed by the substitutions allowed
+WHOLE_UNDER = 12
 BROADCAST_SEEDS = 500_000
 
 
@@ -48,27 +54,38 @@ def seeds(tokens: Column, p: Column, short: list[int]) -> Column:
     return F.array(*[at(m, k) for k, m in enumerate(MASKS)], *[at(tuple(range(k)), -k) for k in short])
 
 
-def benchmark_items(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
+def blocks(n: int) -> list[tuple[int, int]]:
+    """(first word, words) of the seeds of an item of `n` words that is looked for as a whole."""
+    parts = n * (100 - PERCENT) // 100 + 1
+    cuts = [k * n // parts for k in range(parts + 1)]
+    return [(a, b - a) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
+def benchmark_items(benchmark: DataFrame, item_col: str, text_col: str, least: int = LEAST_WORDS) -> DataFrame:
     """Distinct items: (item_id, item, n), n words each."""
     tokens = benchmark.select(F.col(item_col).alias("item_id"), words(F.col(text_col)).alias("item"))
-    return tokens.where(F.size("item") >= LEAST_WORDS).groupBy("item").agg(F.min("item_id").alias("item_id")).select(
+    return tokens.where(F.size("item") >= least).groupBy("item").agg(F.min("item_id").alias("item_id")).select(
         "item_id", "item", F.size("item").alias("n"))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+          item_col: str = "item_id", item_text_col: str = "text", every_length: bool = False) -> DataFrame:
     """One row for each document and item it holds: `id_col`, `item_col`, the best window's first word in the document
     (`first_word`), its words (`n_words`) and how many of them are equal (`n_equal`)."""
-    items = benchmark_items(benchmark, item_col, item_text_col)
-    # at most SPAN - LEAST_WORDS numbers
-    short = sorted(r.n for r in items.where(F.col("n") < SPAN).select("n").distinct().collect())
+    items = benchmark_items(benchmark, item_col, item_text_col, 1 if every_length else LEAST_WORDS)
+    under = WHOLE_UNDER if every_length else SPAN
+    # at most WHOLE_UNDER numbers
+    lengths = sorted(r.n for r in items.where(F.col("n") < under).select("n").distinct().collect())
+    whole_seeds = [(n, q, size) for n in lengths for q, size in (blocks(n) if every_length else [(0, n)])]
+    short = sorted({size for _, _, size in whole_seeds})
     placed = items.select("item_id", "n", "item", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("q"))
     marked = placed.select("item_id", "n", F.col("q"), F.posexplode(seeds(F.col("item"), F.col("q"), short)).alias("mask", "seed"))
-    # a short item has one seed: all its words
-    whole = F.col("mask") >= len(MASKS)
-    wanted = marked.where(F.col("seed").isNotNull() & F.when(
-        whole, (F.col("q") == 0) & (F.col("n") == F.get(F.array(*[F.lit(k) for k in short]).cast("array<int>"), F.col("mask") - len(MASKS)))
-    ).otherwise(F.col("n") >= SPAN)).select("item_id", "n", "q", "seed")
+    # a short item has the seeds of its blocks, or one: all its words
+    whole = F.lit(False)
+    for n, q, size in whole_seeds:
+        whole = whole | ((F.col("n") == n) & (F.col("q") == q) & (F.col("mask") == len(MASKS) + short.index(size)))
+    wanted = marked.where(F.col("seed").isNotNull() & F.when(F.col("mask") >= len(MASKS), whole).otherwise(F.col("n") >= under)).select(
+        "item_id", "n", "q", "seed")
     if count_at_most(wanted, BROADCAST_SEEDS) is not None:
         wanted = F.broadcast(wanted)
 
@@ -85,7 +102,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     equal = F.zip_with("part", item, lambda a, b: F.when(a == b, 1).otherwise(0))
     compared = hits.join(items.select("item_id", "item"), "item_id").select(
         "doc", "item_id", "p", "back", F.least(F.col("n"), F.lit(WINDOW)).alias("size"),
-        F.least(F.col("n"), F.lit(SPAN)).alias("span"), equal.alias("equal"))
+        F.when(F.col("n") < under, 1).otherwise(SPAN).alias("span"), equal.alias("equal"))
     first, last = F.greatest(F.lit(0), F.col("back") + F.col("span") - F.col("size")), F.least("back", F.size("equal") - F.col("size"))
     # none if the document ends too early
     windows = F.when(first <= last, F.transform(F.sequence(first, last), lambda s: F.struct(
@@ -100,7 +117,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that hold no benchmark item, with all their columns."""
-    found = leaks(docs, benchmark, id_col, text_col).select(F.col(id_col).alias("__leaked")).distinct()
+    found = leaks(docs, benchmark, id_col, text_col, every_length=True).select(F.col(id_col).alias("__leaked")).distinct()
     return docs.join(found, docs[id_col].eqNullSafe(found["__leaked"]), "left_anti")
 
 

@@ -49,7 +49,7 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @QUERIES.add(decontam.LEAKS_SQL)
 def op7_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items in all documents."""
-    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), every_length=True)
 
 
 @QUERIES.add()

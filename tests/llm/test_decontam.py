@@ -1,5 +1,6 @@
 """Benchmark leaks: planted items with substitutions, and the rule in plain Python."""
 
+import itertools
 import random
 import re
 
@@ -92,3 +93,38 @@ def test_clean_rows_stay_as_they_are(odd, items):
     assert sorted((r.doc_id or 0, r.text) for r in out.collect() if r.text) == [(2, "clean text")]
     assert decontam.without_leaks(odd([]), items([(1, item)])).count() == 0
     assert decontam.without_leaks(df, items([])).count() == 7
+
+
+def by_the_rule(docs, benchmark):
+    """80 % of the words equal at some place, for items of up to 20 words; no seeds, no bounds."""
+    found = set()
+    for d, text in enumerate(docs):
+        have = text.split()
+        for i, item in benchmark:
+            item = item.split()
+            best = max(((sum(a == b for a, b in zip(item, have[p:], strict=False)), -p) for p in range(len(have) - len(item) + 1)),
+                       default=(-1, 0))
+            if best[0] * 10 >= len(item) * 8:
+                found.add((d, i, -best[1], len(item), best[0]))
+    return found
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_short_items_by_the_plain_rule(odd, items, monkeypatch, broadcast):
+    monkeypatch.setattr(decontam, "BROADCAST_SEEDS", 500_000 if broadcast else 0)
+    rng = random.Random(21)
+    benchmark = [(n, " ".join(f"t{n}w{k % 7}" for k in range(n))) for n in range(1, 13)]
+    docs = ["", "t1w0", "x t3w0 t3w1 y t3w2", "y t3w0 t3w1 t3w2"]
+    for n, text in benchmark:
+        for changed in range(4):
+            for places in itertools.islice(itertools.combinations(range(n), changed), 60):
+                copy = text.split()
+                for k in places:
+                    copy[k] = "other"
+                docs.append(" ".join(rng.choices(["a", "b", "t9w1", "t4w0"], k=rng.randint(0, 4)) + copy
+                                     + rng.choices(["a", "b", "t11w2"], k=rng.randint(0, 4))))
+    got = {tuple(r) for r in decontam.leaks(odd(docs), items(benchmark), every_length=True).select(
+        "doc_id", "item_id", "first_word", "n_words", "n_equal").collect()}
+    assert got == by_the_rule(docs, benchmark) and len(got) > 100
+    left = {r.doc_id for r in decontam.without_leaks(odd(docs), items(benchmark)).collect()}
+    assert left == set(range(len(docs))) - {x[0] for x in got}
