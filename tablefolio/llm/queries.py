@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablefolio.llm import balltree, bpe, decontam, line_dedup, minhash, preference, quality, secret_scan, tokenfile, warc
+from tablefolio.llm import (balltree, bpe, decontam, line_dedup, minhash, preference, quality, secret_scan, simhash, tokenfile,
+                            warc)
 from tablefolio.llm.common import fresh_folder
 from tablefolio.plans.catalogue import Catalogue, table
 
@@ -104,3 +105,9 @@ def op1_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_folder(spark, "warc")
     warc.write_warc(table(spark, sf_dir, "pages"), folder)
     return warc.read_warc(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@QUERIES.add()
+def op13_simhash_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and the groups of those within two bits."""
+    return simhash.near_fingerprints(table(spark, sf_dir, "documents"))
