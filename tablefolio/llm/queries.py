@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablefolio.llm import (balltree, bpe, decontam, line_dedup, minhash, preference, quality, secret_scan, simhash, tokenfile,
-                            warc)
+from tablefolio.llm import (balltree, best_position, bpe, decontam, line_dedup, minhash, preference, quality, resample, secret_scan,
+                            simhash, tokenfile, warc)
 from tablefolio.llm.common import fresh_folder
 from tablefolio.plans.catalogue import Catalogue, table
 
@@ -111,3 +111,59 @@ def op1_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_simhash_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and the groups of those within two bits."""
     return simhash.near_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@QUERIES.add("""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS words FROM documents),
+size AS (SELECT count(*) AS n, CAST(sum(len(words)) AS BIGINT) AS l FROM d WHERE len(words) > 0),
+tf AS (SELECT doc_id, length, term, count(*) AS tf FROM (SELECT doc_id, len(words) AS length, unnest(words) AS term FROM d)
+       GROUP BY doc_id, length, term),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * n + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+      FROM tf, size GROUP BY term, n),
+q AS (SELECT item_id, term, count(*) AS times FROM (
+          SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                 '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark) GROUP BY item_id, term),
+s AS (SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * length * n) // l)))) AS BIGINT) AS score
+      FROM q JOIN w USING (term) JOIN tf USING (term), size GROUP BY item_id, doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS k FROM s WHERE score > 0)
+SELECT item_id, CAST(k AS INTEGER) AS rank, doc_id, score FROM r WHERE k <= 10
+""")
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of each benchmark item."""
+    return best_position.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@QUERIES.add("""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM documents),
+b AS (SELECT regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM benchmark WHERE text IS NOT NULL),
+df AS (SELECT doc_id, feature, count(*) AS n FROM (
+         SELECT doc_id, unnest(words || list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS feature FROM d)
+       GROUP BY doc_id, feature),
+bf AS (SELECT feature, count(*) AS n FROM (
+         SELECT unnest(words || list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS feature FROM b)
+       GROUP BY feature),
+steps AS (SELECT feature, list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(range(0, strlen(feature)),
+            lambda i: [CAST(('0x' || substr(hex(encode(feature)), CAST(2 * i + 1 AS BIGINT), 2)) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))) AS x
+          FROM (SELECT feature FROM df UNION SELECT feature FROM bf)),
+h AS (SELECT feature, xor(list_reduce(x, lambda c, y: CASE WHEN y >= 0 THEN xor(c, y) ELSE xor(c >> 1, 3988292384 * (c & 1)) END),
+                          4294967295) % 10000 AS bucket FROM steps),
+s AS (SELECT bucket, CAST(sum(n) AS BIGINT) AS s FROM df JOIN h USING (feature) GROUP BY bucket),
+t AS (SELECT bucket, CAST(sum(n) AS BIGINT) AS t FROM bf JOIN h USING (feature) GROUP BY bucket),
+total AS (SELECT (SELECT coalesce(sum(s), 0) FROM s) + 10000 AS s, (SELECT coalesce(sum(t), 0) FROM t) + 10000 AS t),
+g AS (SELECT bucket, CAST(floor(1000 * ln((coalesce(t.t, 0) + 1)::DOUBLE * total.s::DOUBLE / ((s.s + 1)::DOUBLE * total.t::DOUBLE))) AS BIGINT) AS gain
+      FROM s LEFT JOIN t USING (bucket), total),
+w AS (SELECT doc_id, CAST(sum(n) AS BIGINT) AS n_features, CAST(floor(sum(n * gain)::DOUBLE / sum(n)) AS BIGINT) AS weight
+      FROM df JOIN h USING (feature) JOIN g USING (bucket) GROUP BY doc_id),
+a AS (SELECT d.doc_id, len(words) >= 20 AS long, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+             coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('7:' || d.doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+                                                                / 4294967296::DOUBLE))) AS BIGINT) AS score
+      FROM d LEFT JOIN w USING (doc_id)),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS k, count(*) OVER () AS n FROM a WHERE long)
+SELECT doc_id, n_features, weight, score, CASE WHEN k <= 25 * n // 100 THEN k END AS rank FROM a LEFT JOIN r USING (doc_id)
+""")
+def op12_importance_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their weights towards the benchmark's distribution, and the drawn quarter ranked."""
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
