@@ -3,6 +3,9 @@
 Names that share an identifier (their front part) are candidates. The pairs are never written out: master names
 of one identifier are packed into small lists, each extracted name meets whole lists, and only its best few
 candidates per list go on. A very common identifier gives many lists, each a join key of its own.
+
+With the default scorer names do not meet whole lists either: an index of letter pairs (`similar.py`) gives all
+candidates above a high score, and only names that find too few there ask for lower scores, at last for whole lists.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from pyspark.sql import functions as F
 from tablefolio.functions.fuzzy import SCORERS
 from tablefolio.functions.names import block_identifier, clean_company_name, comparable, has_letter
 from tablefolio.operators.ordered import settled
+from tablefolio.operators.similar import LEAST_LIMIT, letter_index, possible, similar_texts
 from tablefolio.session import durable
 
 # Score a candidate must exceed, number of candidates kept, and the names of the two run modes.
@@ -23,6 +27,8 @@ TOP_CANDIDATES = 5
 MODES = ("full", "partial")
 LIST_SIZE = 256
 SURE_BELOW = 99
+FEW = 16  # an identifier with no more candidates than this needs no index
+FIRST_LIMIT = 96  # names first look for candidates of at least this score
 EQUAL_WINS = ("ratio", "edit")  # scorers that give 100 to equal names alone
 
 
@@ -76,12 +82,6 @@ def named_blocks(names: DataFrame, blocks: DataFrame) -> DataFrame:
     return distinct.join(blocks, "identifier")
 
 
-def _can_exceed(name: Column, other: Column, limit: int) -> Column:
-    """Whether the ratio of two texts of these lengths can exceed `limit`: all of the shorter one would be common."""
-    a, b = F.length(name), F.length(other)
-    return F.round(200.0 * F.least(a, b) / F.greatest(a + b, F.lit(1))) > limit
-
-
 def _rank(blocked: DataFrame, entries: DataFrame, scorer: str, top: int, above: int | None = None) -> DataFrame:
     """The best `top` entries of each name: the best of every list first, then the best of those.
 
@@ -92,7 +92,7 @@ def _rank(blocked: DataFrame, entries: DataFrame, scorer: str, top: int, above:
     turns = blocked.withColumn("list", F.explode(F.sequence(F.lit(0).cast("long"), F.col("lists") - 1)))
     met = turns.join(lists, ["identifier", "list"])
     if above is not None and scorer == "ratio":
-        met = met.withColumn("entries", F.filter("entries", lambda e: _can_exceed(F.col("scored"), e["scored"], above)))
+        met = met.withColumn("entries", F.filter("entries", lambda e: possible(F.length("scored"), F.length(e["scored"]), above + 1)))
         met = met.where(F.size("entries") > 0)
     scored = met.withColumn("scores", SCORERS[scorer](F.col("scored"), F.transform("entries", lambda e: e["scored"])))
     ranked = F.array_sort(F.zip_with("entries", "scores", lambda e, s: F.struct(
@@ -104,14 +104,63 @@ def _rank(blocked: DataFrame, entries: DataFrame, scorer: str, top: int, above:
         "company_name", "n_candidates", "candidate", "copies", "company_id", (-F.col("minus")).alias("score"), "place")
 
 
+def _similar(blocked: DataFrame, entries: DataFrame, pairs: DataFrame, top: int) -> DataFrame:
+    """The best `top` entries of each name among the scored `pairs`, in the columns of `_rank`."""
+    named = blocked.select("identifier", F.col("scored").alias("text"), "company_name", "n_candidates")
+    listed = entries.select("identifier", F.col("scored").alias("other"), F.col("company_name_master").alias("candidate"),
+                            "copies", "company_id")
+    met = pairs.join(named, ["identifier", "text"]).join(listed, ["identifier", "other"])
+    order = Window.partitionBy("company_name").orderBy(F.col("score").desc(), "candidate", "company_id")
+    return met.withColumn("place", F.row_number().over(order)).where(F.col("place") <= top).select(
+        "company_name", "n_candidates", "candidate", "copies", "company_id", "score", "place")
+
+
+def _rank_by_ratio(blocked: DataFrame, entries: DataFrame, top: int, above: int | None,
+                   cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """As `_rank` with `ratio`; identifiers with more than `FEW` candidates by index. All entries of at least a limit are
+    found at once, so a name with `top` of them is done; the others go on to the next limit, and to whole lists only
+    without `above`."""
+    wanted = ACCEPT_ABOVE + 1 if above is None else max(above + 1, LEAST_LIMIT)
+    few = F.col("n_candidates") <= FEW
+    left, done = cut(blocked.where(~few)), [_rank(blocked.where(few), entries, "ratio", top, above)]
+    many = cut(entries.join(left.select("identifier").distinct(), "identifier", "left_semi"))
+    asked, indexed = letter_index(left.withColumnRenamed("scored", "text"), many.withColumnRenamed("scored", "text"),
+                                  "identifier", cut)
+    for limit in sorted({max(FIRST_LIMIT, wanted), wanted}, reverse=True):
+        texts = left.select("identifier", F.col("scored").alias("text")).distinct()
+        pairs = similar_texts(asked.join(texts, ["identifier", "text"], "left_semi"), indexed, "identifier", limit)
+        found = cut(_similar(left, many, pairs, top))
+        if above is not None and limit == above + 1:
+            return _all(done + [found])
+        full = found.where(F.col("place") == top).select("company_name")
+        done.append(found.join(full, "company_name", "left_semi"))
+        left = left.join(full, "company_name", "left_anti")
+    return _all(done + [_rank(left, many, "ratio", top, above)])
+
+
+def _all(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _best(blocked: DataFrame, entries: DataFrame, scorer: str, top: int, above: int | None,
+          cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    if scorer == "ratio":
+        return _rank_by_ratio(blocked, entries, top, above, cut)
+    return _rank(blocked, entries, scorer, top, above)
+
+
 def best_candidates(names: DataFrame, master: DataFrame, scorer: str = "ratio", top: int = TOP_CANDIDATES,
-                    list_size: int = LIST_SIZE) -> DataFrame:
+                    list_size: int = LIST_SIZE, cut: Callable[[DataFrame], DataFrame] = durable) -> DataFrame:
     """Up to `top` best candidates of each distinct name, best first, equal scores in name order.
 
     Result: company_name, n_candidates, candidate, copies, company_id, score, place.
     """
-    entries, blocks = master_entries(master, list_size)
-    return _rank(named_blocks(names, blocks), entries, scorer, top)
+    entries, blocks = master_entries(master, list_size, cut)
+    blocked = named_blocks(names, blocks)
+    return _best(cut(blocked) if scorer == "ratio" else blocked, entries, scorer, top, None, cut)
 
 
 def decide(best: DataFrame, accept_above: int = ACCEPT_ABOVE) -> DataFrame:
@@ -150,7 +199,7 @@ def name_ids(names: DataFrame, master: DataFrame, scorer: str = "ratio", accept_
     settled = alone | (F.col("equal_copies").isNotNull() & sure)
     easy = seen.where(settled).select("company_name", F.when(alone, F.col("only_id")).when(
         F.col("equal_copies") == 1, F.col("equal_id")).alias("company_id"))
-    hard = _rank(seen.where(~settled).select(*blocked.columns), entries, scorer, 2, accept_above)
+    hard = _best(seen.where(~settled).select(*blocked.columns), entries, scorer, 2, accept_above, cut)
     return easy.unionByName(decide(hard, accept_above).select("company_name", "company_id")).where(
         "company_id IS NOT NULL")
 

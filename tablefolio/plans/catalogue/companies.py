@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tablefolio.functions import names
 from tablefolio.functions.fuzzy import ratio_to_each, window_ratio_to_each
 from tablefolio.operators import analytics, entity, inventory
+from tablefolio.operators.ordered import settled
 from tablefolio.plans.catalogue import Catalogue, heavy, table
 from tablefolio.sources.sinks import not_yet_done
 
@@ -41,6 +42,10 @@ def sql_clean(t: str) -> str:
     return f"replace(regexp_replace(regexp_replace({e}, '(?i){_SUFFIX}', ''), {tail}), '\"', '')"
 
 
+def sql_comparable(t: str) -> str:
+    return rf"trim(regexp_replace(lower({t}), '[^\p{{L}}\p{{N}}_]', ' ', 'g'))"
+
+
 def sql_identifier(t: str) -> str:
     words = rf"regexp_split_to_array(trim({t}), '\s+')"
     front = f"list_slice({words}, 1, len({words}) - 1)"
@@ -95,23 +100,40 @@ def _master(spark, sf):
     return spark.sql(MASTER.format(s="STRING", t="tablefolio_customer"))
 
 
-SQL_MATCH = rf"""ext AS (SELECT o_orderkey, {sql_clean('company_name')} AS company_name FROM ({EXTRACTED.format(s='VARCHAR', t='orders')})
+SQL_PAIRS = rf"""ext AS (SELECT o_orderkey, {sql_clean('company_name')} AS company_name FROM ({EXTRACTED.format(s='VARCHAR', t='orders')})
   WHERE company_name IS NOT NULL AND regexp_matches(company_name, '[A-Za-z]')),
 mas AS (SELECT company_id, {sql_clean('company_name_master')} AS cm FROM ({MASTER.format(s='VARCHAR', t='customer')})),
 masi AS (SELECT *, {sql_identifier('cm')} AS identifier FROM mas),
 dis AS (SELECT DISTINCT company_name, {sql_identifier('company_name')} AS identifier FROM ext),
 pair AS (SELECT company_name, cm, company_id, count(*) OVER (PARTITION BY company_name) AS n_candidates,
   regexp_replace(lower(company_name), '[^\p{{L}}\p{{N}}_]', ' ', 'g') AS a, regexp_replace(lower(cm), '[^\p{{L}}\p{{N}}_]', ' ', 'g') AS b
-  FROM dis JOIN masi USING (identifier)),
-scored AS (SELECT company_name, cm, n_candidates, count(*) AS copies, min(company_id) AS company_id,
+  FROM dis JOIN masi USING (identifier))"""
+SQL_EDIT = """scored AS (SELECT company_name, cm, n_candidates, count(*) AS copies, min(company_id) AS company_id,
   CAST(floor(100 - 100 * levenshtein(trim(any_value(a)), trim(any_value(b))) / greatest(length(trim(any_value(a))), length(trim(any_value(b))), 1)) AS INT) AS score
-  FROM pair GROUP BY company_name, cm, n_candidates),
-ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY company_name ORDER BY score DESC, cm, company_id) AS INT) AS place FROM scored),
+  FROM pair GROUP BY company_name, cm, n_candidates)"""
+SQL_DECIDED = """ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY company_name ORDER BY score DESC, cm, company_id) AS INT) AS place FROM scored),
 picked AS (SELECT company_name, max(n_candidates) AS n_candidates, max(score) FILTER (place = 1) AS best_score, max(copies) FILTER (place = 1) AS copies,
   max(score) FILTER (place = 2) AS second, max(company_id) FILTER (place = 1) AS id FROM ranked GROUP BY company_name),
 decided AS (SELECT company_name, n_candidates, best_score, CASE WHEN n_candidates = 1 OR
   (best_score > 85 AND copies = 1 AND best_score > coalesce(second, -1)) THEN id END AS company_id FROM picked),
 matched AS (SELECT o_orderkey, company_name, company_id FROM ext LEFT JOIN decided USING (company_name))"""
+SQL_MATCH = f"{SQL_PAIRS}, {SQL_EDIT}, {SQL_DECIDED}"
+
+
+def sql_common(pairs: str) -> str:
+    """Longest common subsequences of the texts a and b of `pairs`, row by row of the usual table: row[j + 1] belongs to
+    the first j characters of a, and each step takes one more character of b."""
+    return f"""steps AS (SELECT a, b, 0 AS i, list_transform(range(0, length(a) + 1), lambda j: 0) AS row FROM (SELECT DISTINCT a, b FROM {pairs})
+  UNION ALL SELECT a, b, i + 1, list_transform(range(0, length(a) + 1), lambda j: CASE WHEN j = 0 THEN 0 ELSE list_max(list_transform(range(1, j + 1),
+    lambda k: CASE WHEN substr(a, k, 1) = substr(b, i + 1, 1) THEN row[k] + 1 ELSE row[k + 1] END)) END) FROM steps WHERE i < length(b)),
+common AS (SELECT a, b, CASE WHEN length(a) + length(b) = 0 THEN 100 ELSE
+  CAST(round_even(200::DOUBLE * row[length(a) + 1] / (length(a) + length(b)), 0) AS INT) END AS ratio FROM steps WHERE i = length(b))"""
+
+
+SQL_RATIO = f"""RECURSIVE {SQL_PAIRS}, grouped AS (SELECT company_name, cm, n_candidates, count(*) AS copies, min(company_id) AS company_id,
+  trim(any_value(a)) AS a, trim(any_value(b)) AS b FROM pair GROUP BY company_name, cm, n_candidates),
+{sql_common('grouped')},
+scored AS (SELECT company_name, cm, n_candidates, copies, company_id, ratio AS score FROM grouped JOIN common USING (a, b)), {SQL_DECIDED}"""
 
 
 def _cleaned(spark, sf):
@@ -135,13 +157,13 @@ def entity_match(spark, sf):
         "o_orderkey", "company_name", F.col("company_id").cast("string").alias("company_id"))
 
 
-@QUERIES.add()
+@QUERIES.add(f"""WITH {SQL_RATIO} SELECT o_orderkey, company_name, CAST(company_id AS VARCHAR) AS company_id FROM matched""")
 def entity_match_ratio(spark, sf):
     return entity.match_companies(_extracted(spark, sf), _master(spark, sf), "ratio").select(
-        "o_orderkey", "company_name", "company_id")
+        "o_orderkey", "company_name", F.col("company_id").cast("string").alias("company_id"))
 
 
-@QUERIES.add()
+@QUERIES.add(f"""WITH {SQL_RATIO} SELECT company_name, n_candidates, cm AS candidate, copies, company_id, score, place FROM ranked WHERE place <= 5""")
 def candidate_ratio(spark, sf):
     return entity.best_candidates(_cleaned(spark, sf), entity.clean_master(_master(spark, sf)), "ratio")
 
@@ -167,13 +189,28 @@ def match_diff(spark, sf):
     return entity.only_in_new(old, new).select("o_orderkey", "company_name", "company_id")
 
 
-@QUERIES.add()
+@QUERIES.add(rf"""WITH RECURSIVE names AS (SELECT DISTINCT p_name, p_type, {{own}} AS own, [{{type}}, {{both}}] AS others FROM part),
+ordered AS (SELECT own, other, CASE WHEN length(own) > length(other) THEN other ELSE own END AS short,
+  CASE WHEN length(own) > length(other) THEN own ELSE other END AS long FROM (SELECT DISTINCT own, unnest(others) AS other FROM names)),
+windows AS (SELECT own, other, short, unnest(list_transform(range(1 - length(short), greatest(length(long), 2 - length(short))),
+  lambda s: substr(long, greatest(s, 0) + 1, least(s + length(short), length(long)) - greatest(s, 0)))) AS piece FROM ordered),
+asked AS (SELECT own AS a, other AS b FROM ordered UNION SELECT short, piece FROM windows),
+{sql_common('asked')},
+best AS (SELECT own, other, max(ratio) AS window_ratio FROM windows JOIN common ON short = a AND piece = b GROUP BY own, other),
+told AS (SELECT p_name, p_type, list(ratio ORDER BY place) AS ratios, list(window_ratio ORDER BY place) AS window_ratios
+  FROM (SELECT p_name, p_type, own, unnest(others) AS other, unnest([1, 2]) AS place FROM names) n
+  JOIN common ON own = a AND other = b JOIN best USING (own, other) GROUP BY p_name, p_type)
+SELECT p_partkey, ratios, window_ratios FROM part JOIN told USING (p_name, p_type)""".format(
+    own=sql_comparable("p_name"), type=sql_comparable("p_type"), both=sql_comparable("concat(p_type, ' ', p_name)")))
 def name_similarity(spark, sf):
-    """Both ratios of each part name to its brand and type texts."""
+    """Both ratios of each part name to its brand and type texts; equal names are scored once."""
     others = F.array(names.comparable(F.col("p_type")), names.comparable(F.concat("p_type", F.lit(" "), "p_name")))
     own = names.comparable(F.col("p_name"))
-    return table(spark, sf, "part").select(
-        "p_partkey", ratio_to_each(own, others).alias("ratios"), window_ratio_to_each(own, others).alias("window_ratios"))
+    parts = table(spark, sf, "part")
+    told = settled(parts.select("p_name", "p_type").distinct().withColumns({"own": own, "others": others})).select(
+        "p_name", "p_type", ratio_to_each(F.col("own"), F.col("others")).alias("ratios"),
+        window_ratio_to_each(F.col("own"), F.col("others")).alias("window_ratios"))
+    return parts.join(told, ["p_name", "p_type"]).select("p_partkey", "ratios", "window_ratios")
 
 
 @QUERIES.add("""WITH n AS (SELECT c_mktsegment || c_nationkey AS name, bool_or(c_custkey % 3 = 0) AS a, bool_or(c_acctbal > 9000) AS b

@@ -1,20 +1,16 @@
-"""Extracted-table CSV files of any width as ordered rows.
-
-Files are read as lines by Spark's text source, so a large file is split over tasks. The place of a line is the
-split it lies in and its place there; quoted line breaks are joined by a running count of quote signs that is
-carried from split to split.
-"""
+"""Extracted-table CSV files of any width as headers and rows."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablefolio.operators.errors import error_row
 from tablefolio.operators.headers import unique_names
 from tablefolio.operators.ordered import RowOrder, settled
+from tablefolio.sources.csv_records import read_csv_records
 
 # Cell texts that common CSV readers take as missing.
 MISSING = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A",
@@ -22,51 +18,6 @@ MISSING = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
 FIELD = r',("[^"]*+(?:""[^"]*+)*+"|[^,]*)'  # possessive: a cell of any length takes no stack
 
 
-def file_path() -> Column:
-    """Path of the file a row was read from, in plain characters."""
-    return F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
-
-
-def file_lines(spark: SparkSession, path: str) -> DataFrame:
-    """file_path, split (where it begins in the file), seq (ascending inside a split), line."""
-    return spark.read.text(path).select(
-        file_path().alias("file_path"), F.col("_metadata.file_block_start").alias("split"),
-        F.monotonically_increasing_id().alias("seq"), F.col("value").alias("line"))
-
-
-def records(raw: DataFrame) -> DataFrame:
-    """Lines to records: file_path, record_idx (from 0 without gaps), record; blank lines between records go away.
-
-    A line starts a record when an even number of quote signs comes before it. Each split gives one small record
-    with its quote count and its record starts for both cases, even and odd quotes before the split; the window
-    over these records tells every split which case holds and how many records lie before it. A file whose number of
-    quote signs is odd cannot be split into records and gives none; that is known before any lines are gathered.
-    """
-    quotes = F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))
-    by = Window.partitionBy("file_path", "split").orderBy("seq")
-    odd = F.coalesce(F.sum(quotes).over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2
-    blank = F.regexp_replace("line", "^\\ufeff", "") == ""
-    lines = raw.withColumns({"quotes": quotes, "odd": odd, "blank": blank})
-    filled = ~F.col("blank")
-    splits = lines.groupBy("file_path", "split").agg(
-        F.sum("quotes").alias("quotes"), F.count_if((F.col("odd") == 0) & filled).alias("starts0"),
-        F.count_if((F.col("odd") == 1) & filled).alias("starts1"))
-    before = Window.partitionBy("file_path").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    cases = splits.withColumns({
-        "case": F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2,
-        "open": F.sum("quotes").over(Window.partitionBy("file_path")) % 2}).where("open = 0")
-    starts = F.when(F.col("case") == 0, F.col("starts0")).otherwise(F.col("starts1"))
-    carried = cases.select("file_path", "split", "case", F.coalesce(F.sum(starts).over(before), F.lit(0)).alias("done"))
-    here = lines.join(carried, ["file_path", "split"])
-    outside = F.col("odd") == F.col("case")
-    here = here.where(~(outside & F.col("blank")))
-    number = F.col("done") + F.sum(outside.cast("int")).over(by.rowsBetween(Window.unboundedPreceding, 0)) - 1
-    parts = F.array_sort(F.collect_list(F.struct("split", "seq", "line")))
-    joined = here.withColumn("record_idx", number).groupBy("file_path", "record_idx").agg(
-        F.array_join(F.transform(parts, lambda p: p["line"]), "\n").alias("record"))
-    return joined.withColumn("record", F.regexp_replace("record", "^\\ufeff", ""))
-
-
 def fields(record: Column) -> Column:
     """Fields of one CSV record; quotes are removed and doubled quotes become one."""
     raw = F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(FIELD), F.lit(1))
@@ -96,8 +47,7 @@ def read_tables(spark: SparkSession, path: str, has_index_col: bool = True, keep
     their cells under blank names, or lose them with `keep_surplus=False`.
     Pass `cut=durable` to parse the files once when several results are used.
     """
-    parsed = records(file_lines(spark, path)).select(
-        F.col("file_path").alias("table_id"), "record_idx", fields(F.col("record")).alias("f"))
+    parsed = read_csv_records(spark, path).select(F.col("file_path").alias("table_id"), "record_idx", F.col("fields").alias("f"))
     if has_index_col:
         parsed = parsed.withColumn("f", F.slice("f", F.lit(2), F.greatest(F.size("f") - 1, F.lit(0))))
     parsed = cut(parsed) if cut else parsed

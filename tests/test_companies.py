@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tablefolio.functions import names as N
 from tablefolio.functions.fuzzy import best_window_ratio, indel_ratio
 from tablefolio.operators import entity
+from tablefolio.operators.similar import letter_index, letter_pairs, prefix_size, similar_texts
 from tablefolio.plans.matching_run import run_matching
 
 
@@ -23,19 +24,61 @@ def slow_ratio(a, b):
     return round(200 * common(a, b) / (len(a) + len(b))) if a or b else 100
 
 
-def test_ratio_against_table():
+def slow_window_ratio(a, b):
+    short, long = sorted((a, b), key=len)
+    m, n = len(short), len(long)
+    if m == 0:
+        return 100 if n == 0 else 0
+    return max(slow_ratio(short, long[max(0, s): s + m]) for s in range(1 - m, n))
+
+
+def test_ratio_against_table(spark):
+    """One word of bits, its limits, several words, and characters outside the basic plane."""
     rng = random.Random(3)
-    for _ in range(500):
-        a, b = ("".join(rng.choice("abc d") for _ in range(rng.randint(0, 12))) for _ in range(2))
-        assert indel_ratio(a, b) == slow_ratio(a, b)
-    assert indel_ratio("neural magic", "neuralmagic") == 96
-    assert best_window_ratio("magic", "neuralmagic") == 100
+    rows = [["".join(rng.choice("abc dé😀") for _ in range(rng.choice([0, 1, 5, 12, 59, 60, 61, 120, 121, 190]))) for _ in "ab"]
+            for _ in range(250)]
+    rows += [["stone bridge", "stonebridge"], ["", ""], ["", "x"]]
+    got = spark.createDataFrame(rows, "a string, b string").select("a", "b", indel_ratio(F.col("a"), F.col("b")).alias("r")).collect()
+    assert all(r.r == slow_ratio(r.a, r.b) for r in got) and [r.r for r in got[-3:]] == [96, 100, 0]
+
+
+def test_window_ratio_against_table(spark):
+    rng = random.Random(4)
+    rows = [["".join(rng.choice("abc d") for _ in range(rng.randint(0, 9))) for _ in "ab"] for _ in range(150)]
+    rows += [["bridge", "stonebridge"]]
+    got = spark.createDataFrame(rows, "a string, b string").select(
+        "a", "b", best_window_ratio(F.col("a"), F.col("b")).alias("r")).collect()
+    assert all(r.r == slow_window_ratio(r.a, r.b) for r in got) and got[-1].r == 100
+
+
+@pytest.mark.parametrize(("limit", "part_size"), [(70, 3), (86, 4096), (96, 3)])
+def test_similar_texts_are_all_found(spark, limit, part_size):
+    rng = random.Random(limit)
+    texts = {(rng.choice("gh"), "".join(rng.choice("aab c") for _ in range(rng.randint(0, 14)))) for _ in range(250)}
+    base = "harbor point 1234 capital"
+    texts |= {("g", base[:k] + rng.choice("xyz 5") * rng.randint(0, 3) + base[k + rng.randint(0, 2):]) for k in range(len(base))}
+    texts = sorted(texts)
+    asked, indexed = texts[::2], texts[1::2] + texts[:20]
+    tables = [spark.createDataFrame(x, "g string, text string") for x in (asked, indexed)]
+    got = [tuple(r) for r in similar_texts(*letter_index(*tables, "g", lambda df: df, part_size), "g", limit).collect()]
+    want = {(g, a, b, slow_ratio(a, b)) for g, a in asked for h, b in indexed if g == h and slow_ratio(a, b) >= limit}
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_index_meets_few_pairs(spark):
+    """Of 300 x 300 names of one identifier only those with a rare pair in common are scored."""
+    rows = [("g", f"harbor point {k * 7919 % 100000:05d} capital") for k in range(300)]
+    df = spark.createDataFrame(rows, "g string, text string")
+    sizes = df.select(F.sum(prefix_size(F.length("text"), 96)).alias("shown"), F.sum(F.size(letter_pairs(F.col("text")))).alias("held"))
+    assert sizes.first().shown < sizes.first().held / 3
+    got = {(r.text, r.other) for r in similar_texts(*letter_index(df, df, "g", lambda x: x), "g", 96).collect()}
+    assert got == {(a, b) for _, a in rows for _, b in rows if slow_ratio(a, b) >= 96}
 
 
 @pytest.mark.parametrize("raw, clean", [
-    ('Hesai Group (NASDAQ:HSAI) (fka "Hesai Technology Co, Ltd")', "Hesai Group"), ("CAD FISH 8", "Cad Fish"),
-    ("Novo Idea Software Ltd. (dba Novidea)", "Novidea"), ("* Acme, Inc.", "Acme"), ("Skalar Holding, B.V.  ", "Skalar Holding"),
-    ("Proemion  International GmbH ", "Proemion International"), ('"Quoted" Co. Ltd', "Quoted")])
+    ('Orlan Group (XNYS:ORLN) (fka "Orlan Machines Co, Ltd")', "Orlan Group"), ("RED PINE 8", "Red Pine"),
+    ("Dusk Harbor Software Ltd. (dba Duskora)", "Duskora"), ("* Acme, Inc.", "Acme"), ("Vintera Holding, B.V.  ", "Vintera Holding"),
+    ("Quellmark  International GmbH ", "Quellmark International"), ('"Quoted" Co. Ltd', "Quoted")])
 def test_clean(spark, raw, clean):
     df = spark.createDataFrame([(raw,)], "n string")
     assert df.select(N.clean_company_name(F.col("n"))).first()[0] == clean
@@ -49,13 +92,14 @@ def test_identifier(spark, name, identifier):
     assert df.select(N.block_identifier(F.col("n"))).first()[0] == identifier
 
 
+def block_of(n):
+    w = n.split()
+    return " ".join(w[:-1]).lower() if len(w) > 1 and len("".join(w[:-1])) >= 4 else n.lower()
+
+
 def brute_force(names, master):
     """company -> id by scoring every pair of a block, straight from the matching rule."""
-    def block(n):
-        w = n.split()
-        return " ".join(w[:-1]).lower() if len(w) > 1 and len("".join(w[:-1])) >= 4 else n.lower()
-
-    out = {}
+    block, out = block_of, {}
     for n in set(names):
         scored = sorted(((slow_ratio(n.lower(), m.lower()), m) for _, m in master if block(m) == block(n)),
                         key=lambda p: -p[0])
@@ -64,8 +108,9 @@ def brute_force(names, master):
     return out
 
 
-@pytest.mark.parametrize("list_size", [2, 256])
-def test_matching_against_brute_force(spark, list_size):
+@pytest.mark.parametrize(("list_size", "few"), [(2, 0), (256, 16)])
+def test_matching_against_brute_force(spark, monkeypatch, list_size, few):
+    monkeypatch.setattr(entity, "FEW", few)
     rng = random.Random(11)
     lasts = ["alpha", "alphas", "beta", "betas", "gamma", "gammax", "delta", "deltaxx", "omega", "omegas", "zeta"]
     fronts = ["Harbor Point", "Harbor", "Northern Light House", "Ab"]
@@ -84,6 +129,12 @@ def test_matching_against_brute_force(spark, list_size):
     best = entity.best_candidates(extracted, entity.clean_master(df), "ratio", list_size=list_size).collect()
     for r in best:
         assert r.score == slow_ratio(r.company_name.lower(), r.candidate.lower()) and r.place <= 5
+    scores = {}
+    for n, m in {(n, m) for n in names for _, m in master}:
+        if block_of(n) == block_of(m):
+            scores.setdefault(n, []).append((-slow_ratio(n.lower(), m.lower()), m))
+    assert {(r.company_name, r.place, r.score, r.candidate) for r in best} == {
+        (n, k, -s, m) for n, found in scores.items() for k, (s, m) in enumerate(sorted(found)[:5], 1)}
 
 
 def test_decision_rule(spark):

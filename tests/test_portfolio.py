@@ -8,7 +8,7 @@ from tablefolio.plans.catalogue import tables
 from tablefolio.plans.portfolio import build_portfolio, decide_tables
 from tablefolio.rules import DEFAULT_RULES, RuleFileError, read_rules
 from tablefolio.session import durable, shared_folder
-from tablefolio.sources.csv_tables import fields, from_grid, read_tables, records, table_files, unreadable
+from tablefolio.sources.csv_tables import fields, from_grid, read_tables, table_files, unreadable
 
 SF = "/root/testdata/sf0.001"
 
@@ -117,9 +117,6 @@ def test_long_quoted_cells(spark):
     quoted = '"' + long.replace('"', '""') + '"'
     df = spark.createDataFrame([(f"x,{quoted},,{quoted},y",)], "r string")
     assert df.select(fields(F.col("r"))).first()[0] == ["x", long, "", long, "y"]
-    lines = [("f", 0, i, t) for i, t in enumerate(['h1,h2', '1,"two', '""lines"""', '', '2,b'])] + [("g", 0, 9, 'a,"b')]
-    got = records(spark.createDataFrame(lines, "file_path string, split long, seq long, line string")).collect()
-    assert sorted(map(tuple, got)) == [("f", 0, "h1,h2"), ("f", 1, '1,"two\n""lines"""'), ("f", 2, "2,b")]
 
 
 def test_two_row_header_from_a_grid(spark):
