@@ -2,12 +2,14 @@
 
 Two facts keep whole texts cheap and parallel:
 
-* A tokenizer whose pre-tokenizer drops white space treats each unit between ASCII white space on its own. Units repeat,
-  so a task asks the library once per distinct unit.
+* A tokenizer whose pre-tokenizer drops white space treats each unit between ASCII white space on its own, and where its
+  normalizer and pattern are the known ones of `word_splitter`, each word in it, in lower case. Units repeat, so a task
+  asks the library once per distinct unit it has seen lately; plain words skip the normalizer and the pattern.
 * A longer text is cut in halves again and again until the leaves are short. Leaves are encoded in different tasks;
   then neighbours are joined in the order of the tree. At each join a window around it is encoded again and grows
   until it ends, on either side, in a token that the side has too: same id, same span. All neighbouring tokens of the
-  result then stand together in one BPE result already, which for BPE makes the whole sequence the right one.
+  result then stand together in one BPE result already, which for BPE makes the whole sequence the right one. Spans are
+  kept for the ends of a leaf alone, and made for the whole of it if a window grows beyond them.
 
 Defined results: a null text is an empty text and has no ids; repeated rows give repeated rows; null ids pass through;
 other columns are ignored; an empty table gives an empty table.
@@ -32,14 +34,21 @@ from pyspark.sql import functions as F
 from tablefolio.llm.common import bound_batches
 
 LEAF_CHARS = 32_768
-MEMO_UNITS = 500_000
+EDGE_CHARS = 4_096
+MEMO_UNITS = 800_000
 MEMO_PIECES = 30_000
 WINDOW = 16
 BATCH_CHARS = 2_000_000
 
 
+# A pattern of words, and the normalizers under which ASCII letters only lose their case.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+ASCII_WORDS = rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+"
+
+
 class Piece:
-    """A piece of text with its ids and the span of each in the piece."""
+    """A piece of text with its ids and the span of each in the piece; starts and ends are -1 where they are not known."""
 
     __slots__ = ("text", "ids", "starts", "ends")
 
@@ -57,6 +66,13 @@ class Piece:
         starts = np.cumsum(steps)
         return cls(text, ids, starts, starts + lengths)
 
+    def ends_known(self) -> tuple[int, int]:
+        """How many tokens from either end on have known spans."""
+        unknown = self.starts < 0
+        if not unknown.any():
+            return len(self.ids), len(self.ids)
+        return int(np.argmax(unknown)), int(np.argmax(unknown[::-1]))
+
 
 def drops_space(config: dict) -> bool:
     """Whether the pre-tokenizer keeps only matches of a pattern that has no white space in them."""
@@ -68,6 +84,15 @@ def drops_space(config: dict) -> bool:
             and " " not in pattern and all(r"\s" in x for x in negated) and r"\s" not in re.sub(r"\[\^[^\]]*\]", "", pattern))
 
 
+def word_splitter(config: dict) -> bool:
+    """Whether the tokenizer drops white space and cuts by `WORDS` after `NORMALIZERS`, bytes and nothing else following."""
+    stages = (config.get("pre_tokenizer") or {}).get("pretokenizers") or []
+    byte_level = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}
+    return (drops_space(config) and len(stages) == 2 and (stages[0].get("pattern") or {}).get("Regex") == WORDS
+            and all(stages[1].get(k) == v for k, v in byte_level.items())
+            and (config.get("normalizer") or {}).get("normalizers") == NORMALIZERS)
+
+
 class Codec:
     """The tokenizer of one file, with the results of recent units."""
 
@@ -83,6 +108,15 @@ class Codec:
         self.by_unit = drops_space(config)
         self.added = [t["content"] for t in config.get("added_tokens") or []]
         self.reach = max(map(len, self.added), default=1)
+        self.by_word = word_splitter(config)
+        if self.by_word:  # the same vocabulary and merges for texts that are one word of `ASCII_WORDS` each
+            self.bare = Tokenizer.from_str(json.dumps(config | {
+                "normalizer": None, "pre_tokenizer": config["pre_tokenizer"]["pretokenizers"][1], "added_tokens": []}))
+            self.bare.no_truncation()
+            self.bare.no_padding()
+            self.ascii_words = re.compile(ASCII_WORDS).findall
+            self.words = re.compile(rb"[^\s\x80-\xff]*[\x80-\xff]\S*|" + ASCII_WORDS).findall
+            self.specials = [a.encode() for a in self.added]
         self.memo_units = memo_units
         self.memo: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
@@ -95,18 +129,30 @@ class Codec:
         missing = [u for u in units if u not in self.memo]
         self.memo.update((u, self.old[u]) for u in missing if u in self.old)
         new = [u for u in missing if u not in self.memo]
-        for u, e in zip(new, self.tok.encode_batch_fast([u.decode() for u in new], add_special_tokens=False), strict=True):
-            self.memo[u] = np.array(e.ids, "<u4").tobytes()
+        plain_words = [u for u in new if u.isascii()] if self.by_word else []
+        others = [u for u in new if not u.isascii()] if self.by_word else new
+        for tok, asked in ((self.bare if self.by_word else self.tok, plain_words), (self.tok, others)):
+            found = tok.encode_batch_fast([u.decode() for u in asked], add_special_tokens=False) if asked else []
+            self.memo.update((u, np.array(e.ids, "<u4").tobytes()) for u, e in zip(asked, found, strict=True))
+
+    def _units(self, text: bytes) -> list[bytes]:
+        """What the tokenizer treats on its own, in order. A unit with other than ASCII characters stays whole."""
+        if not self.by_word:
+            return text.split()
+        low = text.lower()  # ASCII letters alone
+        return self.ascii_words(low) if low.isascii() else self.words(low)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of whole UTF-8 texts as little-endian unsigned 32-bit integers."""
         if not self.by_unit:
             found = self.tok.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
             return [np.array(e.ids, "<u4").tobytes() for e in found]
-        units = [t.split() for t in texts]
+        whole = {i for i, t in enumerate(texts) if self.by_word and any(a in t for a in self.specials)}
+        units = [[] if i in whole else self._units(t) for i, t in enumerate(texts)]
         self._learn(set().union(*units))
         known = self.memo.__getitem__
-        return [b"".join(map(known, u)) for u in units]
+        return [np.array(self.tok.encode(texts[i].decode(), add_special_tokens=False).ids, "<u4").tobytes() if i in whole
+                else b"".join(map(known, u)) for i, u in enumerate(units)]
 
     def decode(self, ids: bytes) -> str:
         return self.tok.decode(np.frombuffer(ids, "<u4").tolist(), skip_special_tokens=False)
@@ -115,10 +161,21 @@ class Codec:
         """Encode a piece with spans."""
         return _spanned(text, self.tok.encode(text, add_special_tokens=False))
 
-    def leaf(self, text: str) -> Piece:
-        """As `piece`, unit by unit where the tokenizer allows it."""
+    def leaf(self, text: str, edge: int = EDGE_CHARS) -> Piece:
+        """As `piece`, unit by unit where the tokenizer allows it, with spans for about `edge` characters at either end."""
         if not self.by_unit:
             return self.piece(text)
+        head_end, tail_begin = text.rfind(" ", 0, edge), text.find(" ", max(0, len(text) - edge))
+        if len(text) <= 2 * edge or head_end < 0 or tail_begin < 0 or any(a in text for a in self.added):
+            return self.spanned(text)
+        ids = np.frombuffer(self.encode([text.encode()])[0], "<u4").astype(np.int64)
+        head, tail = self.spanned(text[:head_end]), self.spanned(text[tail_begin:])
+        unknown = np.full(len(ids) - len(head.ids) - len(tail.ids), -1, np.int64)
+        return Piece(text, ids, np.concatenate([head.starts, unknown, tail.starts + tail_begin]),
+                     np.concatenate([head.ends, unknown, tail.ends + tail_begin]))
+
+    def spanned(self, text: str) -> Piece:
+        """As `piece`, unit by unit, with all spans."""
         units = [(m.start(), m.group()) for m in re.finditer(r"[^ \t\n\r\x0b\x0c]+", text)]
         if not units:
             return Piece(text, *(np.zeros(0, np.int64) for _ in range(3)))
@@ -159,15 +216,27 @@ class Codec:
     def join(self, a: Piece, b: Piece) -> Piece:
         """One piece from two neighbours."""
         text, shift = a.text + b.text, len(a.text)
-        starts, ends = b.starts + shift, b.ends + shift
         reach = WINDOW
+        tail_known, head_known = a.ends_known()[1], b.ends_known()[0]
+        starts, ends = _moved(b.starts, shift), _moved(b.ends, shift)
         while True:
+            if 2 * reach > min(tail_known, head_known):  # twice: a window may grow to the next clean token
+                if tail_known < len(a.ids):
+                    a, tail_known = self.spanned(a.text), len(a.ids)
+                if head_known < len(b.ids):
+                    b, head_known = self.spanned(b.text), len(b.ids)
+                    starts, ends = _moved(b.starts, shift), _moved(b.ends, shift)
             left = max(0, len(a.ids) - reach)
             while left > 0 and not _clean(a.starts, a.ends, left, text):
                 left -= 1
+                if a.starts[left] < 0 or left and a.ends[left - 1] < 0:
+                    a, tail_known = self.spanned(a.text), len(a.ids)
             right = min(len(b.ids), reach)
             while right < len(b.ids) and not _clean(starts, ends, right, text):
                 right += 1
+                if right < len(b.ids) and starts[right] < 0:
+                    b, head_known = self.spanned(b.text), len(b.ids)
+                    starts, ends = _moved(b.starts, shift), _moved(b.ends, shift)
             begin = int(a.starts[left]) if left else 0
             end = int(starts[right]) if right < len(b.ids) else len(text)
             w = self.piece(text[begin:end])
@@ -201,6 +270,10 @@ def _spanned(text: str, encoding) -> Piece:
     return Piece(text, np.array(encoding.ids, np.int64), spans[:, 0], spans[:, 1])
 
 
+def _moved(places: np.ndarray, shift: int) -> np.ndarray:
+    return np.where(places < 0, -1, places + shift)
+
+
 def plain(ch: str) -> bool:
     """A character that never joins with the one before it: no mark, and no Korean vowel or final letter."""
     return ch < "̀" or (unicodedata.combining(ch) == 0 and unicodedata.category(ch)[0] != "M"

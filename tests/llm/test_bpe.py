@@ -59,6 +59,34 @@ def test_tree_of_halves(monkeypatch, library, unsplit, window):
         assert codec.tree(pieces).ids.tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("window", [1, 4])
+def test_tree_with_spans_at_the_ends_only(monkeypatch, library, window):
+    """Long runs without a space, and windows that grow beyond what is known, take the spans of whole leaves."""
+    monkeypatch.setattr(bpe, "WINDOW", window)
+    codec, rng, partly = bpe.Codec(PATH), random.Random(10), 0
+    for _ in range(300):
+        text = "".join(rng.choice(PARTS + [" "] * 12 + ["aing's"] * 9) for _ in range(rng.randint(50, 250)))
+        pieces = [codec.leaf(x, edge=12) for x in codec.halves(text, 60)]
+        partly += sum(min(p.ends_known()) < len(p.ids) for p in pieces)
+        assert all(p.ids.tolist() == library.encode(p.text, add_special_tokens=False).ids for p in pieces)
+        packed = [bpe.Piece.unpack(p.text, p.pack()) for p in pieces]
+        assert codec.tree(packed).ids.tolist() == library.encode(text, add_special_tokens=False).ids
+    assert partly > 300
+
+
+def test_words_as_whole_texts(library):
+    """Words learned one by one in lower case give the ids of whole texts, whatever stands beside them."""
+    codec, rng = bpe.Codec(PATH), random.Random(11)
+    assert codec.by_word
+    marks = ["'", "'S", "'T", "'rE", "''", "’s", "--", "_", ".", ",", "0", "42", "\x7f", "\x00", "\x1f", "\x85", "\u2028", "İ", "I\u0307",
+             "E\u0301", "e\u0301", "ñ", "Ñ", "Word", "WORD", "it", "It's", "<|", "<|endoftext|>", "٣", "²", "K", "ſ", "Å", "ﬀ"]
+    for _ in range(800):
+        ascii_only = rng.random() < 0.5
+        some = [m for m in marks if m.isascii()] if ascii_only else marks
+        text = "".join(rng.choice([*some, " ", "\n", " "]) for _ in range(rng.randint(0, 40)))
+        assert codec.encode([text.encode()]) == [ids_of(library, text)], text
+
+
 def test_tree_for_a_tokenizer_that_keeps_white_space():
     codec, rng = bpe.Codec(BYTES), random.Random(9)
     assert not codec.by_unit
@@ -69,11 +97,11 @@ def test_tree_for_a_tokenizer_that_keeps_white_space():
 
 
 def test_memory_of_units_is_bounded(library):
-    codec = bpe.Codec(PATH, memo_units=10)
+    codec = bpe.Codec(PATH, memo_units=20)
     for k in range(20):
-        text = " ".join(f"word{k}x{j}" for j in range(7))
+        text = " ".join("".join(random.Random(100 * k + j).choices("abcdefgh", k=6)) for j in range(7))
         assert codec.encode([text.encode()]) == [ids_of(library, text)]
-        assert len(codec.memo) <= 10
+        assert len(codec.memo) <= 10 and len(codec.old) <= 10
 
 
 def test_token_files(spark, odd, library):
