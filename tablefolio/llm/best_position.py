@@ -187,6 +187,8 @@ def search(docs: DataFrame, items: DataFrame, k: int = 10, id_col: str = "doc_id
         columns = list(zip(*rows, strict=True)) if rows else [()] * 5
         return pa.table([pa.array(c, pa.int64()) for c in columns], names=["item", "item_id", "row", "id", "score"])
 
+    # as many tasks as groups: the shuffle grows with the data, not the part one task reads
+    shards, blocks = (side.repartition(n_shards * n_blocks, "shard", "block") for side in (shards, blocks))
     found = shards.groupBy("shard", "block").cogroup(blocks.groupBy("shard", "block")).applyInArrow(best, FOUND)
     place = F.row_number().over(Window.partitionBy("item").orderBy(F.col("score").desc(), F.col("id").asc_nulls_last(), "row"))
     return found.withColumn("rank", place).where(F.col("rank") <= k).select(

@@ -48,6 +48,12 @@ def text_order(id_col: str, text_col: str) -> Column:
                     F.xxhash64(text_col).alias("h"))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened until no column of `df` has it, in whatever case."""
+    taken = {c.lower() for c in df.columns}
+    return [next(n for n in (name + "_" * k for k in range(len(taken) + 1)) if n.lower() not in taken) for name in names]
+
+
 def count_at_most(df: DataFrame, most: int) -> int | None:
     """The number of rows, or None if there are more than `most`; reads no more than it must."""
     n = df.limit(most + 1).count()

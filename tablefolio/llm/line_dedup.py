@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablefolio.llm.bpe import bounded
-from tablefolio.llm.common import NO_ID, bound_batches
+from tablefolio.llm.common import NO_ID, bound_batches, unused
 from tablefolio.session import written
 
 MIN_WORDS = 10
@@ -206,7 +206,8 @@ def _with_partners(shared: DataFrame, later: DataFrame, min_words: int) -> DataF
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
                 by_partner: bool = False) -> DataFrame:
     """All rows and columns of `docs` with shared blocks deleted from `text_col`, and `deleted_lines` (their places among
-    the lines that are not blank) and `shared_with` (ids of the earlier documents linked to), both null where none are."""
+    the lines that are not blank) and `shared_with` (ids of the earlier documents linked to), both null where none are.
+    Columns that have these two names already are replaced."""
     bound_batches(docs.sparkSession)
     key = [F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(text_col).alias("h")]
     texts = docs.where(F.col(text_col).isNotNull()).select(*key, F.col(text_col).alias("text"))
@@ -233,13 +234,14 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def rest(text: pd.Series, lines: pd.Series) -> pd.Series:
         return pd.Series([None if t is None else without_lines(t, set(x.tolist())) for t, x in zip(text, lines, strict=True)])
 
+    own_id, own_h, lines_gone, with_ids, new_text = unused(docs, "__id", "__h", "__gone", "__with", "__new")
     per_doc = links.groupBy("id", "h").agg(F.collect_list("link").alias("links")).select(
-        F.col("id").alias("__id"), F.col("h").alias("__h"), gone("links").alias("__gone"),
-        F.array_sort(F.array_distinct(F.filter(F.transform("links", lambda x: x["oid"]), lambda i: i != NO_ID))).alias("__with"))
-    per_doc = per_doc.where(F.size("__gone") > 0)
-    joined = docs.join(per_doc, (key[0] == F.col("__id")) & (key[1] == F.col("__h")), "left")
-    new = rest(F.when(F.col("__gone").isNotNull(), F.col(text_col)), F.col("__gone"))
+        F.col("id").alias(own_id), F.col("h").alias(own_h), gone("links").alias(lines_gone),
+        F.array_sort(F.array_distinct(F.filter(F.transform("links", lambda x: x["oid"]), lambda i: i != NO_ID))).alias(with_ids))
+    per_doc = per_doc.where(F.size(lines_gone) > 0)
+    joined = docs.join(per_doc, (key[0] == F.col(own_id)) & (key[1] == F.col(own_h)), "left")
+    new = rest(F.when(F.col(lines_gone).isNotNull(), F.col(text_col)), F.col(lines_gone))
     kept = [c for c in docs.columns if c not in ("deleted_lines", "shared_with")]
-    return joined.withColumn("__new", new).select(
-        *[F.coalesce("__new", F.col(c)).alias(c) if c == text_col else F.col(c) for c in kept],
-        F.col("__gone").alias("deleted_lines"), F.col("__with").alias("shared_with"))
+    return joined.withColumn(new_text, new).select(
+        *[F.coalesce(new_text, F.col(c)).alias(c) if c == text_col else F.col(c) for c in kept],
+        F.col(lines_gone).alias("deleted_lines"), F.col(with_ids).alias("shared_with"))

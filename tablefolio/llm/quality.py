@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablefolio.llm.bpe import codec
-from tablefolio.llm.common import bound_batches, count_at_most
+from tablefolio.llm.common import bound_batches, count_at_most, unused
 from tablefolio.session import written
 
 ORDER, SYMBOL_BITS = 5, 12
@@ -412,8 +412,9 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 def accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of `docs` that are kept, with all their columns."""
+    own_id, own_h, own_lang = unused(docs, "__id", "__h", "__lang")
     bad = classify(docs, labels, id_col, text_col, lang_col).where("NOT kept").select(
-        F.col(id_col).alias("__id"), F.col("h").alias("__h"), F.col(lang_col).alias("__lang")).distinct()
-    same = (docs[id_col].cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text_col]) == F.col("__h"))
-            & docs[lang_col].cast("string").eqNullSafe(F.col("__lang")))
+        F.col(id_col).alias(own_id), F.col("h").alias(own_h), F.col(lang_col).alias(own_lang)).distinct()
+    same = (docs[id_col].cast("long").eqNullSafe(F.col(own_id)) & (F.xxhash64(docs[text_col]) == F.col(own_h))
+            & docs[lang_col].cast("string").eqNullSafe(F.col(own_lang)))
     return docs.join(bad, same, "left_anti")
