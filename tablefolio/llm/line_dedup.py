@@ -1,27 +1,25 @@
-"""Lines that later documents share with earlier ones, found by line hashes, aligned, and deleted from the later one.
-
-1. Every line that is not blank gets a 128-bit hash of its stripped text and its occurrence number in the document, so
-   that within a document each hash is unique, as patience diff wants it.
-2. A hash held by several documents is linked to its first holder only. A rare line finds the one document it comes
-   from; a line that very many documents hold costs each of them one link and never makes pairs among them.
-3. The links of a document to one earlier document are their common lines. Patience diff keeps the longest run of links
-   whose places increase in both. Blocks of neighbouring lines in both that were moved, but have `MIN_WORDS` words or
-   more, are aligned too.
-4. A run of neighbouring aligned lines with `MIN_WORDS` words or more is deleted from the later document. So short lines
-   go only together with their neighbours.
-
-With `by_partner`, as the query and the pipeline have it, documents that share a block are aligned with each other:
-
-* Beside its lines, a document gives the shortest runs of two or more lines that begin, and that end, at each line and
-  have `MIN_WORDS` words. Each is linked to its first holder like a line, and goes as a whole. Every line of a block that
-  stands in one earlier document, and has `MIN_WORDS` words, is in such a run or has as many words itself.
-* The first holders of such runs and of lines of `MIN_WORDS` words are the document's partners. It is aligned on all
-  lines it has in common with a partner, whoever held them first.
-* Runs of neighbouring aligned lines are formed within one earlier document, never across several.
+"""Blocks of lines that later documents share with earlier ones: found by rare line hashes, aligned, deleted from the later.
+
+1. Every line that is not blank is hashed (128 bits of its stripped text), and so are the shortest runs of two or more
+   lines that begin, and that end, at each line and have `MIN_WORDS` words. Lines and runs of `MIN_WORDS` words are rare
+   enough to tell where a text comes from: they link a document to the first one that holds them. A line that a million
+   documents hold costs each of them one link and never makes pairs among them.
+2. A pair of documents so linked asks for the lines both have: the one with fewer shared lines asks the other, so a digest
+   of many sources costs what its sources hold, and a source of many copies what the copies hold.
+3. Patience diff aligns each pair: lines that occur once in both are anchors, a longest run of them in the same order
+   stays, and the stretches between them are aligned in the same way, where other lines now occur once; where only
+   repeated lines are left the k-th is held against the k-th. Lines without neighbours to make up a block of `MIN_WORDS`
+   words with are left out before.
+4. Neighbouring lines that are aligned to neighbours are a block; blocks of `MIN_WORDS` words are deleted from the later
+   document. What is left is aligned again with the whole earlier document, for blocks that were moved or repeated, until
+   nothing more aligns. Nothing is deleted by its hash alone.
+
+Without repeated lines in a document this deletes exactly the lines of all blocks of `MIN_WORDS` words that stand in an
+earlier document as they are: each such block is covered by runs of step 1, whose first holders hold them too.
 
 Documents are ordered by id, then by a hash of the text. Defined results: null and empty texts stay as they are; rows
-without id come first; rows with equal id and text are one document and get the same result; blank lines stay; all other
-columns pass through, whatever their names; an empty table gives an empty table.
+without id come first; rows with equal id and text are one document and get the same result; blank lines stay and do not
+part neighbours; all other columns pass through, whatever their names; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -29,7 +27,7 @@ from __future__ import annotations
 import hashlib
 from bisect import bisect_left
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -43,6 +41,7 @@ from tablefolio.llm.common import NO_ID, bound_batches, unused
 from tablefolio.session import written
 
 MIN_WORDS = 10
+HOT_SHARE = 4096  # keys with more than this part of all rows are joined by broadcast: at most so many
 
 
 def least_runs(words: list[int], min_words: int) -> set[tuple[int, int]]:
@@ -66,45 +65,34 @@ def least_runs(words: list[int], min_words: int) -> set[tuple[int, int]]:
     return {(a, b) for a, b in found if b - a > 1}
 
 
-def line_rows(docs: DataFrame, run_words: int | None = None) -> DataFrame:
-    """(id, h, pos, words, size, a, b) for each line that is not blank; `pos` counts these lines from 0. With `run_words`
-    also the least runs of so many words, `size` lines each."""
-    names = ["id", "h", "pos", "words", "size", "a", "b"]
+def line_rows(docs: DataFrame, run_words: int) -> DataFrame:
+    """(id, h, words, at, a, b) for each different line of a document that is not blank, `at` its places among these lines
+    from 0, and for each different least run of `run_words` words, with `at` null."""
+    names = ["id", "h", "words", "at", "a", "b"]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, hs = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             raw = batch.column(2).cast(pa.binary()).to_pylist()
             for part in bounded(raw, 8_000_000):
-                row, pos, words, sizes, digests = [], [], [], [], []
+                row, words, places, digests = [], [], [], []
                 for i, text in enumerate(raw[part], part.start):
-                    seen: dict[bytes, int] = defaultdict(int)
-                    p, lines = 0, []
-                    for line in text.split(b"\n"):
-                        line = line.strip()
-                        if line:
-                            seen[line] += 1
-                            row.append(i)
-                            pos.append(p)
-                            words.append(line.count(b" ") + 1)
-                            sizes.append(1)
-                            lines.append(line)
-                            digests.append(hashlib.md5(line + b"\n%d" % seen[line]).digest())
-                            p += 1
-                    if run_words is not None and p > 1:
-                        counts = words[-p:]
-                        for first, end in sorted(least_runs(counts, run_words)):
-                            row.append(i)
-                            pos.append(first)
-                            words.append(sum(counts[first:end]))
-                            sizes.append(end - first)
-                            digests.append(hashlib.md5(b"\n".join(lines[first:end]) + b"\n\n").digest())
+                    lines = [line for line in (x.strip() for x in text.split(b"\n")) if line]
+                    at: dict[bytes, list[int]] = defaultdict(list)
+                    for p, line in enumerate(lines):
+                        at[line].append(p)
+                    counts = [line.count(b" ") + 1 for line in lines]
+                    runs = {b"\n".join(lines[x:y]) + b"\n\n": sum(counts[x:y]) for x, y in least_runs(counts, run_words)}
+                    row += [i] * (len(at) + len(runs))
+                    words += [counts[p[0]] for p in at.values()] + list(runs.values())
+                    places += [*at.values(), *[None] * len(runs)]
+                    digests += [hashlib.md5(x).digest() for x in (*at, *runs)]
                 key = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[row]), pa.array(hs[row]), pa.array(pos, pa.int32()), pa.array(words, pa.int32()),
-                     pa.array(sizes, pa.int32()), pa.array(key[:, 0].copy()), pa.array(key[:, 1].copy())], names=names)
+                    [pa.array(ids[row]), pa.array(hs[row]), pa.array(words, pa.int32()), pa.array(places, pa.list_(pa.int32())),
+                     pa.array(key[:, 0].copy()), pa.array(key[:, 1].copy())], names=names)
 
-    return docs.mapInArrow(scan, "id long, h long, pos int, words int, size int, a long, b long")
+    return docs.mapInArrow(scan, "id long, h long, words int, at array<int>, a long, b long")
 
 
 def increasing(places: list[int]) -> list[int]:
@@ -125,56 +113,77 @@ def increasing(places: list[int]) -> list[int]:
     return out[::-1]
 
 
-def aligned(pos: list[int], places: list[int], words: list[int], min_words: int) -> set[int]:
-    """Lines (their `pos`, ascending) of one document that align with their places in an earlier one."""
-    keep = {pos[i] for i in increasing(places)}
-    block: list[int] = []
-    for i in range(len(pos) + 1):
-        if block and (i == len(pos) or pos[i] != pos[block[-1]] + 1 or places[i] != places[block[-1]] + 1):
-            if sum(words[k] for k in block) >= min_words:
-                keep.update(pos[k] for k in block)
-            block = []
-        if i < len(pos):
-            block.append(i)
-    return keep
-
-
-def deletions(links: list, min_words: int) -> list[int]:
-    """Lines to delete of one document, from its links (pos, words, earlier document, place there)."""
-    links = sorted(links, key=lambda x: x["pos"])
-    by_owner = defaultdict(list)
-    for x in links:
-        by_owner[x["oid"], x["oh"]].append(x)
-    keep: set[int] = set()
-    for own in by_owner.values():
-        keep |= aligned([x["pos"] for x in own], [x["opos"] for x in own], [x["words"] for x in own], min_words)
-    return long_runs([x for x in links if x["pos"] in keep], min_words)
-
-
-def partner_deletions(links: list, min_words: int) -> list[int]:
-    """Lines to delete of one document: whole runs it shares (`size` > 1), and runs of lines aligned to one earlier one."""
-    by_owner, out = defaultdict(list), set()
-    for x in sorted(links, key=lambda x: x["pos"]):
-        if x["size"] > 1:
-            out.update(range(x["pos"], x["pos"] + x["size"]))
-        else:
-            by_owner[x["oid"], x["oh"]].append(x)
-    for own in by_owner.values():
-        keep = aligned([x["pos"] for x in own], [x["opos"] for x in own], [x["words"] for x in own], min_words)
-        out.update(long_runs([x for x in own if x["pos"] in keep], min_words))
+def _once(keys: list[int], start: int, end: int) -> dict[int, int]:
+    """Where each key stands that occurs once between `start` and `end`, and -1 for those that occur more often."""
+    found: dict[int, int] = {}
+    for i in range(start, end):
+        found[keys[i]] = -1 if keys[i] in found else i
+    return found
+
+
+def _numbered(keys: list[int], start: int, end: int) -> dict[tuple[int, int], int]:
+    """Where the k-th occurrence of each key between `start` and `end` stands."""
+    seen: dict[int, int] = defaultdict(int)
+    found = {}
+    for i in range(start, end):
+        found[keys[i], seen[keys[i]]] = i
+        seen[keys[i]] += 1
+    return found
+
+
+def patience(mine: list[int], theirs: list[int]) -> list[tuple[int, int]]:
+    """Pairs of indices of equal keys that increase in both lists, by patience diff."""
+    out, todo = [], [(0, len(mine), 0, len(theirs))]
+    while todo:
+        i0, i1, j0, j1 = todo.pop()
+        here, there = _once(mine, i0, i1), _once(theirs, j0, j1)
+        anchors = [(i, there[k]) for k, i in here.items() if i >= 0 and there.get(k, -1) >= 0]
+        last = not anchors
+        if last:
+            here, there = _numbered(mine, i0, i1), _numbered(theirs, j0, j1)
+            anchors = [(i, there[k]) for k, i in here.items() if k in there]
+        kept = [anchors[x] for x in increasing([j for _, j in anchors])]
+        out += kept
+        if kept and not last:
+            ends = [(i0 - 1, j0 - 1), *kept, (i1, j1)]
+            todo += [(a + 1, c, b + 1, d) for (a, b), (c, d) in zip(ends, ends[1:]) if c > a + 1 and d > b + 1]
     return sorted(out)
 
 
-def long_runs(links: list, min_words: int) -> list[int]:
-    """The lines of runs of neighbours with `min_words` words or more."""
-    out, run, size = [], [], 0
-    for x in links:
-        if run and x["pos"] != run[-1] + 1:
-            out += run if size >= min_words else []
-            run, size = [], 0
-        run.append(x["pos"])
-        size += x["words"]
-    return out + (run if size >= min_words else [])
+def _stretches(n: int, joined: Callable[[int], bool], words: list[int], min_words: int) -> list[int]:
+    """Of the indices below `n`, those in stretches of `min_words` words; `joined(i)` says if i goes on from i - 1."""
+    out, start, size = [], 0, 0
+    for i in range(n + 1):
+        if i == n or (i and not joined(i)):
+            if size >= min_words:
+                out += range(start, i)
+            start, size = i, 0
+        if i < n:
+            size += words[i]
+    return out
+
+
+def block_lines(common: list, min_words: int) -> list[int]:
+    """Lines of a document in blocks aligned with an earlier one, from the (words, places, places there) of each line that
+    both have."""
+    rest = sorted((p, k, x["words"]) for k, x in enumerate(common) for p in x["at"])
+    there = sorted((p, k) for k, x in enumerate(common) for p in x["there"])
+    theirs = [k for _, k in there]
+    following = {(k, m) for (p, k), (q, m) in zip(there, there[1:]) if q == p + 1}
+    gone: list[int] = []
+    while True:
+        able = _stretches(len(rest), lambda i: rest[i][0] == rest[i - 1][0] + 1 and (rest[i - 1][1], rest[i][1]) in following,
+                          [x[2] for x in rest], min_words)
+        rest = [rest[i] for i in able]
+        pairs = patience([k for _, k, _ in rest], theirs)
+        if not pairs:
+            return sorted(gone)
+        at = [(rest[i][0], there[j][0]) for i, j in pairs]
+        block = _stretches(len(at), lambda i: at[i][0] == at[i - 1][0] + 1 and at[i][1] == at[i - 1][1] + 1,
+                           [rest[i][2] for i, _ in pairs], min_words)
+        gone += [at[x][0] for x in block]
+        done = {pairs[x][0] for x in block} or {i for i, _ in pairs}
+        rest = [x for i, x in enumerate(rest) if i not in done]
 
 
 def without_lines(text: str, gone: set[int]) -> str:
@@ -190,55 +199,65 @@ def without_lines(text: str, gone: set[int]) -> str:
     return b"\n".join(kept).decode() if any(x.strip() for x in kept) else ""
 
 
-def _with_partners(shared: DataFrame, later: DataFrame, min_words: int) -> DataFrame:
-    """Links to the lines that partners hold, but did not hold first."""
-    partners = later.where((F.col("size") > 1) | (F.col("words") >= min_words)).select(
-        "id", "h", F.col("oid").alias("pid"), F.col("oh").alias("ph")).distinct()
-    lines = shared.where("size = 1")
-    asked = lines.join(partners, ["id", "h"]).where((F.col("oid") != F.col("pid")) | (F.col("oh") != F.col("ph"))).drop(
-        "oid", "oh", "opos")
-    held = lines.select(F.col("id").alias("oid"), F.col("h").alias("oh"), F.col("pos").alias("opos"), F.col("a").alias("ha"),
-                        F.col("b").alias("hb"))
-    same = (F.col("pid") == F.col("oid")) & (F.col("ph") == F.col("oh")) & (F.col("a") == F.col("ha")) & (F.col("b") == F.col("hb"))
-    return asked.join(held, same)
-
-
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
-                by_partner: bool = False) -> DataFrame:
+def _with_first(lines: DataFrame) -> DataFrame:
+    """The lines and runs that several documents hold, with (oid, oh) of the first holder.
+
+    Keys with more than a 4096th of these rows, so at most 4096 of them, meet their holder by broadcast; their rows get
+    keys of their own in the join of the others, so no task gets all rows of a hot key.
+    """
+    first = written(lines.groupBy("a", "b").agg(F.min(F.struct("id", "h")).alias("o"), F.count("*").alias("n")).where("n > 1"),
+                    "first-holders").withColumn("often", F.lit(False))
+    share = first.agg((F.coalesce(F.sum("n"), F.lit(0)) / HOT_SHARE).alias("least"))
+    hot = first.join(F.broadcast(share), F.col("n") > F.col("least")).select("a", "b", F.col("o").alias("hot"))
+    rows = lines.join(F.broadcast(hot), ["a", "b"], "left").withColumn("often", F.col("hot").isNotNull())
+    rows = rows.withColumn("c", F.when(F.col("often"), F.xxhash64("id", "h", "a")).otherwise(F.col("a")))
+    out = rows.join(first.select(F.col("a").alias("c"), "b", "often", "o"), ["c", "b", "often"], "left")
+    holder = F.coalesce("hot", "o")
+    return out.where(holder.isNotNull()).select("id", "h", "words", "at", "a", "b", holder["id"].alias("oid"), holder["h"].alias("oh"))
+
+
+def _common_lines(shared: DataFrame, min_words: int) -> DataFrame:
+    """(id, h, oid, oh, common) for each document and each first holder of one of its rare lines or runs."""
+    later = (F.col("id") != F.col("oid")) | (F.col("h") != F.col("oh"))
+    pairs = shared.where(later & (F.col("words") >= min_words)).select("id", "h", "oid", "oh").distinct()
+    held = shared.where(F.col("at").isNotNull()).select("id", "h", "a", "b", "words", "at")
+    sizes = held.groupBy("id", "h").agg(F.count("*").alias("n"))
+    pairs = pairs.join(sizes, ["id", "h"]).join(
+        sizes.select(F.col("id").alias("oid"), F.col("h").alias("oh"), F.col("n").alias("on")), ["oid", "oh"])
+    own = F.col("n") <= F.col("on")
+    asked = pairs.select("id", "h", "oid", "oh", own.alias("own"), *[
+        F.when(own, F.col(x)).otherwise(F.col(y)).alias(z) for x, y, z in
+        (("id", "oid", "sid"), ("h", "oh", "sh"), ("oid", "id", "bid"), ("oh", "h", "bh"))])
+    small = held.select(F.col("id").alias("sid"), F.col("h").alias("sh"), "a", "b", "words", F.col("at").alias("sat"))
+    large = held.select(F.col("id").alias("bid"), F.col("h").alias("bh"), "a", "b", F.col("at").alias("bat"))
+    both = asked.join(small, ["sid", "sh"]).join(large, ["bid", "bh", "a", "b"])
+    line = F.struct("words", F.when(F.col("own"), F.col("sat")).otherwise(F.col("bat")).alias("at"),
+                    F.when(F.col("own"), F.col("bat")).otherwise(F.col("sat")).alias("there"))
+    return both.groupBy("id", "h", "oid", "oh").agg(F.collect_set(line).alias("common"))
+
+
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """All rows and columns of `docs` with shared blocks deleted from `text_col`, and `deleted_lines` (their places among
-    the lines that are not blank) and `shared_with` (ids of the earlier documents linked to), both null where none are.
-    Columns that have these two names already are replaced."""
+    the lines that are not blank) and `shared_with` (ids of the earlier documents they were aligned with), both null where
+    none are. Columns that have these two names already are replaced."""
     bound_batches(docs.sparkSession)
     key = [F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(text_col).alias("h")]
     texts = docs.where(F.col(text_col).isNotNull()).select(*key, F.col(text_col).alias("text"))
-    lines = line_rows(texts, min_words if by_partner else None)
-    first = lines.groupBy("a", "b").agg(
-        F.min(F.struct("id", "h", "pos")).alias("o"), F.count("*").alias("n")).where("n > 1").select("a", "b", "o")
-    shared = lines.join(first, ["a", "b"]).select(
-        "id", "h", "pos", "words", "size", "a", "b", F.col("o.id").alias("oid"), F.col("o.h").alias("oh"), F.col("o.pos").alias("opos"))
-    if by_partner:
-        shared = written(shared, "line-links")
-    later = shared.where((F.col("id") != F.col("oid")) | (F.col("h") != F.col("oh")))
-    fields = ["id", "h", "pos", "words", "size", "oid", "oh", "opos"]
-    links = later.select(*fields)
-    if by_partner:
-        links = links.unionByName(_with_partners(shared, later, min_words).select(*fields))
-    links = links.select("id", "h", F.struct(*fields[2:]).alias("link")).distinct()
-    decide = partner_deletions if by_partner else deletions
+    shared = written(_with_first(line_rows(texts, min_words)), "shared-lines")
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def gone(many: pd.Series) -> pd.Series:
-        return many.map(lambda x: decide(list(x), min_words))
+        return many.map(lambda x: block_lines(list(x), min_words))
 
     @F.pandas_udf(T.StringType())
     def rest(text: pd.Series, lines: pd.Series) -> pd.Series:
         return pd.Series([None if t is None else without_lines(t, set(x.tolist())) for t, x in zip(text, lines, strict=True)])
 
     own_id, own_h, lines_gone, with_ids, new_text = unused(docs, "__id", "__h", "__gone", "__with", "__new")
-    per_doc = links.groupBy("id", "h").agg(F.collect_list("link").alias("links")).select(
-        F.col("id").alias(own_id), F.col("h").alias(own_h), gone("links").alias(lines_gone),
-        F.array_sort(F.array_distinct(F.filter(F.transform("links", lambda x: x["oid"]), lambda i: i != NO_ID))).alias(with_ids))
-    per_doc = per_doc.where(F.size(lines_gone) > 0)
+    deleted = _common_lines(shared, min_words).select("id", "h", "oid", F.explode(gone("common")).alias("pos"))
+    per_doc = deleted.groupBy("id", "h").agg(F.collect_set("pos").alias("pos"), F.collect_set("oid").alias("with")).select(
+        F.col("id").alias(own_id), F.col("h").alias(own_h), F.array_sort("pos").alias(lines_gone),
+        F.array_sort(F.filter("with", lambda i: i != NO_ID)).alias(with_ids))
     joined = docs.join(per_doc, (key[0] == F.col(own_id)) & (key[1] == F.col(own_h)), "left")
     new = rest(F.when(F.col(lines_gone).isNotNull(), F.col(text_col)), F.col(lines_gone))
     kept = [c for c in docs.columns if c not in ("deleted_lines", "shared_with")]

@@ -24,14 +24,13 @@ def test_names_not_in_use(docs):
     assert unused(docs, "__id", "__ID", "free") == ["__id_", "__ID_", "free"]
 
 
-@pytest.mark.parametrize("by_partner", [False, True])
-def test_line_dedup(docs, by_partner):
-    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs, by_partner=by_partner).collect()}
+def test_line_dedup(docs):
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs).collect()}
     assert got == {0: f"{LINE}\nown text 0 of this document", **{k: f"own text {k} of this document" for k in range(1, 6)}, 6: None, 7: ""}
 
 
 def test_deleted_lines_as_input_is_replaced(docs):
-    out = line_dedup.dedup_lines(docs.withColumn("deleted_lines", F.lit("mine")), by_partner=True)
+    out = line_dedup.dedup_lines(docs.withColumn("deleted_lines", F.lit("mine")))
     assert out.columns.count("deleted_lines") == 1 and {str(r.deleted_lines) for r in out.collect()} <= {"None", "[0]"}
 
 
