@@ -4,7 +4,7 @@
    lines that begin, and that end, at each line and have `MIN_WORDS` words. Lines and runs of `MIN_WORDS` words are rare
    enough to tell where a text comes from: they link a document to the first one that holds them. A line that a million
    documents hold costs each of them one link and never makes pairs among them.
-2. A pair of documents so linked asks for the lines both have: the one with fewer shared lines asks the other, so a digest
+2. A pair of documents so linked asks for the lines both have: the one with fewer lines asks the other, so a digest
    of many sources costs what its sources hold, and a source of many copies what the copies hold.
 3. Patience diff aligns each pair: lines that occur once in both are anchors, a longest run of them in the same order
    stays, and the stretches between them are aligned in the same way, where other lines now occur once; where only
@@ -66,16 +66,16 @@ def least_runs(words: list[int], min_words: int) -> set[tuple[int, int]]:
 
 
 def line_rows(docs: DataFrame, run_words: int) -> DataFrame:
-    """(id, h, words, at, a, b) for each different line of a document that is not blank, `at` its places among these lines
-    from 0, and for each different least run of `run_words` words, with `at` null."""
-    names = ["id", "h", "words", "at", "a", "b"]
+    """(id, h, m, words, at, a, b) for each different line of a document that is not blank, `at` its places among these lines
+    from 0, and for each different least run of `run_words` words, with `at` null; `m` counts a document's different lines."""
+    names = ["id", "h", "m", "words", "at", "a", "b"]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, hs = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             raw = batch.column(2).cast(pa.binary()).to_pylist()
             for part in bounded(raw, 8_000_000):
-                row, words, places, digests = [], [], [], []
+                row, size, words, places, digests = [], [], [], [], []
                 for i, text in enumerate(raw[part], part.start):
                     lines = [line for line in (x.strip() for x in text.split(b"\n")) if line]
                     at: dict[bytes, list[int]] = defaultdict(list)
@@ -84,15 +84,16 @@ def line_rows(docs: DataFrame, run_words: int) -> DataFrame:
                     counts = [line.count(b" ") + 1 for line in lines]
                     runs = {b"\n".join(lines[x:y]) + b"\n\n": sum(counts[x:y]) for x, y in least_runs(counts, run_words)}
                     row += [i] * (len(at) + len(runs))
+                    size += [len(at)] * (len(at) + len(runs))
                     words += [counts[p[0]] for p in at.values()] + list(runs.values())
                     places += [*at.values(), *[None] * len(runs)]
                     digests += [hashlib.md5(x).digest() for x in (*at, *runs)]
                 key = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[row]), pa.array(hs[row]), pa.array(words, pa.int32()), pa.array(places, pa.list_(pa.int32())),
-                     pa.array(key[:, 0].copy()), pa.array(key[:, 1].copy())], names=names)
+                    [pa.array(ids[row]), pa.array(hs[row]), pa.array(size, pa.int32()), pa.array(words, pa.int32()),
+                     pa.array(places, pa.list_(pa.int32())), pa.array(key[:, 0].copy()), pa.array(key[:, 1].copy())], names=names)
 
-    return docs.mapInArrow(scan, "id long, h long, words int, at array<int>, a long, b long")
+    return docs.mapInArrow(scan, "id long, h long, m int, words int, at array<int>, a long, b long")
 
 
 def increasing(places: list[int]) -> list[int]:
@@ -200,12 +201,12 @@ def without_lines(text: str, gone: set[int]) -> str:
 
 
 def _with_first(lines: DataFrame) -> DataFrame:
-    """The lines and runs that several documents hold, with (oid, oh) of the first holder.
+    """The lines and runs that several documents hold, with (oid, oh, om) of the first holder.
 
     Keys with more than a 4096th of these rows, so at most 4096 of them, meet their holder by broadcast; their rows get
     keys of their own in the join of the others, so no task gets all rows of a hot key.
     """
-    first = written(lines.groupBy("a", "b").agg(F.min(F.struct("id", "h")).alias("o"), F.count("*").alias("n")).where("n > 1"),
+    first = written(lines.groupBy("a", "b").agg(F.min(F.struct("id", "h", "m")).alias("o"), F.count("*").alias("n")).where("n > 1"),
                     "first-holders").withColumn("often", F.lit(False))
     share = first.agg((F.coalesce(F.sum("n"), F.lit(0)) / HOT_SHARE).alias("least"))
     hot = first.join(F.broadcast(share), F.col("n") > F.col("least")).select("a", "b", F.col("o").alias("hot"))
@@ -213,18 +214,16 @@ def _with_first(lines: DataFrame) -> DataFrame:
     rows = rows.withColumn("c", F.when(F.col("often"), F.xxhash64("id", "h", "a")).otherwise(F.col("a")))
     out = rows.join(first.select(F.col("a").alias("c"), "b", "often", "o"), ["c", "b", "often"], "left")
     holder = F.coalesce("hot", "o")
-    return out.where(holder.isNotNull()).select("id", "h", "words", "at", "a", "b", holder["id"].alias("oid"), holder["h"].alias("oh"))
+    return out.where(holder.isNotNull()).select("id", "h", "m", "words", "at", "a", "b", holder["id"].alias("oid"),
+                                               holder["h"].alias("oh"), holder["m"].alias("om"))
 
 
 def _common_lines(shared: DataFrame, min_words: int) -> DataFrame:
     """(id, h, oid, oh, common) for each document and each first holder of one of its rare lines or runs."""
     later = (F.col("id") != F.col("oid")) | (F.col("h") != F.col("oh"))
-    pairs = shared.where(later & (F.col("words") >= min_words)).select("id", "h", "oid", "oh").distinct()
+    pairs = shared.where(later & (F.col("words") >= min_words)).select("id", "h", "m", "oid", "oh", "om").distinct()
     held = shared.where(F.col("at").isNotNull()).select("id", "h", "a", "b", "words", "at")
-    sizes = held.groupBy("id", "h").agg(F.count("*").alias("n"))
-    pairs = pairs.join(sizes, ["id", "h"]).join(
-        sizes.select(F.col("id").alias("oid"), F.col("h").alias("oh"), F.col("n").alias("on")), ["oid", "oh"])
-    own = F.col("n") <= F.col("on")
+    own = F.col("m") <= F.col("om")
     asked = pairs.select("id", "h", "oid", "oh", own.alias("own"), *[
         F.when(own, F.col(x)).otherwise(F.col(y)).alias(z) for x, y, z in
         (("id", "oid", "sid"), ("h", "oh", "sh"), ("oid", "id", "bid"), ("oh", "h", "bh"))])
