@@ -37,10 +37,10 @@ def heavy(spark: SparkSession, sf_dir: str, name: str, *keys: str) -> DataFrame:
 
 
 def load() -> Catalogue:
-    from tablefolio.plans.catalogue import companies, pages, scalars, sources, streams, tables, temporal, usage
+    from tablefolio.plans.catalogue import companies, pages, reports, scalars, sources, streams, tables, temporal, usage
 
     out = Catalogue()
-    for module in (scalars, usage, companies, tables, pages, sources, temporal, streams):
+    for module in (scalars, usage, companies, tables, pages, sources, temporal, streams, reports):
         overlap = set(out) & set(module.QUERIES)
         if overlap:
             raise ValueError(f"query names used twice: {overlap}")

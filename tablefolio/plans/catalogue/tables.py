@@ -76,7 +76,7 @@ _DUCK = {"S": "VARCHAR", "A": "list_value", "T": "orders"}
 SQL_INPUT = f"hdr AS ({HEADER_ROWS.format(**_DUCK)}), raw AS ({BODY_ROWS.format(**_DUCK)})"
 
 
-def _input(spark, sf):
+def table_input(spark, sf):
     heavy(spark, sf, "orders", "o_orderkey").createOrReplaceTempView("tablefolio_orders")
     words = {"S": "STRING", "A": "array", "T": "tablefolio_orders"}
     rows = spark.sql(BODY_ROWS.format(**words)).withColumnRenamed("vals", "values")
@@ -85,7 +85,7 @@ def _input(spark, sf):
 
 @QUERIES.add(f"WITH {SQL_INPUT}, {PROFILE} SELECT table_id, col_idx, n_rows, filled, number, money, money_sum, layered FROM profile")
 def table_profile(spark, sf):
-    cells = H.table_profiles(*_input(spark, sf)).select("table_id", F.inline("cells"))
+    cells = H.table_profiles(*table_input(spark, sf)).select("table_id", F.inline("cells"))
 
     def total(place):
         return F.floor(F.sum(F.col("stats")[place])).cast("bigint")
@@ -98,21 +98,21 @@ def table_profile(spark, sf):
 @QUERIES.add(f"""WITH {SQL_INPUT}, {PROFILE}, {DECIDED}
 SELECT table_id, CASE WHEN invalid THEN 'WRN-ID2002' ELSE 'ok' END AS state, promoted, misplaced, skip, first_col, merged, layered FROM tab""")
 def table_admission(spark, sf):
-    done = H.repair_headers(H.table_profiles(*_input(spark, sf)))
+    done = H.repair_headers(H.table_profiles(*table_input(spark, sf)))
     return done.select("table_id", F.coalesce("code", F.lit("ok")).alias("state"), "promoted", "misplaced", "skip",
                        "first_col", "merged", "layered")
 
 
 @QUERIES.add(f"""WITH {SQL_INPUT}, {PROFILE}, {DECIDED} SELECT table_id, place, col_idx, name FROM cols""")
 def repaired_headers(spark, sf):
-    done = H.repair_headers(H.table_profiles(*_input(spark, sf))).where("code IS NULL")
+    done = H.repair_headers(H.table_profiles(*table_input(spark, sf))).where("code IS NULL")
     return done.select("table_id", F.posexplode("columns").alias("place", "c")).select(
         "table_id", "place", "c.col_idx", "c.name")
 
 
 @QUERIES.add(f"""WITH {SQL_INPUT}, {PROFILE}, {DECIDED}, {LINEAGE} SELECT table_id, target, src, rule FROM lineage""")
 def column_match(spark, sf):
-    return M.lineage(P.decide_tables(*_input(spark, sf)))
+    return M.lineage(P.decide_tables(*table_input(spark, sf)))
 
 
 @QUERIES.add(f"""WITH {SQL_INPUT}, {PROFILE}, {DECIDED}, {LINEAGE}, {METRIC_ROWS}, {ROW_STEPS}, {FACTS},
@@ -121,7 +121,7 @@ SELECT table_id, code, CASE WHEN starts_with(code, 'ERR') THEN 'Error' ELSE 'War
   CASE code WHEN 'ERR-ID1002' THEN 'P1 rule ' || detail || ' has multi-matches' WHEN 'WRN-ID2003' THEN 'P2 rule ' || detail || ' has multi-matches'
   ELSE 'Less than 3 columns identified, table is invalid' END AS description FROM coded WHERE code IS NOT NULL""")
 def table_errors(spark, sf):
-    return P.build_portfolio(*_input(spark, sf)).errors
+    return P.build_portfolio(*table_input(spark, sf)).errors
 
 
 _TEXTS = ", ".join(DEFAULT_RULES.names())
@@ -129,7 +129,7 @@ _TEXTS = ", ".join(DEFAULT_RULES.names())
 
 @QUERIES.add(f"""WITH {SQL_INPUT}, {PROFILE}, {DECIDED}, {LINEAGE}, {METRIC_ROWS} SELECT table_id, row_idx, {_TEXTS} FROM metric_rows""")
 def metric_rows(spark, sf):
-    headers, rows = _input(spark, sf)
+    headers, rows = table_input(spark, sf)
     return P.metric_rows(rows, P.decide_tables(headers, rows)).select("table_id", "row_idx", *DEFAULT_RULES.names())
 
 
@@ -147,7 +147,7 @@ _ROUNDED = ", ".join(f"round({m}, 6) AS {m}" for m in NUMBER_METRICS)
 SELECT table_id, row_idx, company_name, security_type, investment_date, {_ROUNDED}, is_total,
   coalesce(CAST(is_validated AS VARCHAR), 'unknown') AS validated, filled FROM facts""")
 def portfolio_facts(spark, sf):
-    facts = P.build_portfolio(*_input(spark, sf)).facts
+    facts = P.build_portfolio(*table_input(spark, sf)).facts
     return _rounded(facts).select(
         *_FACT_COLUMNS, F.coalesce(F.col("is_validated").cast("string"), F.lit("unknown")).alias("validated"),
         F.array_join("filled_metrics", ",").alias("filled"))
@@ -157,13 +157,13 @@ def portfolio_facts(spark, sf):
 SELECT table_id, target, src, rule FROM lineage JOIN (SELECT DISTINCT table_id FROM facts) USING (table_id)
 UNION ALL SELECT DISTINCT table_id, unnest(string_split(filled, ',')) AS target, NULL, 'VA' FROM facts WHERE filled <> ''""")
 def portfolio_lineage(spark, sf):
-    return P.build_portfolio(*_input(spark, sf)).lineage
+    return P.build_portfolio(*table_input(spark, sf)).lineage
 
 
 @QUERIES.add(f"""WITH {SQL_INPUT}, {PROFILE}, {DECIDED}, {LINEAGE}, {METRIC_ROWS}, {ROW_STEPS}, {FACTS}
 SELECT table_id, {', '.join(f'round(sum({m}), 4) AS {m}' for m in HEADER_METRICS)} FROM facts WHERE NOT is_total GROUP BY table_id""")
 def portfolio_sums(spark, sf):
-    sums = metric_sums(P.build_portfolio(*_input(spark, sf)).facts, list(HEADER_METRICS))
+    sums = metric_sums(P.build_portfolio(*table_input(spark, sf)).facts, list(HEADER_METRICS))
     return sums.select("table_id", *[F.round(m, 4).alias(m) for m in HEADER_METRICS])
 
 
@@ -190,7 +190,7 @@ def _as_cells(headers, rows):
 @QUERIES.add(f"""WITH {SQL_SPANNED}, {PROFILE}, {DECIDED}, {LINEAGE}, {METRIC_ROWS}, {ROW_STEPS}, {FACTS}
 SELECT table_id, row_idx, company_name, security_type, investment_date, {_ROUNDED}, is_total FROM facts""")
 def cells_to_facts(spark, sf):
-    headers, rows = from_grid(*G.header_and_rows(G.table_rows(_as_cells(*_input(spark, sf)))), cut=durable)
+    headers, rows = from_grid(*G.header_and_rows(G.table_rows(_as_cells(*table_input(spark, sf)))), cut=durable)
     return _rounded(P.build_portfolio(headers, rows).facts).select(*_FACT_COLUMNS)
 
 
