@@ -10,14 +10,15 @@
    chance agreement (1/256) it estimates the similarity, and pairs clearly below the wanted one go.
 4. Remaining candidates are confirmed on their full sets, and confirmed links form components.
 5. In buckets that still hold members of different components these meet too, block by block: a pair counts at the
-   first band it shares, if its estimate is high enough. Its confirmed links are added. Members that are linked already
-   meet no more.
+   first band it shares, if its estimate is high enough and neither is the bucket's hub. Members that meet anyone send
+   their text once for each pair of blocks; the pairs are confirmed there and never leave it. Only links that join two
+   components do, so a block gives fewer rows than it has members. Members that are linked already meet no more.
 
 A link of similarity 0.85 is missed by all bands with a chance of (1 - 0.85^8)^48 = 2.4e-7, and dropped by the estimate,
 five standard errors below, more rarely still.
 
 Defined results: null and empty texts have an empty set and stay alone; fewer words than a shingle are one shingle; rows
-without id link with nothing and are kept; rows with equal ids count as one document; other columns are ignored; an empty
+without id link with nothing and are kept; rows with equal ids are linked, whatever their texts, if they have words; other columns are ignored; an empty
 table gives an empty table.
 """
 
@@ -41,6 +42,8 @@ SHINGLE, BANDS, ROWS, BITS = 5, 48, 8, 8
 BINS = BANDS * ROWS
 SIGMAS = 5
 BLOCK = 4096
+SET_BLOCK = 1 << 20
+HOT = 1000
 MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
 
@@ -88,13 +91,14 @@ def signature(hashes: np.ndarray, order: np.ndarray) -> np.ndarray:
 
 
 def features(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """Per row: id, size of the set, a 128-bit digest of the set in two longs, the signature (null for empty sets)."""
-    names = ["id", "n", "fp1", "fp2", "sig"]
+    """Per row: id, a hash of the text, size of the set, a 128-bit digest of the set in two longs, the signature (null for
+    empty sets)."""
+    names = ["id", "h", "n", "fp1", "fp2", "sig"]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = probes()
         for batch in batches:
-            raw = batch.column(1).cast(pa.binary()).to_pylist()
+            raw = batch.column(2).cast(pa.binary()).to_pylist()
             for part in bounded(raw, 8_000_000):
                 found = []
                 for t in raw[part]:
@@ -106,11 +110,15 @@ def features(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFram
                     found.append((len(s), int(fp[0]), int(fp[1]), signature(s, order)))
                 n, fp1, fp2, sig = zip(*found, strict=True)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[part], pa.array(n, pa.int64()), pa.array(fp1, pa.int64()), pa.array(fp2, pa.int64()),
-                     pa.array(sig, pa.list_(pa.int64()))], names=names)
+                    [batch.column(0)[part], batch.column(1)[part], pa.array(n, pa.int64()), pa.array(fp1, pa.int64()),
+                     pa.array(fp2, pa.int64()), pa.array(sig, pa.list_(pa.int64()))], names=names)
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        scan, "id long, n long, fp1 long, fp2 long, sig array<long>")
+    return keyed_texts(docs, id_col, text_col).mapInArrow(scan, "id long, h long, n long, fp1 long, fp2 long, sig array<long>")
+
+
+def keyed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("h"), text.alias("text"))
 
 
 def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -181,34 +189,92 @@ def confirmed(pairs: DataFrame, docs: DataFrame, percent: int, size: int) -> Dat
     return both.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long")
 
 
-def across(members: DataFrame, least: float, block: int = BLOCK) -> DataFrame:
-    """Pairs (a < b) of members (band, key, m, id, comp, sig) that share a bucket but not a component, whose estimate is
-    high enough, at the first band they share. A bucket of more than `block` members is dealt into blocks, and each pair
-    of blocks is a group of its own, so no task holds more than two blocks of a bucket."""
-    blocks = F.ceil(F.col("m") / block).cast("int")
+def candidates(i: int, ids: np.ndarray, own: np.ndarray, sig: np.ndarray, hub: int, band: int, two_blocks: bool,
+               least: float) -> np.ndarray:
+    """The members after the i-th one (by id) that it meets in this bucket: at their first common band, in the other block
+    if there are two, with a high estimate. The hub meets nobody, as it has met all."""
+    if ids[i] == hub:
+        return np.zeros(0, np.int64)
+    other = (ids > ids[i]) & (ids != hub)
+    if two_blocks:
+        other &= own != own[i]
+    j = np.flatnonzero(other)
+    if band and len(j):
+        j = j[~(sig[j, :band] == sig[i, :band]).any(axis=1)]
+    return j[estimate(sig[j], sig[i]) >= least] if len(j) else j
+
+
+def meeting(members: DataFrame, least: float, block: int, set_block: int) -> DataFrame:
+    """Those of the members (band, key, hub, m, shingles, id, comp, sig) that meet one of another component, with the pair
+    of blocks `lo`, `hi` in which they do.
+
+    A bucket is dealt into blocks of about `block` members and `set_block` shingles (`m` and `shingles` are those of the
+    bucket), and each pair of blocks is a group of its own, so no task holds more than two blocks of a bucket.
+    """
+    blocks = F.ceil(F.greatest(F.col("m") / block, F.col("shingles") / set_block)).cast("int")
     own = F.pmod(F.xxhash64("id"), blocks).cast("int")
     dealt = members.select("*", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")).select(
-        "band", "key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "id", "comp", "sig")
+        "band", "key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "hub", "id", "comp",
+        "sig")
 
-    def pairs(table: pa.Table) -> pa.Table:
+    def met(table: pa.Table) -> pa.Table:
         ids, comp, own = (table[c].to_numpy() for c in ("id", "comp", "own"))
-        band, lo, hi = (table[c][0].as_py() for c in ("band", "lo", "hi"))
+        band, lo, hi, hub = (table[c][0].as_py() for c in ("band", "lo", "hi", "hub"))
+        sig, keep = _signatures(table["sig"]), np.zeros(len(ids), bool)
+        for i in range(len(ids)):
+            j = candidates(i, ids, own, sig, hub, band, lo != hi, least)
+            j = j[comp[j] != comp[i]]
+            keep[j] = True
+            keep[i] |= len(j) > 0
+        return table.filter(pa.array(keep))
+
+    return dealt.groupBy("band", "key", "lo", "hi").applyInArrow(met, dealt.schema)
+
+
+def linked(met: DataFrame, least: float, percent: int, size: int) -> DataFrame:
+    """Links (a, b) between the members that `meeting` gives, with their texts: full sets decide, and of the links of a
+    group those that join components not joined yet."""
+
+    def links(table: pa.Table) -> pa.Table:
+        ids, comp, own = (table[c].to_numpy() for c in ("id", "comp", "own"))
+        band, lo, hi, hub = (table[c][0].as_py() for c in ("band", "lo", "hi", "hub"))
         sig = _signatures(table["sig"])
+        sets = [shingles(t.as_py(), size) for t in table["text"].cast(pa.binary())]
+        n = np.array([len(x) for x in sets])
+        vocabulary, flat = np.unique(np.concatenate(sets), return_inverse=True)
+        sets = np.split(flat, np.cumsum(n)[:-1])
+        here = np.zeros(len(vocabulary), bool)
+        root = {c: c for c in comp.tolist()}
+
+        def find(c: int) -> int:
+            while root[c] != c:
+                root[c] = c = root[root[c]]
+            return c
+
         out = []
         for i in range(len(ids)):
-            other = (ids > ids[i]) & (comp != comp[i])
-            if lo != hi:
-                other &= own != own[i]
-            j = np.flatnonzero(other)
-            if band and len(j):
-                j = j[~(sig[j, :band] == sig[i, :band]).any(axis=1)]
-            if len(j):
-                j = j[estimate(sig[j], sig[i]) >= least]
-                out.append(np.stack([np.full(len(j), ids[i]), ids[j]]))
-        a, b = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
+            here[sets[i]] = True
+            for j in candidates(i, ids, own, sig, hub, band, lo != hi, least).tolist():
+                x, y = find(int(comp[i])), find(int(comp[j]))
+                if x != y and 100 * min(n[i], n[j]) >= percent * max(n[i], n[j]):
+                    common = int(np.count_nonzero(here[sets[j]]))
+                    if 100 * common >= percent * (n[i] + n[j] - common):
+                        root[y] = x
+                        out.append((int(ids[i]), int(ids[j])))
+            here[sets[i]] = False
+        a, b = zip(*out, strict=True) if out else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return dealt.groupBy("band", "key", "lo", "hi").applyInArrow(pairs, "a long, b long")
+    return met.groupBy("band", "key", "lo", "hi").applyInArrow(links, "a long, b long")
+
+
+def same_id(known: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of rows with one id and different sets."""
+    several = known.groupBy("id").agg(F.min("fp1").alias("lo"), F.max("fp1").alias("hi")).where("lo <> hi").select("id")
+    of_id = known.select("id", "fp1", "fp2").join(several, "id").distinct().join(
+        classes.select("fp1", "fp2", "node"), ["fp1", "fp2"]).select("id", "node")
+    first = of_id.groupBy("id").agg(F.min("node").alias("a"))
+    return of_id.join(first, "id").where("node <> a").select("a", F.col("node").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85,
@@ -219,45 +285,58 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = least_estimate(percent / 100)
     found = written(features(docs, id_col, text_col, size), "minhash-features")
     known = found.where("n > 0 AND id IS NOT NULL")
-    # one document for each id (the same text gives the same features), one class for each set
-    classes = known.groupBy("fp1", "fp2").agg(F.min("id").alias("rep"))
-    reps = written(known.join(classes, (known.fp1 == classes.fp1) & (known.fp2 == classes.fp2) & (known.id == classes.rep))
-                   .select("id", "sig").dropDuplicates(["id"]), "minhash-classes")
-
-    buckets = reps.select("id", F.posexplode("sig").alias("band", "key"))
+    # one class for each set; from here on a class is its `node`, as several may have the same smallest id
+    smallest = known.groupBy("fp1", "fp2").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
+    reps = written(known.join(smallest, ["fp1", "fp2", "id"]).dropDuplicates(["fp1", "fp2"]).select(
+        F.monotonically_increasing_id().alias("node"), F.col("id").alias("rep"), "h", "n", "fp1", "fp2", "copies", "sig"),
+        "minhash-classes")
+    sets = reps.select(F.col("node").alias("id"), "n", "sig")
+
+    buckets = sets.select("id", F.posexplode("sig").alias("band", "key"))
     shared = buckets.groupBy("band", "key").agg(F.count("*").alias("members")).where("members > 1")
     rows = written(buckets.join(shared, ["band", "key"]), "minhash-buckets")
     weight = rows.groupBy("id").agg(F.sum("members").alias("weight"))
     hubs = rows.join(weight, "id").groupBy("band", "key").agg(
-        F.max(F.struct("weight", -F.col("id"))).alias("hub")).select("band", "key", (-F.col("hub.col2")).alias("a"))
-    star = rows.join(hubs, ["band", "key"]).where("id <> a").select("a", F.col("id").alias("b")).distinct()
-    sigs = reps.select(F.col("id").alias("a"), F.col("sig").alias("sa"))
-    sigs_b = reps.select(F.col("id").alias("b"), F.col("sig").alias("sb"))
+        F.max(F.struct("weight", -F.col("id"))).alias("hub")).select("band", "key", (-F.col("hub.col2")).alias("hub"))
+    hubs = written(hubs, "minhash-hubs")
+    star = rows.join(hubs, ["band", "key"]).where("id <> hub").select(
+        F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
+    sigs = sets.select(F.col("id").alias("a"), F.col("sig").alias("sa"))
+    sigs_b = sets.select(F.col("id").alias("b"), F.col("sig").alias("sb"))
+
     def plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             near = estimate(_signatures(batch.column(2)), _signatures(batch.column(3))) >= least
             yield batch.select(["a", "b"]).filter(pa.array(near))
 
     likely = star.join(sigs, "a").join(sigs_b, "b").select("a", "b", "sa", "sb").mapInArrow(plausible, "a long, b long")
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
-                        ).where("id IS NOT NULL")
-    texts = texts.join(reps.select("id"), "id", "left_semi").dropDuplicates(["id"])
-    links = written(confirmed(likely, texts, percent, size), "minhash-star")
+    texts = keyed_texts(docs, id_col, text_col).join(
+        reps.select(F.col("rep").alias("id"), "h", "node"), ["id", "h"]).dropDuplicates(["id", "h"]).select(
+        F.col("node").alias("id"), "text")
+    links = written(confirmed(likely, texts, percent, size).unionByName(same_id(known, reps)), "minhash-star")
 
-    # members of one bucket that are not linked yet
+    # members of one bucket that are not linked yet; the hub has met them all
     comps = components(spark, links)
     placed = rows.join(comps, "id", "left").select("band", "key", "id", F.coalesce("comp", "id").alias("comp"))
-    mixed = placed.groupBy("band", "key").agg(
-        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).where("lo <> hi")
-    rest = across(placed.join(mixed.select("band", "key", "m"), ["band", "key"]).join(reps, "id"), least)
-    tested = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = rest.join(tested, ["a", "b"], "left_anti")
-    more = written(confirmed(rest, texts, percent, size), "minhash-rest")
+    mixed = placed.join(sets.select("id", "n"), "id").groupBy("band", "key").agg(
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"), F.sum("n").alias("shingles")).where(
+        "lo <> hi AND m > 2").select("band", "key", "m", "shingles")
+    members = placed.join(mixed, ["band", "key"]).join(hubs, ["band", "key"]).join(sets.select("id", "sig"), "id")
+    met = written(meeting(members, least, BLOCK, SET_BLOCK), "minhash-met")
+    more = written(linked(met.join(texts, "id"), least, percent, size), "minhash-rest")
     comps = components(spark, links.unionByName(more)) if more.limit(1).count() else comps
 
-    classes = classes.join(comps, classes.rep == comps.id, "left").select(
-        "fp1", "fp2", F.coalesce("comp", "rep").alias("comp"))
-    return found.join(classes, ["fp1", "fp2"], "left").select(
+    labelled = reps.join(comps, reps.node == comps.id, "left").select(
+        "fp1", "fp2", "rep", "copies", F.coalesce("comp", "node").alias("comp"))
+    lowest = labelled.groupBy("comp").agg(F.min("rep").alias("component"))
+    classes = written(labelled.join(lowest, "comp").select("fp1", "fp2", "copies", "component"), "minhash-components")
+    # classes of more than one in `HOT` rows are fewer than that and go to the rows; the others have few rows each
+    total = found.count()
+    hot = F.broadcast(classes.where(F.col("copies") * HOT > total))
+    keys = ["fp1", "fp2"]
+    common = found.join(hot, keys).select("id", "n", "component")
+    others = found.join(hot.select(*keys), keys, "left_anti").join(classes, keys, "left").select("id", "n", "component")
+    return common.unionByName(others).select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-        F.when(F.col("id").isNotNull(), F.coalesce("comp", "id")).alias("component_id"),
-        F.coalesce(F.col("id") == F.coalesce("comp", "id"), F.lit(True)).alias("kept"))
+        F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"),
+        F.coalesce(F.col("id") == F.coalesce("component", "id"), F.lit(True)).alias("kept"))

@@ -60,14 +60,58 @@ def test_as_all_pairs(odd):
 
 
 def test_blocks_of_a_bucket(spark):
+    """Every pair of different components meets in one pair of blocks, but for those with the hub."""
     rng = np.random.default_rng(2)
     one = rng.integers(-2**62, 2**62, minhash.BANDS)
-    rows = [(0, 7, 23, i, i % 3, [int(x) for x in one]) for i in range(23)]
-    members = spark.createDataFrame(rows, "band int, key long, m long, id long, comp long, sig array<long>")
-    want = {(a, b) for a, b in combinations(range(23), 2) if a % 3 != b % 3}
-    for block in (5, 100):
-        pairs = [(r.a, r.b) for r in minhash.across(members, 0.8, block).collect()]
+    rows = [(0, 7, 4, 23, 230, i, i % 3, [int(x) for x in one]) for i in range(23)]
+    members = spark.createDataFrame(rows, "band int, key long, hub long, m long, shingles long, id long, comp long, sig array<long>")
+    want = {(a, b) for a, b in combinations([i for i in range(23) if i != 4], 2) if a % 3 != b % 3}
+    for block, set_block in ((5, 1000), (100, 50), (100, 1000)):
+        met = minhash.meeting(members, 0.8, block, set_block).collect()
+        pairs = [(a.id, b.id) for a, b in combinations(sorted(met, key=lambda r: r.id), 2)
+                 if (a.lo, a.hi) == (b.lo, b.hi) and a.comp != b.comp and (a.lo == a.hi or a.own != b.own)]
         assert len(pairs) == len(set(pairs)) and set(pairs) == want
+        assert len(met) <= 22 * max(23 / block, 230 / set_block, 1) + 22
+
+
+def test_pages_of_a_template_below_the_limit(spark, odd, monkeypatch):
+    """Nearly all pairs are close to the limit, and few are links: what leaves the blocks is less than the pages."""
+    rng = random.Random(8)
+    core = [f"c{k}" for k in range(400)]
+
+    def page():
+        words = list(core)
+        for k in rng.sample(range(0, 400, 5), 9):
+            words[k] = f"x{rng.randrange(10**9)}"
+        return words
+
+    pages = [page() for _ in range(400)]
+    for k in range(0, 40, 2):  # some are links
+        pages[k + 1] = [*pages[k][:-1], "other"]
+    rows = list(enumerate(" ".join(p) for p in pages))
+    written, sizes = minhash.written, {}
+
+    def counted(df, name):
+        out = written(df, name)
+        sizes[name] = out.count()
+        return out
+
+    monkeypatch.setattr(minhash, "written", counted)
+    monkeypatch.setattr(minhash, "BLOCK", 64)
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(odd([t for _, t in rows])).collect()}
+    want = brute(rows)
+    assert got == want and len({c for _, c, _ in want.values()}) > 300
+    assert sizes["minhash-rest"] < 48 * len(rows)
+
+
+def test_two_texts_under_one_id(odd):
+    """An id stands for all its texts: each of them links, and so do they."""
+    rng = random.Random(9)
+    common, other = (" ".join(rng.choices([f"w{k}" for k in range(500)], k=100)) for _ in range(2))
+    near = other.rsplit(" ", 1)[0] + " end"
+    df = odd([common, common, other, near, "alone in all its words here"], [1, 2, 2, 3, 4])
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(df).collect())
+    assert got == [(1, 1, True), (2, 1, False), (2, 1, False), (3, 1, False), (4, 4, True)]
 
 
 def test_estimate_follows_similarity():
