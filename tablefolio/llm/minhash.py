@@ -166,8 +166,14 @@ def components(spark: SparkSession, nodes_of_links: DataFrame) -> DataFrame:
         labels = new.select("id", "comp")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, percent: int, size: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough: 100 * common >= percent * union."""
+def texts_of(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> DataFrame:
+    """One row (id, h, text) for each of the wanted (id, h)."""
+    return keyed_texts(docs, id_col, text_col).join(wanted.select("id", "h"), ["id", "h"], "left_semi").dropDuplicates(["id", "h"])
+
+
+def confirmed(pairs: DataFrame, keys: DataFrame, texts: DataFrame, percent: int, size: int) -> DataFrame:
+    """The pairs (a, b) of classes whose full sets are similar enough: 100 * common >= percent * union. `keys` (node, id, h)
+    tells which of the `texts` (id, h, text) stands for a class."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, hub = None, None
@@ -183,9 +189,12 @@ def confirmed(pairs: DataFrame, docs: DataFrame, percent: int, size: int) -> Dat
                 keep[i] = 100 * common >= percent * (len(hub) + len(other) - common)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep))
 
-    texts = docs.select("id", "text")
-    left = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
-    both = left.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
+    both = pairs
+    for side in "ab":  # by the columns that the texts are dealt by already
+        both = both.join(keys.select(F.col("node").alias(side), F.col("id").alias(f"i{side}"), F.col("h").alias(f"h{side}")), side)
+    for side in "ab":
+        key = [f"i{side}", f"h{side}"]
+        both = both.join(texts.select(F.col("id").alias(key[0]), F.col("h").alias(key[1]), F.col("text").alias(f"t{side}")), key)
     return both.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long")
 
 
@@ -287,7 +296,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = found.where("n > 0 AND id IS NOT NULL")
     # one class for each set; from here on a class is its `node`, as several may have the same smallest id
     smallest = known.groupBy("fp1", "fp2").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
-    reps = written(known.join(smallest, ["fp1", "fp2", "id"]).dropDuplicates(["fp1", "fp2"]).select(
+    reps = written(known.join(smallest, ["fp1", "fp2", "id"]).dropDuplicates(["fp1", "fp2", "id"]).select(
         F.monotonically_increasing_id().alias("node"), F.col("id").alias("rep"), "h", "n", "fp1", "fp2", "copies", "sig"),
         "minhash-classes")
     sets = reps.select(F.col("node").alias("id"), "n", "sig")
@@ -309,11 +318,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             near = estimate(_signatures(batch.column(2)), _signatures(batch.column(3))) >= least
             yield batch.select(["a", "b"]).filter(pa.array(near))
 
-    likely = star.join(sigs, "a").join(sigs_b, "b").select("a", "b", "sa", "sb").mapInArrow(plausible, "a long, b long")
-    texts = keyed_texts(docs, id_col, text_col).join(
-        reps.select(F.col("rep").alias("id"), "h", "node"), ["id", "h"]).dropDuplicates(["id", "h"]).select(
-        F.col("node").alias("id"), "text")
-    links = written(confirmed(likely, texts, percent, size).unionByName(same_id(known, reps)), "minhash-star")
+    likely = written(star.join(sigs, "a").join(sigs_b, "b").select("a", "b", "sa", "sb").mapInArrow(
+        plausible, "a long, b long"), "minhash-likely")
+    keys = reps.select("node", F.col("rep").alias("id"), "h")
+    asked = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
+    texts = texts_of(docs, id_col, text_col, keys.join(asked, "node"))
+    links = written(confirmed(likely, keys, texts, percent, size).unionByName(same_id(known, reps)), "minhash-star")
 
     # members of one bucket that are not linked yet; the hub has met them all
     comps = components(spark, links)
@@ -323,7 +333,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "lo <> hi AND m > 2").select("band", "key", "m", "shingles")
     members = placed.join(mixed, ["band", "key"]).join(hubs, ["band", "key"]).join(sets.select("id", "sig"), "id")
     met = written(meeting(members, least, BLOCK, SET_BLOCK), "minhash-met")
-    more = written(linked(met.join(texts, "id"), least, percent, size), "minhash-rest")
+    keys = keys.join(met.select(F.col("id").alias("node")).distinct(), "node")
+    texts = texts_of(docs, id_col, text_col, keys)
+    full = met.join(keys.select(F.col("node").alias("id"), F.col("id").alias("rep"), "h"), "id").join(
+        texts.withColumnRenamed("id", "rep"), ["rep", "h"])
+    more = written(linked(full, least, percent, size), "minhash-rest")
     comps = components(spark, links.unionByName(more)) if more.limit(1).count() else comps
 
     labelled = reps.join(comps, reps.node == comps.id, "left").select(
@@ -333,9 +347,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # classes of more than one in `HOT` rows are fewer than that and go to the rows; the others have few rows each
     total = found.count()
     hot = F.broadcast(classes.where(F.col("copies") * HOT > total))
-    keys = ["fp1", "fp2"]
-    common = found.join(hot, keys).select("id", "n", "component")
-    others = found.join(hot.select(*keys), keys, "left_anti").join(classes, keys, "left").select("id", "n", "component")
+    fp = ["fp1", "fp2"]
+    common = found.join(hot, fp).select("id", "n", "component")
+    others = found.join(hot.select(*fp), fp, "left_anti").join(classes, fp, "left").select("id", "n", "component")
     return common.unionByName(others).select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"),
