@@ -6,18 +6,17 @@ Around a hit, words are compared position by position along the same diagonal: a
 item, if it is shorter) that contains the seed counts as a leak if `PERCENT` of its words are equal. With the masks below
 four random substitutions in twenty words leave a seed intact in all of 4,000 trials.
 
-With `every_length`, as the query and the pipeline have it, items of fewer than `WHOLE_UNDER` words follow the same rule
-whole: an item in which k words may differ is cut into k + 1 blocks, one of which every copy holds unchanged, and these
-blocks are its seeds. So items of any length are found, those of fewer than `LEAST_WORDS` words word by word.
+Items of fewer than `WHOLE_UNDER` words follow the same rule whole: an item in which k words may differ is cut into k + 1
+blocks, one of which every copy holds unchanged, and these blocks are its seeds. So items of any length are found, those
+of up to four words word by word. An item of few common words is in many documents; `item_shares` tells in how many.
 
 All of it is column expressions. Document positions are made by a generator and looked up in the benchmark's seeds at
 once; only hits leave the scan. The seeds are broadcast if there are at most `BROADCAST_SEEDS` of them, else the join
 shuffles both sides; the result is the same.
 
 Words are runs of letters and digits in lower case. Defined results: null and empty texts have no words and no leaks;
-items with equal words are one, under the smallest id; without `every_length`, items shorter than the span of the
-masks are looked for as a whole without substitutions, items of fewer than `LEAST_WORDS` words never; rows with equal document ids are one document; a
-null document id is an id of its own; other columns are ignored; empty tables give an empty result.
+items with equal words are one, under the smallest id; rows with equal document ids are one document; a null document id
+is an id of its own; other columns are ignored; empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -25,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablefolio.llm.common import count_at_most
+from tablefolio.llm.common import count_at_most, unused
 
 # offsets of the words that count, one mask a line, all of one span
 MASKS = (
@@ -34,7 +33,7 @@ MASKS = (
     (0, 1, 4, 5, 9),
 )
 SPAN = 10
-WINDOW, PERCENT, LEAST_WORDS = 20, 80, 5
+WINDOW, PERCENT = 20, 80
 # items from here on lose no seed by the substitutions allowed
 WHOLE_UNDER = 12
 BROADCAST_SEEDS = 500_000
@@ -61,30 +60,29 @@ def blocks(n: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
-def benchmark_items(benchmark: DataFrame, item_col: str, text_col: str, least: int = LEAST_WORDS) -> DataFrame:
+def benchmark_items(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
     """Distinct items: (item_id, item, n), n words each."""
     tokens = benchmark.select(F.col(item_col).alias("item_id"), words(F.col(text_col)).alias("item"))
-    return tokens.where(F.size("item") >= least).groupBy("item").agg(F.min("item_id").alias("item_id")).select(
+    return tokens.where(F.size("item") > 0).groupBy("item").agg(F.min("item_id").alias("item_id")).select(
         "item_id", "item", F.size("item").alias("n"))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          item_col: str = "item_id", item_text_col: str = "text", every_length: bool = False) -> DataFrame:
+          item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """One row for each document and item it holds: `id_col`, `item_col`, the best window's first word in the document
     (`first_word`), its words (`n_words`) and how many of them are equal (`n_equal`)."""
-    items = benchmark_items(benchmark, item_col, item_text_col, 1 if every_length else LEAST_WORDS)
-    under = WHOLE_UNDER if every_length else SPAN
+    items = benchmark_items(benchmark, item_col, item_text_col)
     # at most WHOLE_UNDER numbers
-    lengths = sorted(r.n for r in items.where(F.col("n") < under).select("n").distinct().collect())
-    whole_seeds = [(n, q, size) for n in lengths for q, size in (blocks(n) if every_length else [(0, n)])]
+    lengths = sorted(r.n for r in items.where(F.col("n") < WHOLE_UNDER).select("n").distinct().collect())
+    whole_seeds = [(n, q, size) for n in lengths for q, size in blocks(n)]
     short = sorted({size for _, _, size in whole_seeds})
     placed = items.select("item_id", "n", "item", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("q"))
     marked = placed.select("item_id", "n", F.col("q"), F.posexplode(seeds(F.col("item"), F.col("q"), short)).alias("mask", "seed"))
-    # a short item has the seeds of its blocks, or one: all its words
+    # a short item has the seeds of its blocks
     whole = F.lit(False)
     for n, q, size in whole_seeds:
         whole = whole | ((F.col("n") == n) & (F.col("q") == q) & (F.col("mask") == len(MASKS) + short.index(size)))
-    wanted = marked.where(F.col("seed").isNotNull() & F.when(F.col("mask") >= len(MASKS), whole).otherwise(F.col("n") >= under)).select(
+    wanted = marked.where(F.col("seed").isNotNull() & F.when(F.col("mask") >= len(MASKS), whole).otherwise(F.col("n") >= WHOLE_UNDER)).select(
         "item_id", "n", "q", "seed")
     if count_at_most(wanted, BROADCAST_SEEDS) is not None:
         wanted = F.broadcast(wanted)
@@ -102,7 +100,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     equal = F.zip_with("part", item, lambda a, b: F.when(a == b, 1).otherwise(0))
     compared = hits.join(items.select("item_id", "item"), "item_id").select(
         "doc", "item_id", "p", "back", F.least(F.col("n"), F.lit(WINDOW)).alias("size"),
-        F.when(F.col("n") < under, 1).otherwise(SPAN).alias("span"), equal.alias("equal"))
+        F.when(F.col("n") < WHOLE_UNDER, 1).otherwise(SPAN).alias("span"), equal.alias("equal"))
     first, last = F.greatest(F.lit(0), F.col("back") + F.col("span") - F.col("size")), F.least("back", F.size("equal") - F.col("size"))
     # none if the document ends too early
     windows = F.when(first <= last, F.transform(F.sequence(first, last), lambda s: F.struct(
@@ -117,25 +115,38 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that hold no benchmark item, with all their columns."""
-    found = leaks(docs, benchmark, id_col, text_col, every_length=True).select(F.col(id_col).alias("__leaked")).distinct()
-    return docs.join(found, docs[id_col].eqNullSafe(found["__leaked"]), "left_anti")
+    (leaked,) = unused(docs, "leaked")
+    found = leaks(docs, benchmark, id_col, text_col).select(F.col(id_col).alias(leaked)).distinct()
+    return docs.join(found, docs[id_col].eqNullSafe(found[leaked]), "left_anti")
+
+
+def item_shares(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """For each item that is found: `item_col`, its words, the documents that hold it and their share of all."""
+    all_ids = docs.select(F.col(id_col).alias("id")).distinct().agg(F.count("*").alias("total"))  # a row
+    found = leaks(docs, benchmark, id_col, text_col, item_col, item_text_col).groupBy(item_col).agg(F.count("*").alias("n_docs"))
+    items = benchmark_items(benchmark, item_col, item_text_col).select(F.col("item_id").alias(item_col), F.col("n").cast("long").alias("n_words"))
+    return found.join(items, item_col).crossJoin(F.broadcast(all_ids)).select(
+        item_col, "n_words", "n_docs", (F.col("n_docs") / F.col("total")).alias("share"))
 
 
 _MASK_SQL = ", ".join(f"[{', '.join(map(str, m))}]" for m in MASKS)
 LEAKS_SQL = f"""
 WITH masks AS (SELECT unnest([{_MASK_SQL}]) AS m),
 i0 AS (SELECT item_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS item FROM benchmark),
-items AS (SELECT min(item_id) AS item_id, item, len(item) AS n FROM i0 WHERE len(item) >= {LEAST_WORDS} GROUP BY item),
+items AS (SELECT min(item_id) AS item_id, item, len(item) AS n FROM i0 WHERE len(item) > 0 GROUP BY item),
+short AS (SELECT *, n * (100 - {PERCENT}) // 100 + 1 AS parts, unnest(range(0, n * (100 - {PERCENT}) // 100 + 1)) AS k
+          FROM items WHERE n < {WHOLE_UNDER}),
 spelled AS (
-  SELECT item_id, n, m, unnest(range(0, n - {SPAN} + 1)) AS q, item FROM items, masks WHERE n >= {SPAN}
-  UNION ALL SELECT item_id, n, range(0, n) AS m, 0 AS q, item FROM items WHERE n < {SPAN}),
+  SELECT item_id, n, m, unnest(range(0, n - {SPAN} + 1)) AS q, item FROM items, masks WHERE n >= {WHOLE_UNDER}
+  UNION ALL SELECT item_id, n, range(0, (k + 1) * n // parts - k * n // parts) AS m, k * n // parts AS q, item FROM short),
 wanted AS (SELECT item_id, n, q, m, item, list_transform(m, lambda o: item[q + o + 1]) AS seed FROM spelled),
 shapes AS (SELECT DISTINCT m FROM spelled),
 d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS tokens FROM documents),
 pos AS (SELECT doc_id, tokens, unnest(range(0, len(tokens))) AS p FROM d),
 tried AS (SELECT doc_id, tokens, p, m, list_transform(m, lambda o: tokens[p + o + 1]) AS seed FROM pos, shapes
           WHERE p + m[-1] < len(tokens)),
-hits AS (SELECT doc_id, item_id, n, q, p, item, tokens, least(n, {WINDOW}) AS size, least(n, {SPAN}) AS span
+hits AS (SELECT doc_id, item_id, n, q, p, item, tokens, least(n, {WINDOW}) AS size, CASE WHEN n < {WHOLE_UNDER} THEN 1 ELSE {SPAN} END AS span
          FROM tried JOIN wanted USING (m, seed)),
 wins AS (SELECT DISTINCT doc_id, item_id, p - q AS diag, size, item, tokens,
                 unnest(range(greatest(0, q + span - size), least(q, n - size) + 1)) AS w FROM hits),

@@ -21,18 +21,22 @@ def words(text):
 
 
 def brute(docs, benchmark):
-    """Every diagonal, every window that holds a seed."""
+    """Every diagonal, every window that holds a seed; short items by the plain rule."""
     distinct = {}
     for i, t in benchmark:
-        if len(words(t)) >= decontam.LEAST_WORDS:
+        if words(t):
             distinct[tuple(words(t))] = min(i, distinct.get(tuple(words(t)), i))
     found = {}
     for d, text in docs:
         have = words(text)
         for item, i in distinct.items():
-            size = min(len(item), decontam.WINDOW)
-            span = min(len(item), decontam.SPAN)
-            masks = decontam.MASKS if len(item) >= decontam.SPAN else [tuple(range(len(item)))]
+            size, span, masks = min(len(item), decontam.WINDOW), decontam.SPAN, decontam.MASKS
+            if len(item) < decontam.WHOLE_UNDER:
+                for at in range(len(have) - len(item) + 1):
+                    n = sum(a == b for a, b in zip(item, have[at:], strict=False))
+                    if n * 100 >= size * decontam.PERCENT:
+                        found[d, i] = max(found.get((d, i), (n, -at, size)), (n, -at, size))
+                continue
             for diagonal in range(-len(item), len(have)):
                 equal = [0 <= diagonal + q < len(have) and have[diagonal + q] == item[q] for q in range(len(item))]
                 if sum(equal) < len(masks[0]):
@@ -123,8 +127,31 @@ def test_short_items_by_the_plain_rule(odd, items, monkeypatch, broadcast):
                     copy[k] = "other"
                 docs.append(" ".join(rng.choices(["a", "b", "t9w1", "t4w0"], k=rng.randint(0, 4)) + copy
                                      + rng.choices(["a", "b", "t11w2"], k=rng.randint(0, 4))))
-    got = {tuple(r) for r in decontam.leaks(odd(docs), items(benchmark), every_length=True).select(
+    got = {tuple(r) for r in decontam.leaks(odd(docs), items(benchmark)).select(
         "doc_id", "item_id", "first_word", "n_words", "n_equal").collect()}
     assert got == by_the_rule(docs, benchmark) and len(got) > 100
     left = {r.doc_id for r in decontam.without_leaks(odd(docs), items(benchmark)).collect()}
     assert left == set(range(len(docs))) - {x[0] for x in got}
+
+
+def test_sql_finds_items_of_any_length(odd, items):
+    """The SQL of the query against the same rule, on rows with short items."""
+    duckdb = pytest.importorskip("duckdb")
+    docs, benchmark = cases()
+    benchmark = [*benchmark, (70, "w1"), (71, "w2 w3"), (72, "w4 w5 w6")]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.execute("CREATE TABLE benchmark (item_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", docs)
+    con.executemany("INSERT INTO benchmark VALUES (?, ?)", benchmark)
+    want = brute(docs, benchmark)
+    assert set(con.execute(decontam.LEAKS_SQL).fetchall()) == want
+    got = {(r.doc_id, r.item_id, r.first_word, r.n_words, r.n_equal)
+           for r in decontam.leaks(odd([t for _, t in docs]), items(benchmark)).collect()}
+    assert got == want and {70, 71} <= {i for _, i, *_ in want}
+
+
+def test_share_of_an_item(odd, items):
+    df = odd(["the cat", "the dog", "a bird", None, "the cat"], [1, 2, 3, 4, 1])
+    got = {tuple(r) for r in decontam.item_shares(df, items([(5, "the"), (6, "the cat"), (7, "fish")])).collect()}
+    assert got == {(5, 1, 2, 0.5), (6, 2, 1, 0.25)}
