@@ -50,9 +50,11 @@ FROM o JOIN e ON moment >= placed AND moment <= closed GROUP BY o_orderkey""")
 def events_in_orders(spark, sf):
     """The events that lie between the opening and the closing of each order."""
     orders = _moved_orders(spark, sf).withColumn("closed", (F.expr(PLACED) + F.expr(OPEN)) * MICROS).drop("user_id")
-    met = in_intervals(_events(spark, sf).select("event_id", "moment", "user_id"), orders, "moment", "placed", "closed")
-    return met.groupBy("o_orderkey").agg(F.count("*").alias("events"), F.min("event_id").alias("first_event"),
-                                         F.max("event_id").alias("last_event"), F.sum("user_id").alias("users"))
+    met = in_intervals(_events(spark, sf).select("event_id", "moment", "user_id"), orders, "moment", "placed", "closed", totals={
+        "events": ("count", F.lit(1)), "first_event": ("min", F.col("event_id")), "last_event": ("max", F.col("event_id")),
+        "users": ("sum", F.col("user_id"))})
+    return met.groupBy("o_orderkey").agg(F.sum("events").alias("events"), F.min("first_event").alias("first_event"),
+                                         F.max("last_event").alias("last_event"), F.sum("users").alias("users"))
 
 
 @QUERIES.add("""WITH c AS (SELECT lang, source, CAST(grouping(lang) * 2 + grouping(source) AS INT) AS level, count(*) AS rows,

@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from tablefolio.operators import rollup
+from tablefolio.operators import rollup, temporal
 from tablefolio.operators.temporal import as_of, in_intervals
 
 
@@ -54,6 +54,33 @@ def test_in_intervals_against_loop(spark):
     assert in_intervals(frames[0], frames[1].where("low > high"), "place", "low", "high").collect() == []
 
 
+@pytest.mark.parametrize("group_rows", [1 << 19, 8])
+def test_interval_totals_against_loop(spark, group_rows, monkeypatch):
+    """Totals without pairs, also where the longest intervals take whole buckets as places; repeats, nulls and ties."""
+    monkeypatch.setattr(temporal, "LEAST_CAP", 2)
+    rng = random.Random(4)
+    points = [(rng.choice(["a", "a", "b", None]), rng.choice([None, 7, *range(-60, 3000)]), i, rng.choice([None, 1, 5])) for i in range(300)]
+    intervals = [(rng.choice(["a", "b", None]), lo, lo + rng.choice([-3, 0, 1, 2, 3, 7, 8, 9, 64, 1000, 2500])) for lo in rng.choices(range(-80, 3000), k=150)]
+    intervals += [("a", 7, 7), ("a", 7, 7), ("b", -10**9, 10**9), ("a", -10**6, 2000), ("a", None, 5), ("a", 5, None)]
+    frames = (spark.createDataFrame(points, "k string, place long, p int, v long"),
+              spark.createDataFrame([(i, *x) for i, x in enumerate(intervals)], "i int, k string, low long, high long"))
+    asked = {"n": ("count", F.lit(1)), "least": ("min", F.col("p")), "most": ("max", F.col("p")), "v": ("sum", F.col("v")),
+             "vs": ("count", F.col("v"))}
+    for keys in ((), ("k",)):
+        sides = (frames[0] if keys else frames[0].drop("k"), frames[1])
+        met = temporal.in_intervals(*sides, "place", "low", "high", keys, asked, group_rows)
+        want = []
+        for i, (k, lo, hi) in enumerate(intervals):
+            held = [(p, v) for q, x, p, v in points if None not in (x, lo, hi) and lo <= x <= hi and (not keys or (q == k and k))]
+            if held:
+                values = [v for _, v in held if v is not None]
+                want.append((i, k, lo, hi, len(held), min(p for p, _ in held), max(p for p, _ in held), sum(values) if values else None, len(values)))
+        assert met.columns == ["i", "k", "low", "high", *asked]
+        assert sorted(map(tuple, met.collect())) == sorted(want)
+    empty = temporal.in_intervals(frames[0].limit(0).drop("k"), frames[1], "place", "low", "high", totals=asked)
+    assert empty.collect() == []
+
+
 def test_late_days_are_counted_once(spark):
     rng = random.Random(3)
     rows = [(rng.choice([None, 1, 7, 32_768, 10**12, 5, 6]), f"2024-0{rng.randint(1, 2)}-{rng.randint(1, 28):02d} 10:00:00") for _ in range(300)]
