@@ -106,8 +106,9 @@ def table_profiles(headers: DataFrame, rows: DataFrame, rules: RuleSet = DEFAULT
     def number_of(test: Column) -> Column:
         return F.count_if(test).cast("double")
 
-    counted = cell.groupBy("table_id", "zone", "col_idx").agg(
-        F.max(F.when(F.col("zone") < 2, v)).alias("text"),
+    # the text is a key and all counts have a fixed size: the cells are hashed as they come, never sorted
+    text = F.when(F.col("zone") < 2, v)
+    counted = cell.groupBy("table_id", "zone", "col_idx", text.alias("text")).agg(
         F.array(
             F.count("*").cast("double"), F.count(v).cast("double"), number_of(F.col("number")),
             F.count("money").cast("double"), F.coalesce(F.sum("money"), F.lit(0.0)),
@@ -118,7 +119,23 @@ def table_profiles(headers: DataFrame, rows: DataFrame, rules: RuleSet = DEFAULT
     )
     tables = counted.groupBy("table_id").agg(
         F.array_sort(F.collect_list(F.struct("zone", "col_idx", "text", "stats"))).alias("cells"))
-    return headers.join(tables, "table_id", "left")
+    return headers.join(tables.withColumn("cells", _one_per_place("cells")), "table_id", "left")
+
+
+def _one_per_place(cells: str) -> Column:
+    """Sorted cells with one entry per place. Only a repeated row 0 or 1 gives a place two texts: the greater one stays."""
+    def place(c: Column) -> Column:
+        return F.struct(c["zone"], c["col_idx"])
+
+    def united(at: Column) -> Column:
+        here = F.filter(cells, lambda c: place(c) == at)
+        last = F.element_at(here, -1)
+        first = F.transform(last["stats"], lambda _: F.lit(0.0))
+        stats = F.aggregate(here, first, lambda acc, c: F.zip_with(acc, c["stats"], lambda a, b: a + b))
+        return F.struct(last["zone"].alias("zone"), last["col_idx"].alias("col_idx"), last["text"].alias("text"), stats.alias("stats"))
+
+    places = F.array_distinct(F.transform(cells, place))
+    return F.when(F.size(places) == F.size(cells), F.col(cells)).otherwise(F.transform(places, united))
 
 
 def _zone_texts(zone: int) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from tablefolio.sources.records import spread
 
@@ -31,8 +31,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def heavy(spark: SparkSession, sf_dir: str, name: str, *keys: str) -> DataFrame:
-    """A table for work that is heavy per row: on all cores even when the file is a single split."""
+def heavy(spark: SparkSession, sf_dir: str, name: str, *keys: str | Column) -> DataFrame:
+    """A table for work that is heavy per row: on all cores even when the file is a single split, in small partitions."""
     return spread(table(spark, sf_dir, name), *keys)
 
 

@@ -16,19 +16,20 @@ ACTIVITY = "userId string, createdAt string, updatedAt string, pageName string,
 INVENTORY = ("Path string, Name string, GP string, Stage string, Year string, Geo string, Modified string, "
              "`Modified By` string, `Doc Type` string")
 
-SPREAD_BYTES = 64 << 20  # a larger file has several splits
+SPREAD_BYTES = 4 << 20  # of the input's files, for a partition
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give heavy row work one partition per core where the input is one small file, which is a single split.
+def spread(df: DataFrame, *keys: str | Column) -> DataFrame:
+    """Give heavy row work a partition for every few MB of input, and one per core at least.
 
-    Any other input stays as it is: it has splits enough, and no shuffle is added.
+    The splits of a file are of many times that size, and a file of one row group is a single one: their rows would meet
+    in one task, whose memory grows with the file.
     """
-    if len(df.inputFiles()) != 1:
+    if not df.inputFiles():
         return df
-    size = df.select("_metadata.file_size").first()
-    small = size is not None and size[0] <= SPREAD_BYTES
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys) if small else df
+    files = df.select("_metadata.file_path", "_metadata.file_size").distinct()
+    size = files.agg(F.sum("file_size")).first()[0] or 0
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-size // SPREAD_BYTES)), *keys)
 
 
 def manifest_elements(manifests: DataFrame) -> DataFrame:

@@ -4,10 +4,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablefolio.operators.analytics import metric_sums
+from tablefolio.operators.headers import table_profiles
 from tablefolio.plans.catalogue import tables
 from tablefolio.plans.portfolio import build_portfolio, decide_tables
 from tablefolio.rules import DEFAULT_RULES, RuleFileError, read_rules
 from tablefolio.session import durable, shared_folder
+from tablefolio.sources import records
 from tablefolio.sources.csv_tables import fields, from_grid, read_tables, table_files, unreadable
 
 SF = "/root/testdata/sf0.001"
@@ -90,6 +92,32 @@ def test_large_tables_in_segments(spark):
         assert a and a == b
 
 
+def test_profiles_are_counted_without_sorting_cells(spark):
+    """All counts are hashed as the cells come; a repeated first row gives the greater text and the counts of both."""
+    headers = spark.createDataFrame([("t", ["Firm", "Cost"]), ("u", ["a", "b"]), ("empty", ["a"])], "table_id string, header array<string>")
+    rows = spark.createDataFrame(
+        [("t", 0, ["b", None]), ("t", 0, ["c", "$5"]), ("t", 1, ["d", "1"]), ("t", 2, ["Series A", "2"]), ("t", 9, [None, "x"]),
+         ("u", 0, ["same", "1"]), ("u", 0, ["same", "1"])], "table_id string, row_idx int, values array<string>")
+    found = table_profiles(headers, rows)
+    assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+    got = {r.table_id: r.cells and [(c.zone, c.col_idx, c.text, c.stats[:6]) for c in r.cells] for r in found.collect()}
+    assert got == {
+        "t": [(0, 0, "c", [2, 2, 0, 0, 0, 0]), (0, 1, "$5", [2, 1, 0, 1, 5, 0]), (1, 0, "d", [1, 1, 0, 0, 0, 0]),
+              (1, 1, "1", [1, 1, 1, 1, 1, 0]), (2, 0, None, [2, 1, 0, 0, 0, 1]), (2, 1, None, [2, 2, 1, 1, 2, 0])],
+        "u": [(0, 0, "same", [2, 2, 0, 0, 0, 0]), (0, 1, "1", [2, 2, 2, 2, 2, 0])], "empty": None}
+
+
+def test_heavy_input_in_small_partitions(spark, tmp_path, monkeypatch):
+    """A file of one row group is dealt to partitions that do not grow with it, by an expression too."""
+    spark.range(1000).coalesce(1).write.parquet(str(tmp_path / "t"))
+    monkeypatch.setattr(records, "SPREAD_BYTES", 100)
+    df = spark.read.parquet(str(tmp_path / "t"))
+    dealt = records.spread(df, F.expr("floor(id / 40)"))
+    assert dealt.rdd.getNumPartitions() > 8 * spark.sparkContext.defaultParallelism
+    homes = dealt.select(F.expr("floor(id / 40)").alias("t"), F.spark_partition_id().alias("p")).distinct()
+    assert homes.count() == 25 and dealt.count() == 1000
+
+
 def test_rule_file(spark, tmp_path):
     good = tmp_path / "r.json"
     good.write_text('{"company_name": {"ColumnIndex": 0}, "total": {"ColumnNamePattern": '
