@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tablefolio.operators import pages as PG
+from tablefolio.plans.catalogue import pages as catalogue_pages
 
 FEATURES = ("doc_id int, page int, own_type string, long_enough boolean, "
             f"top_spans array<{PG.SPAN}>, tail_spans array<{PG.SPAN}>")
@@ -45,3 +46,18 @@ def test_kept_spans_and_carried_header(spark):
     assert [(s.text, s.x, s.y, s.rotated) for s in header] == [
         ("Total Cost", 10.0, 20 - 30 + 100 - 12, False), ("I", 14.0, 88.0, True)]
     assert df.select(PG.carried_header(F.col("prev"), F.col("top"))).first()[0] == []
+
+
+def test_spans_are_built_in_doubles(spark, tmp_path):
+    """Places come from doubles, the shares of a page once, and a word past the headings is taken as it is."""
+    lines = [["a"] * 9, ["b"] * 9, ["c"] * 9, ["d"] * 10, ["e"] * 9]
+    rows = [(k, "\n".join(" ".join(x) for x in lines)) for k in (6, 7, 10)]
+    spark.createDataFrame([*rows, (8, None)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = catalogue_pages._pages(spark, str(tmp_path))
+    assert "decimal" not in found._jdf.queryExecution().executedPlan().toString().lower()
+    got = {(r.doc_id, r.page): r for r in found.collect()}
+    spans = got[0, 6].spans
+    assert [s.text for s in spans[9:14]] == ["Total Cost", "Fair Value", "Realized Value", "Gross MOIC", "Current Ownership"]
+    assert spans[7].text == "Confidential" and spans[21].text == "$1,234" and spans[35].text == "CURRENT FAIR VALUE" and spans[36].text == "d"
+    assert (spans[10].x0, spans[10].x1, spans[10].y0, spans[10].size, spans[9].dir_x) == (31.5, 36.5, 12.0, 9.0, -1.0)
+    assert got[1, 0].spans[1].x0 == 33.0 and got[0, 7].spans[9].text == "b" and got[0, 8].spans is None
