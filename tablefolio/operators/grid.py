@@ -8,12 +8,8 @@ from pyspark.sql import functions as F
 from tablefolio.operators.ordered import settled
 
 
-def cell_texts(cells: DataFrame) -> DataFrame:
-    """One text per grid position: table_id, row_idx, col_idx, value.
-
-    A first-row cell with a span writes its text and a blank into row 1 of every column it spans; other cells add
-    their text at their own place, in cell order.
-    """
+def _row_texts(cells: DataFrame) -> DataFrame:
+    """The texts of a grid row as one array of (col_idx, value): table_id, row_idx, texts. The cells move once, by row."""
     spanning = (F.col("row_index") == 0) & F.col("column_span").isNotNull()
     text = F.replace("content", F.lit("\n"), F.lit(" "))
     placed = cells.select(
@@ -24,9 +20,24 @@ def cell_texts(cells: DataFrame) -> DataFrame:
         F.when(spanning, F.concat(text, F.lit(" "))).otherwise(text).alias("part"),
         F.when(spanning, 0).otherwise(1).alias("turn"),
     )
-    parts = F.array_sort(F.collect_list(F.struct("turn", "cell_ord", "part")))
-    return placed.groupBy("table_id", "row_idx", "col_idx").agg(
-        F.array_join(F.transform(parts, lambda p: p["part"]), "").alias("value"))
+    rows = settled(placed.groupBy("table_id", "row_idx").agg(
+        F.array_sort(F.collect_list(F.struct("col_idx", "turn", "cell_ord", "part"))).alias("parts")))
+
+    def joined(col: Column) -> Column:
+        own = F.filter("parts", lambda p: p["col_idx"].eqNullSafe(col))
+        return F.struct(col.alias("col_idx"), F.array_join(F.transform(own, lambda p: p["part"]), "").alias("value"))
+
+    columns = F.array_distinct(F.transform("parts", lambda p: p["col_idx"]))
+    return rows.select("table_id", "row_idx", F.transform(columns, joined).alias("texts"))
+
+
+def cell_texts(cells: DataFrame) -> DataFrame:
+    """One text per grid position: table_id, row_idx, col_idx, value.
+
+    A first-row cell with a span writes its text and a blank into row 1 of every column it spans; other cells add
+    their text at their own place, in cell order.
+    """
+    return _row_texts(cells).select("table_id", "row_idx", F.inline("texts"))
 
 
 def table_rows(cells: DataFrame) -> DataFrame:
@@ -34,10 +45,8 @@ def table_rows(cells: DataFrame) -> DataFrame:
 
     Rows are at most as wide as the recognised table, so one row is a small array.
     """
-    texts = cell_texts(cells)
     width = cells.groupBy("table_id").agg(F.max("column_count").alias("width"))
-    rows = texts.groupBy("table_id", "row_idx").agg(
-        F.map_from_entries(F.collect_list(F.struct("col_idx", "value"))).alias("by_col"))
+    rows = _row_texts(cells).select("table_id", "row_idx", F.map_from_entries("texts").alias("by_col"))
     columns = F.sequence(F.lit(0), F.col("width") - 1)
     values = F.transform(columns, lambda c: F.coalesce(F.try_element_at("by_col", c), F.lit("")))
     return settled(rows.join(width, "table_id").select("table_id", "row_idx", values.alias("values")))

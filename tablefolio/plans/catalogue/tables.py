@@ -21,7 +21,7 @@ from tablefolio.plans.catalogue.tables_sql import (
     rule_tests_sql, subtotal_sql,
 )
 from tablefolio.rules import DEFAULT_RULES, HEADER_METRICS, NUMBER_METRICS
-from tablefolio.session import durable
+from tablefolio.session import durable, written
 from tablefolio.sources.csv_tables import from_grid
 
 QUERIES = Catalogue()
@@ -194,7 +194,8 @@ def _as_cells(headers, rows):
 @QUERIES.add(f"""WITH {SQL_SPANNED}, {PROFILE}, {DECIDED}, {LINEAGE}, {METRIC_ROWS}, {ROW_STEPS}, {FACTS}
 SELECT table_id, row_idx, company_name, security_type, investment_date, {_ROUNDED}, is_total FROM facts""")
 def cells_to_facts(spark, sf):
-    headers, rows = from_grid(*G.header_and_rows(G.table_rows(_as_cells(*table_input(spark, sf)))), cut=durable)
+    grid = written(G.table_rows(_as_cells(*table_input(spark, sf))), "grid-rows")  # headers, rows and gaps all read it
+    headers, rows = from_grid(*G.header_and_rows(grid), cut=durable)
     return _rounded(P.build_portfolio(headers, rows).facts).select(*_FACT_COLUMNS)
 
 

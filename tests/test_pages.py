@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tablefolio.operators import grid
 from tablefolio.operators import pages as PG
 from tablefolio.plans.catalogue import pages as catalogue_pages
 
@@ -61,3 +62,17 @@ def test_spans_are_built_in_doubles(spark, tmp_path):
     assert spans[7].text == "Confidential" and spans[21].text == "$1,234" and spans[35].text == "CURRENT FAIR VALUE" and spans[36].text == "d"
     assert (spans[10].x0, spans[10].x1, spans[10].y0, spans[10].size, spans[9].dir_x) == (31.5, 36.5, 12.0, 9.0, -1.0)
     assert got[1, 0].spans[1].x0 == 33.0 and got[0, 7].spans[9].text == "b" and got[0, 8].spans is None
+
+
+def test_cells_move_once_by_row(spark):
+    """A row's texts are joined where the row is: spans, repeats, nulls and gaps as before, no shuffle by column."""
+    cells = spark.createDataFrame(
+        [("t", 0, 0, 0, 2, "Un\nreal", 3), ("t", 1, 1, 1, None, "Gain", 3), ("t", 2, 1, 1, None, "x", 3), ("t", 3, 2, 2, None, None, 3),
+         ("t", 5, 4, 0, 1, "late", 3), ("u", 0, 0, 0, None, "a", 1)],
+        "table_id string, cell_ord int, row_index int, column_index int, column_span int, content string, column_count int")
+    rows = grid.table_rows(cells)
+    assert "col_idx#" not in "".join(p for p in rows._jdf.queryExecution().executedPlan().toString().splitlines() if "hashpartitioning" in p)
+    assert {(r.table_id, r.row_idx): list(r["values"]) for r in rows.collect()} == {
+        ("t", 1): ["Un real ", "Un real Gainx", ""], ("t", 2): ["", "", ""], ("t", 4): ["late", "", ""], ("u", 0): ["a"]}
+    assert {(r.row_idx, r.col_idx, r.value) for r in grid.cell_texts(cells.where("table_id = 't'")).collect()} == {
+        (1, 0, "Un real "), (1, 1, "Un real Gainx"), (2, 2, ""), (4, 0, "late")}
