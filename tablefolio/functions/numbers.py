@@ -20,12 +20,12 @@ def to_number(text: Column) -> Column:
 
 
 def _bracket_minus(text: Column) -> Column:
-    return F.regexp_replace(text, r"\((.+?)\)", "-$1")
+    return F.when(F.contains(text, F.lit("(")), F.regexp_replace(text, r"\((.+?)\)", "-$1")).otherwise(text)
 
 
 def parse_money(text: Column) -> Column:
     """`$1,234` -> 1234, `(191)` -> -191, `3.8x` -> 3.8, `-` -> null."""
-    return to_number(_bracket_minus(F.regexp_replace(text, "[$,x]", "")))
+    return to_number(_bracket_minus(F.translate(text, "$,x", "")))
 
 
 def parse_percent(text: Column) -> Column:

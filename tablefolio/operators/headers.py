@@ -95,15 +95,18 @@ def _value_rules(rules: RuleSet) -> list[str]:
 
 def table_profiles(headers: DataFrame, rows: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
     """table_id, header, cells: array of (zone, col_idx, text, stats); zone 0 and 1 are rows 0 and 1, 2 the rest."""
-    pairs = F.transform("values", lambda v, i: F.struct(v.alias("v"), F.get("values", i + 1).isNotNull().alias("next")))
+    pairs = F.arrays_zip(F.col("values").alias("v"), F.slice("values", F.lit(2), F.size("values")).alias("next"))
     cell = rows.select("table_id", F.least("row_idx", F.lit(2)).alias("zone"),
                        F.posexplode(pairs).alias("col_idx", "cell"))
     v = F.col("v")
-    cell = cell.select("table_id", "zone", "col_idx", drop_marks(F.col("cell.v")).alias("v"), "cell.next")
-    cell = cell.withColumns({"number": is_number(v), "money": parse_money(v)})
-    word = F.col("money").isNull()  # a share class never parses as money
-
-    def number_of(test: Column) -> Column:
+    cell = cell.select("table_id", "zone", "col_idx", drop_marks(F.col("cell.v")).alias("v"),
+                       F.col("cell.next").isNotNull().alias("next"))
+    cell = cell.withColumn("money", parse_money(v))
+    # each test is asked only where the one before it holds: a number is money, a share class never is
+    cell = cell.withColumns({"number": F.col("money").isNotNull() & is_number(v),
+                             "wide": F.col("money").isNull() & is_layered(v, wide=True)})
+
+    def number_of(test: Column | str) -> Column:
         return F.count_if(test).cast("double")
 
     # the text is a key and all counts have a fixed size: the cells are hashed as they come, never sorted
@@ -112,7 +115,7 @@ def table_profiles(headers: DataFrame, rows: DataFrame, rules: RuleSet = DEFAULT
         F.array(
             F.count("*").cast("double"), F.count(v).cast("double"), number_of(F.col("number")),
             F.count("money").cast("double"), F.coalesce(F.sum("money"), F.lit(0.0)),
-            number_of(word & is_layered(v)), number_of(word & is_layered(v, wide=True)),
+            number_of(F.col("wide") & is_layered(v)), number_of("wide"),
             number_of(v.isNotNull() & F.col("next")),
             *[number_of(v.rlike(p)) for p in _value_rules(rules)],
         ).alias("stats"),

@@ -65,6 +65,26 @@ def hidden_security(df: DataFrame, metrics: list[str], order: RowOrder = TABLE_R
     }).drop("__apply", "__single", "__mark", "__last", "__parent")
 
 
+def _joined(head: Column, tail: Column) -> Column:
+    """The name of a group of rows from its pieces in order: those of the last row stand apart."""
+    return strip(F.concat(F.array_join(head, ""), F.lit(" "), F.array_join(tail, "")))
+
+
+def _group_names(here: DataFrame, order: RowOrder, named: Column) -> DataFrame:
+    """Add each name group's `__from`, `__to` and `__joined`, which only its first row makes, and the table's `__last`."""
+    idx = F.col(order.idx)
+    group = Window.partitionBy(*order.keys, "__group")
+    placed = group.orderBy(idx, named)
+    whole = placed.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    here = here.withColumns({"__from": F.min(idx).over(whole), "__to": F.max(idx).over(whole),
+                             "__first": F.row_number().over(placed) == 1})
+    here = here.withColumns({"__head": F.collect_list(F.when(idx < F.col("__to"), named)).over(whole),
+                             "__tail": F.collect_list(F.when(idx == F.col("__to"), named)).over(whole)})
+    here = here.withColumn("__joined", F.when(F.col("__first"), _joined(F.col("__head"), F.col("__tail"))))
+    here = here.drop("__first", "__head", "__tail").withColumn("__joined", F.max("__joined").over(group))
+    return here.withColumn("__last", F.max("__group").over(Window.partitionBy(*order.keys)))
+
+
 def fill_company(df: DataFrame, order: RowOrder = TABLE_ROWS, apply: Column | None = None) -> DataFrame:
     """Give security rows without a name the company above them, joining name pieces split over rows."""
     apply = F.lit(True) if apply is None else apply
@@ -73,17 +93,19 @@ def fill_company(df: DataFrame, order: RowOrder = TABLE_ROWS, apply: Column | No
                            "__sec": F.coalesce("security_type", F.lit(""))})
     joins = (F.col("__sec") != "") & (F.length("__name") < FRAGMENT_BELOW)
     here = order.running(here, sums={"__group": F.when(joins, 0).otherwise(1)})
-    # one record per name group: its joined name is made once, whatever the number of its rows
-    piece = F.when(F.col("__name") != "", F.struct(idx.alias("at"), F.col("__name").alias("name")))
-    groups = here.groupBy(*order.keys, "__group").agg(
-        F.array_sort(F.collect_list(piece)).alias("__pieces"), F.min(idx).alias("__from"), F.max(idx).alias("__to"))
-    head = F.array_join(F.transform(F.filter("__pieces", lambda p: p["at"] < F.col("__to")), lambda p: p["name"]), "")
-    tail = F.array_join(F.transform(F.filter("__pieces", lambda p: p["at"] == F.col("__to")), lambda p: p["name"]), "")
-    groups = groups.select(*order.keys, "__group", "__from", "__to", strip(F.concat(head, F.lit(" "), tail)).alias("__joined"))
-    # the last group of a table: rows of a group lie together, so it is the one with the greatest number
-    last = groups.groupBy(*order.keys).agg(F.max("__group").alias("__last"))
-    named = groups.join(last, list(order.keys))
-    here = here.join(named, [*order.keys, "__group"])
+    named = F.when(F.col("__name") != "", F.col("__name"))
+    if order.segment_rows is None:  # windows keep the partitions of the others: no join and no shuffle
+        here = _group_names(here.dropna(subset=list(order.keys)), order, named)
+    else:  # one record per name group: its joined name is made once, whatever the number of its rows
+        piece = F.when(named.isNotNull(), F.struct(idx.alias("at"), named.alias("name")))
+        groups = here.groupBy(*order.keys, "__group").agg(
+            F.array_sort(F.collect_list(piece)).alias("__pieces"), F.min(idx).alias("__from"), F.max(idx).alias("__to"))
+        head = F.transform(F.filter("__pieces", lambda p: p["at"] < F.col("__to")), lambda p: p["name"])
+        tail = F.transform(F.filter("__pieces", lambda p: p["at"] == F.col("__to")), lambda p: p["name"])
+        groups = groups.select(*order.keys, "__group", "__from", "__to", _joined(head, tail).alias("__joined"))
+        # the last group of a table: rows of a group lie together, so it is the one with the greatest number
+        last = groups.groupBy(*order.keys).agg(F.max("__group").alias("__last"))
+        here = here.join(groups.join(last, list(order.keys)), [*order.keys, "__group"])
     lone_last = (F.col("__from") == F.col("__to")) & (F.col("__group") == F.col("__last"))
     joined = F.when(lone_last, F.col("__name")).otherwise(F.col("__joined"))
     return here.withColumns({
@@ -126,12 +148,15 @@ def ownership_subtotals(df: DataFrame, apply: Column | None = None) -> DataFrame
     return df.withColumn("is_total", F.col("is_total") | (apply & no_security & owned))
 
 
-def parse_metrics(df: DataFrame) -> DataFrame:
+def parse_metrics(df: DataFrame, metrics: list[str] | None = None) -> DataFrame:
     """Texts of the number metrics to numbers, percent metrics to fractions; empty text metrics to null."""
-    texts = [m for m in DEFAULT_RULES.names() if m not in NUMBER_METRICS]
-    return df.withColumns(
-        {m: parse_percent(F.col(m)) if m in PERCENT_METRICS else parse_money(F.col(m)) for m in NUMBER_METRICS}
-        | {m: F.nullif(m, F.lit("")) for m in texts})
+    def parsed(m: str) -> Column:
+        if m not in NUMBER_METRICS:
+            return F.nullif(m, F.lit(""))
+        return parse_percent(F.col(m)) if m in PERCENT_METRICS else parse_money(F.col(m))
+
+    return df.withColumns({m: parsed(m) for m in metrics or [*NUMBER_METRICS, *(
+        n for n in DEFAULT_RULES.names() if n not in NUMBER_METRICS)]})
 
 
 def drop_without_metrics(df: DataFrame, metrics: tuple[str, ...] = NUMBER_METRICS) -> DataFrame:

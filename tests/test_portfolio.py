@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from tablefolio.operators.analytics import metric_sums
 from tablefolio.operators.headers import table_profiles
+from tablefolio.operators.ordered import RowOrder
+from tablefolio.plans import portfolio
 from tablefolio.plans.catalogue import tables
 from tablefolio.plans.portfolio import build_portfolio, decide_tables
 from tablefolio.rules import DEFAULT_RULES, RuleFileError, read_rules
@@ -107,6 +109,31 @@ def test_profiles_are_counted_without_sorting_cells(spark):
         "u": [(0, 0, "same", [2, 2, 0, 0, 0, 0]), (0, 1, "1", [2, 2, 2, 2, 2, 0])], "empty": None}
 
 
+def test_rows_sort_in_partitions_that_do_not_grow(spark, monkeypatch):
+    """The number of partitions of the row steps follows the number of rows; facts, lineage and errors stay the same."""
+    headers, rows = tables.table_input(spark, SF)
+    assert portfolio.row_partitions(spark, 0) is None and portfolio.row_partitions(spark, 360 * 150_000) == 412
+    whole = build_portfolio(headers, rows)
+    monkeypatch.setattr(portfolio.row_partitions, "__defaults__", (20,))
+    asked, plain = [], portfolio.metric_rows
+    monkeypatch.setattr(portfolio, "metric_rows", lambda *a: asked.append(a[-1]) or plain(*a))
+    dealt = build_portfolio(headers, rows)
+    assert asked[0] == -(-rows.count() // 20)
+    for name in ("facts", "lineage", "errors"):
+        a, b = (sorted(map(str, getattr(p, name).collect())) for p in (whole, dealt))
+        assert a and a == b
+
+
+def test_number_texts_are_parsed_once_before_the_rows_are_sorted_again(spark):
+    """No filter on the parsed numbers may parse them a second time."""
+    headers, rows = tables.table_input(spark, SF)
+    texts = portfolio.metric_rows(rows, portfolio.durable(portfolio.decide_tables(headers, rows)))
+    done = portfolio.normalise(texts, RowOrder(("table_id", "part"), "row_idx", None))
+    plan = done._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if line.lstrip(" +-:").startswith("Filter")]
+    assert filters and max(line.count("regexp_extract") for line in filters) <= 1  # the ownership, needed as a text until then
+
+
 def test_heavy_input_in_small_partitions(spark, tmp_path, monkeypatch):
     """A file of one row group is dealt to partitions that do not grow with it, by an expression too."""
     spark.range(1000).coalesce(1).write.parquet(str(tmp_path / "t"))

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tablefolio.functions.numbers import parse_money
 from tablefolio.operators import rows as R
 from tablefolio.operators.headers import clean_header, drop_marks, header_metric_count
 from tablefolio.operators.ordered import RowOrder
@@ -88,3 +89,34 @@ def test_one_long_group_of_name_pieces(spark):
     for order in (RowOrder(("table_id",), "row_idx", None), RowOrder(("table_id",), "row_idx", 4096)):
         names = R.fill_company(df, order).groupBy("company_name").count().collect()
         assert [(r.company_name, r["count"]) for r in names] == [("Acme" + "-" * (n - 2) + " -", n)]
+
+
+def test_name_groups_need_no_shuffle_where_tables_fit_a_task(spark):
+    """Plain windows on rows that are dealt already: no further exchange and no join, the same names as in segments."""
+    pieces = ["Ac", "-", None, "m", "", "Bet", "a", "x", "Gamma", "", None, "y"]
+    rows = [(t, i, pieces[(i * 7 + t) % len(pieces)], [None, "", "A", "B"][(i * i + t) % 4])
+            for t in range(9) for i in range(5 + 3 * t)] + [(None, 0, "nobody", "A")]
+    df = spark.createDataFrame(rows, "table_id int, row_idx int, company_name string, security_type string")
+    plain, cut = RowOrder(("table_id",), "row_idx", None), RowOrder(("table_id",), "row_idx", 4)
+    done = R.fill_company(df.repartition(3, "table_id"), plain)
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    a, b = (sorted(map(str, d.select(df.columns).collect())) for d in (done, R.fill_company(df, cut)))
+    assert len(a) == len(rows) - 1 and a == b
+
+
+def test_rows_with_one_index_join_their_names_in_order(spark):
+    """Repeated row indexes: pieces by name, and all of the last index stand apart."""
+    df = spark.createDataFrame(
+        [("t", 0, "Ac", "A"), ("t", 1, "m", "A"), ("t", 1, "e", "A"), ("t", 2, "Beta", None), ("t", 2, "Beta", None)],
+        "table_id string, row_idx int, company_name string, security_type string")
+    for order in ORDERS:
+        names = sorted(r.company_name for r in R.fill_company(df, order).collect())
+        assert names == ["Ac em", "Ac em", "Ac em", "Beta", "Beta"]
+
+
+def test_money_of_odd_texts(spark):
+    texts = ["$1,234", "(191)", "()", "(", ")(", "(a)(5)", "3.8x", "xx", "$", "", None, "1x2", "(1,5)x", "-", "($ 7)", "1e3", "(3)(4)"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(parse_money(F.col("t"))).collect()] == [
+        1234, -191, None, None, None, None, 3.8, None, None, None, None, 12, -15, None, None, 1000, None]
