@@ -4,7 +4,8 @@ Two facts keep whole texts cheap and parallel:
 
 * A tokenizer whose pre-tokenizer drops white space treats each unit between ASCII white space on its own, and where its
   normalizer and pattern are the known ones of `word_splitter`, each word in it, in lower case. Units repeat, so a task
-  asks the library once per distinct unit it has seen lately; plain words skip the normalizer and the pattern.
+  asks the library once per distinct unit it has seen lately; for words of plain characters (`PLAIN`) it asks the
+  library's BPE model itself, as the normalizer and the pattern have nothing to do there.
 * A longer text is cut in halves again and again until the leaves are short. Leaves are encoded in different tasks;
   then neighbours are joined in the order of the tree. At each join a window around it is encoded again and grows
   until it ends, on either side, in a token that the side has too: same id, same span. All neighbouring tokens of the
@@ -21,8 +22,9 @@ import hashlib
 import json
 import os
 import re
+import struct
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -35,7 +37,7 @@ from tablefolio.llm.common import bound_batches
 
 LEAF_CHARS = 32_768
 EDGE_CHARS = 4_096
-MEMO_UNITS = 800_000
+MEMO_UNITS = 400_000
 MEMO_PIECES = 30_000
 WINDOW = 16
 BATCH_CHARS = 2_000_000
@@ -44,7 +46,18 @@ BATCH_CHARS = 2_000_000
 # A pattern of words, and the normalizers under which ASCII letters only lose their case.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
-ASCII_WORDS = rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+"
+ASCII_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+"
+
+
+def _plain(*kinds: str) -> str:
+    """Characters of these kinds that NFC leaves alone beside each other and that have one lower case each: printable ASCII,
+    Latin letters but for the dotted capital I, and signs of Western texts."""
+    ranges = (range(0x21, 0x7F), range(0xA1, 0x130), range(0x131, 0x180), range(0x2010, 0x2028), range(0x20A0, 0x20AD))
+    return "".join(chr(p) for r in ranges for p in r if unicodedata.category(chr(p))[0] in kinds)
+
+
+PLAIN = _plain("L", "N", "P", "S")
+PLAIN_WORDS = (f"'s|'t|'re|'ve|'m|'ll|'d|[{_plain('L')}]+|[{_plain('N')}]|[{re.escape(_plain('P', 'S'))}]+")
 
 
 class Piece:
@@ -93,12 +106,31 @@ def word_splitter(config: dict) -> bool:
             and (config.get("normalizer") or {}).get("normalizers") == NORMALIZERS)
 
 
+class Memo(dict):
+    """Ids of recent units, learned when they are asked for. Units live for two generations, so frequent ones stay and
+    rare ones go."""
+
+    def __init__(self, learn: Callable[[str], bytes], most: int):
+        super().__init__()
+        self.learn, self.half, self.old = learn, most // 2, {}
+
+    def __missing__(self, unit: str) -> bytes:
+        found = self.old.get(unit)
+        if found is None:
+            found = self.learn(unit)
+        if len(self) >= self.half:
+            self.old = dict(self)
+            self.clear()
+        self[unit] = found
+        return found
+
+
 class Codec:
     """The tokenizer of one file, with the results of recent units."""
 
     def __init__(self, path: str, memo_units: int = MEMO_UNITS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks; threads of each would only wait for others
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
@@ -109,50 +141,50 @@ class Codec:
         self.added = [t["content"] for t in config.get("added_tokens") or []]
         self.reach = max(map(len, self.added), default=1)
         self.by_word = word_splitter(config)
-        if self.by_word:  # the same vocabulary and merges for texts that are one word of `ASCII_WORDS` each
-            self.bare = Tokenizer.from_str(json.dumps(config | {
-                "normalizer": None, "pre_tokenizer": config["pre_tokenizer"]["pretokenizers"][1], "added_tokens": []}))
-            self.bare.no_truncation()
-            self.bare.no_padding()
-            self.ascii_words = re.compile(ASCII_WORDS).findall
-            self.words = re.compile(rb"[^\s\x80-\xff]*[\x80-\xff]\S*|" + ASCII_WORDS).findall
+        if self.by_word:
+            self.model = self.tok.model
+            to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+            self.as_bytes = {ord(c): to_bytes(c)[0][0] for c in PLAIN}
+            self.ascii_words = re.compile(ASCII_WORDS, re.ASCII).findall
+            self.plain_words = re.compile(PLAIN_WORDS, re.ASCII).findall
+            self.is_plain = re.compile(f"[{re.escape(PLAIN)}\\s]*", re.ASCII).fullmatch
+            self.words = re.compile(r"[^\s\x80-\U0010ffff]*[\x80-\U0010ffff]\S*|" + ASCII_WORDS, re.ASCII).findall
             self.specials = [a.encode() for a in self.added]
-        self.memo_units = memo_units
-        self.memo: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.memo = Memo(self._learn, memo_units)
         self.pieces: dict[str, Piece] = {}
 
-    def _learn(self, units: set[bytes]) -> None:
-        """Have all `units` in `memo`. Units live for two generations, so frequent ones stay and rare ones go."""
-        if len(self.memo) + len(units) > self.memo_units // 2:
-            self.old, self.memo = self.memo, {}
-        missing = [u for u in units if u not in self.memo]
-        self.memo.update((u, self.old[u]) for u in missing if u in self.old)
-        new = [u for u in missing if u not in self.memo]
-        plain_words = [u for u in new if u.isascii()] if self.by_word else []
-        others = [u for u in new if not u.isascii()] if self.by_word else new
-        for tok, asked in ((self.bare if self.by_word else self.tok, plain_words), (self.tok, others)):
-            found = tok.encode_batch_fast([u.decode() for u in asked], add_special_tokens=False) if asked else []
-            self.memo.update((u, np.array(e.ids, "<u4").tobytes()) for u, e in zip(asked, found, strict=True))
-
-    def _units(self, text: bytes) -> list[bytes]:
-        """What the tokenizer treats on its own, in order. A unit with other than ASCII characters stays whole."""
+    @property
+    def old(self) -> dict[str, bytes]:
+        return self.memo.old
+
+    def _learn(self, unit: str) -> bytes:
+        """The ids of a unit. Where words are known, the model itself is asked for each of them."""
+        if not self.by_word or not self.is_plain(unit):
+            ids = self.tok.encode_batch_fast([unit], add_special_tokens=False)[0].ids
+        else:
+            words = self.plain_words(unit.lower())
+            if len(words) > 1:
+                return b"".join(map(self.memo.__getitem__, words))
+            ids = [t.id for w in words for t in self.model.tokenize(w if w.isascii() else w.translate(self.as_bytes))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _units(self, text: bytes) -> list[str]:
+        """What the tokenizer treats on its own, in order. A unit with other than plain characters stays whole."""
         if not self.by_word:
-            return text.split()
-        low = text.lower()  # ASCII letters alone
-        return self.ascii_words(low) if low.isascii() else self.words(low)
+            return [u.decode() for u in text.split()]
+        low = text.lower().decode()  # ASCII letters alone
+        if low.isascii():
+            return self.ascii_words(low)
+        return self.plain_words(low.lower()) if self.is_plain(low) else self.words(low)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of whole UTF-8 texts as little-endian unsigned 32-bit integers."""
         if not self.by_unit:
             found = self.tok.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
             return [np.array(e.ids, "<u4").tobytes() for e in found]
-        whole = {i for i, t in enumerate(texts) if self.by_word and any(a in t for a in self.specials)}
-        units = [[] if i in whole else self._units(t) for i, t in enumerate(texts)]
-        self._learn(set().union(*units))
         known = self.memo.__getitem__
-        return [np.array(self.tok.encode(texts[i].decode(), add_special_tokens=False).ids, "<u4").tobytes() if i in whole
-                else b"".join(map(known, u)) for i, u in enumerate(units)]
+        return [np.array(self.tok.encode(t.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+                if self.by_word and any(a in t for a in self.specials) else b"".join(map(known, self._units(t))) for t in texts]
 
     def decode(self, ids: bytes) -> str:
         return self.tok.decode(np.frombuffer(ids, "<u4").tolist(), skip_special_tokens=False)

@@ -96,6 +96,16 @@ def test_tree_for_a_tokenizer_that_keeps_white_space():
             text, add_special_tokens=False).ids
 
 
+def test_plain_words_ask_the_model_alone(library):
+    """Words of Western letters, digits and signs need no normalizer and no pattern, and have the ids of whole texts."""
+    codec, rng = bpe.Codec(PATH), random.Random(12)
+    codec.tok = None
+    source = [*bpe.PLAIN, "L'ÉTÉ, déjà vu: «¿Dónde?» – 12€ ½ Straße’s Œuvre's", *(
+        "".join(rng.choice(bpe.PLAIN + " \n" * 30 + "aeinst'" * 20) for _ in range(rng.randint(1, 80))) for _ in range(500))]
+    got = codec.encode([t.encode() for t in source])
+    assert [g == ids_of(library, t) for g, t in zip(got, source, strict=True)] == [True] * len(source)
+
+
 def test_memory_of_units_is_bounded(library):
     codec = bpe.Codec(PATH, memo_units=20)
     for k in range(20):
