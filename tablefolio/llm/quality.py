@@ -7,7 +7,9 @@ and added up by shuffle; lower orders count distinct left neighbours; discounts
 Scoring never sends a row per document and n-gram. Each task packs its documents into chunks of about `CHUNK_BYTES`; a
 chunk asks each shard once for its distinct 5-grams there. The distinct 5-grams of a shard are looked up in the model by
 one join (ten keys each: five n-grams, five contexts), the shard answers its requests, and a chunk is scored where the
-answers meet its text. What moves grows with the distinct n-grams of the chunks, not with the text times the order.
+answers meet its text. The most frequent 5-grams of the trusted text, `FREQUENT` at most, would be asked for by nearly
+every chunk: each task has their answers, and no chunk asks. What moves grows with the rarer distinct n-grams of the
+chunks, not with the text times the order.
 
 A document has two scores. Its excess is (bits a character - median of its language) * sqrt(characters), as short texts
 vary more. Its worst word is the largest (bits of the word - its letters * bits a character of the document) /
@@ -42,6 +44,7 @@ from tablefolio.session import written
 ORDER, SYMBOL_BITS = 5, 12
 START = (1 << SYMBOL_BITS) - 1
 CHUNK_BYTES, SLICE_CHARS = 8_000_000, 500_000
+FREQUENT, BANDS = 1 << 18, 16  # bands of counts for each power of two
 CLEAN_LOSS, HELD_OUT, LEAST_HELD_OUT = 0.01, 0.2, 20
 WORD_CHARS = 24
 BROADCAST_LABELS = 2_000_000
@@ -155,10 +158,11 @@ def context(order: int, g: Column) -> Column:
 
 
 class Model:
-    """`lookup`: key -> discounted share of an n-gram, or back-off weight of a context; `floor`: share of a new symbol."""
+    """`lookup`: key -> discounted share of an n-gram, or back-off weight of a context; `floor`: share of a new symbol;
+    `counted`: 5-grams of the trusted text and their counts."""
 
-    def __init__(self, lookup: DataFrame, floor: float):
-        self.lookup, self.floor = lookup, floor
+    def __init__(self, lookup: DataFrame, floor: float, counted: DataFrame):
+        self.lookup, self.floor, self.counted = lookup, floor, counted
 
     @classmethod
     def train(cls, texts: DataFrame) -> Model | None:
@@ -188,7 +192,20 @@ class Model:
         contexts = cut.groupBy("context").agg(F.sum("c").alias("total"), F.sum("d").alias("spared"))
         shares = cut.join(contexts, "context").select("key", ((F.col("c") - F.col("d")) / F.col("total")).alias("value"))
         weights = contexts.select(F.col("context").alias("key"), (F.col("spared") / F.col("total")).alias("value"))
-        return cls(written(shares.unionByName(weights), "quality-model"), 1.0 / (numbers[1].n + 1))
+        return cls(written(shares.unionByName(weights), "quality-model"), 1.0 / (numbers[1].n + 1), counted)
+
+    def frequent(self, most: int) -> tuple[np.ndarray, np.ndarray]:
+        """The most frequent 5-grams of the trusted text, `most` at most and whole bands of counts, with their bits."""
+        band = F.floor(F.log2("c") * BANDS)
+        least, left = None, most
+        for r in sorted(self.counted.groupBy(band.alias("band")).count().collect(), reverse=True):
+            left -= r["count"]
+            if left < 0:
+                break
+            least = r.band
+        if least is None:
+            return np.zeros(0, np.int64), np.zeros(0, np.float64)
+        return _ordered(self.probabilities(self.counted.where(band >= least)).toArrow())
 
     def probabilities(self, wanted: DataFrame) -> DataFrame:
         """(g, p) for each distinct 5-gram `g`."""
@@ -205,6 +222,12 @@ class Model:
         return answered.select("g", p.alias("p"))
 
 
+def _ordered(types: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """5-grams in ascending order, and the bits of each."""
+    order = np.argsort(types["g"].to_numpy())
+    return types["g"].to_numpy()[order], -np.log2(types["p"].to_numpy()[order])
+
+
 def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
     """Modified Kneser-Ney discounts for counts 1, 2 and 3 or more; plain ones where counts of counts are missing."""
     if not (n1 and n2 and n3 and n4):
@@ -265,6 +288,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     finds its distinct 5-grams, the model answers those, and each request is answered where it is.
     """
     shards = _prime(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    frequent = docs.sparkSession.sparkContext.broadcast(model.frequent(FREQUENT))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, _, table in _chunks(batches):
@@ -273,9 +297,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 for found in grams(text.as_py()):
                     c.add(found)
             c.settle()
-            home = c.keys % shards
+            rare = np.setdiff1d(c.keys, frequent.value[0], assume_unique=True)
+            home = rare % shards
             order = np.argsort(home, kind="stable")
-            keys, ends = c.keys[order], np.searchsorted(home[order], np.arange(shards + 1))
+            keys, ends = rare[order], np.searchsorted(home[order], np.arange(shards + 1))
             parts = [(s, _pack(np.diff(keys[a:b], prepend=0))) for s, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if b > a]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([s for s, _ in parts], pa.int32()), pa.array([name] * len(parts), pa.int64()),
@@ -291,8 +316,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         return pa.table({"g": pa.array(keys)})
 
     def answer(types: pa.Table, requests: pa.Table) -> pa.Table:
-        order = np.argsort(types["g"].to_numpy())
-        keys, bits = types["g"].to_numpy()[order], -np.log2(types["p"].to_numpy()[order])
+        keys, bits = _ordered(types)
         out = []
         for blob in requests["grams"]:
             wanted = requested(blob)
@@ -306,9 +330,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([packed], pa.binary())], names=["chunk", "packed"])
 
     def meet(chunks: pa.Table, answers: pa.Table) -> pa.Table:
-        none = [np.zeros(0, np.int64)]
-        keys = np.concatenate([requested(x) for x in answers["grams"]] or none)
-        bits = np.concatenate([_unpack(x.as_py(), np.float64) for x in answers["bits"]] or none)
+        keys = np.concatenate([frequent.value[0], *(requested(x) for x in answers["grams"])])
+        bits = np.concatenate([frequent.value[1], *(_unpack(x.as_py(), np.float64) for x in answers["bits"])])
         order = np.argsort(keys)
         keys, bits = keys[order], bits[order]
         out = []

@@ -71,6 +71,30 @@ def test_model_as_brute_force(spark, monkeypatch):
     assert sum(p((*g, ord(c) if ord(c) < 0xF00 else symbols(c)[-1])) for c in alphabet) == pytest.approx(1, abs=0.02)
 
 
+def test_frequent_grams_are_not_asked_for(spark, monkeypatch):
+    """What the tasks know already moves no more, and the scores are the same to the last bit."""
+    monkeypatch.setattr(quality, "CHUNK_BYTES", 2000)
+    rng = random.Random(2)
+    trusted = [prose(rng, 40) for _ in range(30)]
+    model = quality.Model.train(spark.createDataFrame([(t,) for t in trusted], "text string"))
+    rows = [(i, 0, "en", t) for i, t in enumerate([*trusted[:5], "!!! NO NO", prose(rng, 300)])]
+    df = spark.createDataFrame(rows, "id long, h long, lang string, text string").repartition(3)
+    of_text = {int(g) for r in rows for found in quality.grams(r[3]) for g in found}
+    counts = {r.g: r.c for r in model.counted.collect()}
+    asked, probabilities = [], model.probabilities
+    monkeypatch.setattr(model, "probabilities", lambda wanted: asked.append({r.g for r in wanted.collect()}) or probabilities(wanted))
+    got = {}
+    for most in (0, 100, 1 << 18):
+        monkeypatch.setattr(quality, "FREQUENT", most)
+        asked.clear()
+        got[most] = sorted(quality.score(df, model).collect())
+        known = asked[0] if len(asked) > 1 else set()
+        assert len(known) <= most and asked[-1] == of_text - known
+        if known:
+            assert min(counts[g] for g in known) >= max((c for g, c in counts.items() if g not in known), default=0)
+    assert known == set(counts) and got[0] == got[100] == got[1 << 18]
+
+
 @pytest.fixture(scope="module")
 def labelled():
     rng = random.Random(7)
