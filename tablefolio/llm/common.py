@@ -60,7 +60,7 @@ def count_at_most(df: DataFrame, most: int) -> int | None:
     return n if n <= most else None
 
 
-def bound_batches(spark: SparkSession, most: int = 32 << 20) -> None:
+def bound_batches(spark: SparkSession, most: int = 8 << 20) -> None:
     """Limit Arrow batches to `most` bytes, so that rows of any size reach Python a few at a time."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
     if int(str(spark.conf.get(name)).rstrip("b")) > most:

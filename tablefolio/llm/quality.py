@@ -167,9 +167,11 @@ class Model:
     @classmethod
     def train(cls, texts: DataFrame) -> Model | None:
         counted = written(count_grams(texts), "quality-counts")
+        # the parts of a union share the partitions of one shuffle, so a table has not a small file for each of all of theirs
+        most = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         orders, below = [], counted
         for order in range(ORDER, 0, -1):
-            orders.append(below.select(F.lit(order).alias("k"), "g", "c"))
+            orders.append(below.select(F.lit(order).alias("k"), "g", "c").coalesce(max(1, most // ORDER)))
             if order > 1:
                 below = below.groupBy(F.col("g").bitwiseAND(F.lit((1 << (SYMBOL_BITS * (order - 1))) - 1)).alias("g")).agg(
                     F.count("*").alias("c"))
@@ -192,6 +194,7 @@ class Model:
         contexts = cut.groupBy("context").agg(F.sum("c").alias("total"), F.sum("d").alias("spared"))
         shares = cut.join(contexts, "context").select("key", ((F.col("c") - F.col("d")) / F.col("total")).alias("value"))
         weights = contexts.select(F.col("context").alias("key"), (F.col("spared") / F.col("total")).alias("value"))
+        shares, weights = (x.coalesce(max(1, most // 2)) for x in (shares, weights))
         return cls(written(shares.unionByName(weights), "quality-model"), 1.0 / (numbers[1].n + 1), counted)
 
     def frequent(self, most: int) -> tuple[np.ndarray, np.ndarray]:

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from tablefolio.llm import quality
+from tablefolio.llm.common import bound_batches
 
 LABELS = "doc_id long, quality int, toxic int, h string"
 
@@ -71,6 +72,33 @@ def test_model_as_brute_force(spark, monkeypatch):
     assert sum(p((*g, ord(c) if ord(c) < 0xF00 else symbols(c)[-1])) for c in alphabet) == pytest.approx(1, abs=0.02)
 
 
+def test_few_files_for_the_model(spark):
+    """The tables of the model have no more files than a shuffle has partitions, though they are unions."""
+    rng = random.Random(3)
+    texts = spark.createDataFrame([(prose(rng, 40),) for _ in range(30)], "text string")
+    settings = {"spark.sql.shuffle.partitions": "20", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, "true") for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        assert len(quality.Model.train(texts).lookup.inputFiles()) <= 20
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_batches_are_small(spark):
+    """A row batch that waits in a task and in its Python worker takes 8 MB of each."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, 64 << 20)
+        bound_batches(spark)
+        assert int(spark.conf.get(name)) == 8 << 20
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_frequent_grams_are_not_asked_for(spark, monkeypatch):
     """What the tasks know already moves no more, and the scores are the same to the last bit."""
     monkeypatch.setattr(quality, "CHUNK_BYTES", 2000)
